@@ -1,71 +1,181 @@
-"""Cart replay: what each cart held after every event, recomputed from the events."""
+"""Cart replay: what each cart held after every event, recomputed from the events.
+
+Within a group of rows the replay is a handful of windows over one shuffle. A busy cart would end
+up in one task that way, so busy carts are cut into time chunks, and each chunk starts with opening
+rows that say what the cart held by then. Those come from a first pass over the busy carts' rows
+that leaves one row per cart, chunk and product.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.measures import is_event, is_purchase
 from clickloom.functions.scalars import round_even
-from clickloom.operators.scans import DEFAULT_CHUNK_SECONDS, running
+from clickloom.operators.scans import (
+    BUSY,
+    CHUNK,
+    DEFAULT_BUSY_ROWS,
+    DEFAULT_CHUNK_SECONDS,
+    with_chunks,
+)
 
 ORDER = ["event_time", "event_id"]
 
+# The events that show cart totals.
+CART_EVENTS = ("add_to_cart", "update_cart", "remove_from_cart", "begin_checkout",
+               "checkout_progress", "purchase")
+
+GROUP = ["cart_id", CHUNK]
+
 
 def cart_replay(events: DataFrame, order: list[str] | None = None,
+                busy_rows: int = DEFAULT_BUSY_ROWS,
                 chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
-    """Adds ``replayed_qty`` and ``replayed_value`` per cart event.
+    """Cart events with ``replayed_qty`` and ``replayed_value``.
 
     Adding increases a product's quantity, updating sets it, removing drops the product, and a
     purchase shows the cart as it was and then empties it. ``order`` must order a cart's events
     completely; pass the topic offset in place of the id where it is known, as event times are
-    whole seconds. Events without a cart are left out.
-
-    A product's events between two resets (updates or removals) form a segment, whose sum is an
-    ordinary aggregate. A reset changes the cart by its own quantity less the segment it ends, so
-    no look at the previous row is needed and only running sums remain, which ``running`` keeps
-    from piling up in one task.
+    whole seconds. Views, clicks and events without a cart show no totals and are left out.
     """
     order = order or ORDER
+    rows = with_chunks(_cart_rows(events), "cart_id", order[0], busy_rows, chunk_seconds)
+    narrow = rows.filter(BUSY).select(
+        *GROUP, *order, "__product", "__reset", "__own", "__worth", "__bought")
+    openings = _openings(narrow, order).withColumn("__opening", F.lit(True))
+    opened = rows.withColumn("__opening", F.lit(False)).unionByName(openings, allowMissingColumns=True)
+    # Opening rows come first.
+    replay_order = [F.desc("__opening"), *order]
+    so_far = (
+        Window.partitionBy(*GROUP, "__epoch").orderBy(*replay_order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    totals = _changes(opened, replay_order).withColumns({
+        "replayed_qty": F.sum("__dq").over(so_far), "__value": F.sum("__dw").over(so_far)})
+    # Adding 0.0 keeps an emptied cart from showing a negative zero.
+    value = round_even(F.col("__value")) + F.lit(0.0)
+    return (
+        totals.filter(~F.col("__opening")).withColumn("replayed_value", value)
+        .select(*events.columns, "replayed_qty", "replayed_value")
+    )
+
+
+def _cart_rows(events: DataFrame) -> DataFrame:
     reset = is_event("update_cart") | is_event("remove_from_cart")
     touch = F.col("product_id").isNotNull() & (is_event("add_to_cart") | reset)
-    rows = events.filter(F.col("cart_id").isNotNull()).withColumns({
-        "__touch": touch,
-        "__reset": touch & reset,
-        "__product": F.when(touch, F.col("product_id")).otherwise(F.lit("")),
-        # What the event itself leaves of the product: a removal leaves nothing.
-        "__own": F.when(touch & ~is_event("remove_from_cart"), F.coalesce("quantity", F.lit(0)))
-        .otherwise(F.lit(0)).cast("bigint"),
-        "__price": F.coalesce("price", F.lit(0.0)),
+    # What the event itself leaves of the product: a removal leaves nothing.
+    own = F.when(touch & ~is_event("remove_from_cart"), F.col("quantity"))
+    shown = events.filter(F.col("cart_id").isNotNull() & F.col("event_name").isin(*CART_EVENTS))
+    return shown.withColumns({
+        "__product": F.when(touch, F.col("product_id")),
+        "__reset": (touch & reset).cast("int"),
+        "__own": F.coalesce(own, F.lit(0)).cast("bigint"),
+        "__worth": F.coalesce(own * F.col("price"), F.lit(0.0)),
+        "__bought": is_purchase().cast("int"),
     })
 
-    # A purchase still belongs to the cart it empties.
-    rows = running(rows, ["cart_id"], order, {"__epoch": is_purchase().cast("int")},
-                   own_row=False, chunk_seconds=chunk_seconds)
-    rows = running(rows, ["cart_id", "__product"], order,
-                   {"__segment": F.col("__reset").cast("int")}, chunk_seconds=chunk_seconds)
-
-    segment_key = ["cart_id", "__product", "__epoch", "__segment"]
-    worth = F.col("__own") * F.col("__price")
-    ended = (
-        rows.filter("__touch").groupBy(*segment_key)
-        .agg(F.sum("__own").alias("__ended_qty"), F.sum(worth).alias("__ended_value"))
-        .select("cart_id", "__product", "__epoch", (F.col("__segment") + 1).alias("__segment"),
-                F.lit(0).alias("__spread"), "__ended_qty", "__ended_value")
+
+def _changes(rows: DataFrame, order: list) -> DataFrame:
+    """Per row and group: ``__epoch``, the purchases before it, and its change of the cart's
+    quantity and worth. A product's rows between two resets form a segment, over which its
+    holdings add up."""
+    def window(*keys: str):
+        return Window.partitionBy(*GROUP, *keys).orderBy(*order)
+
+    def up_to(spec, end: int):
+        return spec.rowsBetween(Window.unboundedPreceding, end)
+
+    product = window("__epoch", "__product")
+    segment = up_to(window("__epoch", "__product", "__segment"), 0)
+
+    def change(held: str) -> Column:
+        return F.col(held) - F.coalesce(F.lag(held).over(product), F.lit(0))
+
+    return (
+        rows.withColumn("__epoch", F.coalesce(F.sum("__bought").over(up_to(window(), -1)), F.lit(0)))
+        .withColumn("__segment", F.sum("__reset").over(up_to(product, 0)))
+        .withColumns({"__q": F.sum("__own").over(segment), "__w": F.sum("__worth").over(segment)})
+        .withColumns({"__dq": change("__q"), "__dw": change("__w")})
+    )
+
+
+def _openings(rows: DataFrame, order: list[str]) -> DataFrame:
+    """What a busy cart holds as each of its chunks starts: a row per product the chunk touches
+    before its first purchase, and one for the rest of the cart."""
+    purchases = F.sum("__bought").over(Window.partitionBy(*GROUP))
+    at_end = F.col("__epoch") == F.col("__purchases")
+    ends = (
+        # Each product's part of the cart as the chunk ends, as if it had started empty.
+        _changes(rows, order).withColumn("__purchases", purchases)
+        .groupBy(*GROUP, "__product", (F.col("__purchases") > 0).alias("__emptied"))
+        .agg(
+            F.max(F.col("__epoch") == 0).alias("__first"),
+            F.max(at_end).alias("__last"),
+            F.max(F.when(at_end, F.col("__reset"))).alias("__reset"),
+            F.coalesce(F.sum(F.when(at_end, F.col("__dq"))), F.lit(0)).alias("__q"),
+            F.coalesce(F.sum(F.when(at_end, F.col("__dw"))), F.lit(0.0)).alias("__w"),
+        )
+    )
+    # Chunks that empty the cart cut its history; number the pieces on one row per chunk.
+    earlier = Window.partitionBy("cart_id").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    pieces = rows.groupBy(*GROUP).agg(F.max("__bought").alias("__bought")).select(
+        *GROUP, F.coalesce(F.sum("__bought").over(earlier), F.lit(0)).alias("__piece"))
+
+    # Two entries per product and chunk: the question what it held before (0), then its change (1).
+    fresh = F.col("__emptied")
+    question = F.struct(
+        F.col("__piece").alias("__piece"), F.lit(0).alias("__kind"), F.lit(0).alias("__cut"),
+        F.lit(0).cast("bigint").alias("__q"), F.lit(0.0).alias("__w"))
+    answer = F.struct(
+        (F.col("__piece") + fresh.cast("int")).alias("__piece"), F.lit(1).alias("__kind"),
+        (fresh | (F.col("__reset") == 1)).cast("int").alias("__cut"), "__q", "__w")
+    entries = F.array_compact(F.array(F.when(F.col("__first"), question), F.when(F.col("__last"), answer)))
+    timeline = ends.join(pieces, GROUP).select(*GROUP, "__product", F.inline(entries))
+
+    product = Window.partitionBy("cart_id", "__product", "__piece").orderBy(CHUNK, "__kind")
+    held = (
+        Window.partitionBy("cart_id", "__product", "__piece", "__section").orderBy(CHUNK, "__kind")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+
+    def change(name: str) -> Column:
+        return F.col(name) - F.coalesce(F.lag(name).over(product), F.lit(0))
+
+    states = (
+        timeline.withColumn("__section", F.sum("__cut").over(
+            product.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .withColumns({"__hq": F.sum("__q").over(held), "__hw": F.sum("__w").over(held)})
+        .withColumns({"__dq": change("__hq"), "__dw": change("__hw")})
+    )
+    asked = F.col("__kind") == 0
+    per_product = states.filter(asked & F.col("__product").isNotNull()).select(
+        *GROUP, "__product", F.col("__hq").alias("__own"), F.col("__hw").alias("__worth"))
+
+    # The whole cart at a chunk's start, less the products that have a row of their own.
+    whole = (
+        Window.partitionBy("cart_id", "__piece").orderBy(CHUNK, "__kind")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    per_chunk = states.groupBy(*GROUP, "__piece", "__kind").agg(
+        F.sum(F.when(asked, F.col("__hq")).otherwise(0)).alias("__asked_q"),
+        F.sum(F.when(asked, F.col("__hw")).otherwise(0.0)).alias("__asked_w"),
+        F.sum(F.when(asked, 0).otherwise(F.col("__dq"))).alias("__dq"),
+        F.sum(F.when(asked, 0.0).otherwise(F.col("__dw"))).alias("__dw"),
+    )
+    rest = (
+        per_chunk.withColumns({"__tq": F.sum("__dq").over(whole), "__tw": F.sum("__dw").over(whole)})
+        .filter(asked)
+        .select(*GROUP, F.lit(None).cast("string").alias("__product"),
+                (F.col("__tq") - F.col("__asked_q")).alias("__own"),
+                (F.col("__tw") - F.col("__asked_w")).alias("__worth"))
+    )
+    return (
+        per_product.unionByName(rest)
+        .filter((F.col("__own") != 0) | (F.col("__worth") != 0.0))
+        .withColumns({"__reset": F.lit(0), "__bought": F.lit(0)})
     )
-    # Only resets look for the segment they end, one row per key on both sides. The other rows
-    # match nothing and take a spread key, so that a busy cart does not meet in one task.
-    spread = F.when(F.col("__reset"), 0).otherwise(1 + F.pmod(F.hash(*order), F.lit(997)))
-    joined = rows.withColumn("__spread", spread).join(ended, [*segment_key, "__spread"], "left")
-    changes = {
-        "replayed_qty": F.col("__own") - F.coalesce("__ended_qty", F.lit(0)),
-        "__value": worth - F.coalesce("__ended_value", F.lit(0.0)),
-    }
-    rows = running(joined, ["cart_id", "__epoch"], order, changes, chunk_seconds=chunk_seconds)
-    # Adding 0.0 keeps an emptied cart from showing a negative zero.
-    value = round_even(F.col("__value")) + F.lit(0.0)
-    return rows.withColumn("replayed_value", value).select(
-        *events.columns, "replayed_qty", "replayed_value")
 
 
 def cart_mismatches(replayed: DataFrame) -> DataFrame:

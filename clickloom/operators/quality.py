@@ -11,7 +11,7 @@ from clickloom.functions.measures import is_event, is_purchase
 from clickloom.functions.scalars import parse_event_time, round_even
 from clickloom.operators.carts import ORDER, cart_replay
 from clickloom.operators.parsing import parse_json
-from clickloom.operators.scans import DEFAULT_CHUNK_SECONDS, running
+from clickloom.operators.scans import DEFAULT_BUSY_ROWS, DEFAULT_CHUNK_SECONDS, last_before
 from clickloom.schemas import EVENT_V1, FUNNEL_STAGES
 
 # Fields each kind of event must carry.
@@ -49,7 +49,8 @@ def checked_messages(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFra
         if needing:
             rules.append(F.when(name.isin(*needing) & F.col(field).isNull(), f"missing:{field}"))
     broken = F.when(unreadable, F.array(F.lit("unparsable"))).otherwise(F.array_compact(F.array(*rules)))
-    return parsed.withColumn("reasons", broken)
+    # Generated, so that filters on the reasons do not repeat the rules.
+    return parsed.select("*", F.explode(F.array(broken)).alias("reasons"))
 
 
 def valid_messages(checked: DataFrame) -> DataFrame:
@@ -73,8 +74,10 @@ def order_reconciliation(events: DataFrame) -> DataFrame:
     """
     worth = F.aggregate("items", F.lit(0.0), lambda acc, x: acc + x["price"] * x["quantity"])
     pieces = F.aggregate("items", F.lit(0).cast("bigint"), lambda acc, x: acc + x["quantity"])
-    summed = events.filter(is_purchase() & F.col("items").isNotNull()).withColumns({
-        "items_value": round_even(worth), "items_qty": pieces})
+    # Generating the two sums keeps the filter above them; it would repeat them otherwise.
+    sums = F.struct(round_even(worth).alias("items_value"), pieces.alias("items_qty"))
+    summed = events.filter(is_purchase()).select(
+        "event_id", "order_id", "revenue", "cart_value", "cart_items_qty", F.inline(F.array(sums)))
     checks = {
         "revenue": F.abs(F.col("revenue") - F.col("items_value")) >= 0.005,
         "cart_value": F.abs(F.col("cart_value") - F.col("items_value")) >= 0.005,
@@ -99,6 +102,7 @@ def session_stages(events: DataFrame) -> DataFrame:
 
 
 def session_violations(events: DataFrame, order: list[str] | None = None,
+                       busy_rows: int = DEFAULT_BUSY_ROWS,
                        chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
     """Checkout events that the steps before them do not allow, with ``reasons``.
 
@@ -106,19 +110,26 @@ def session_violations(events: DataFrame, order: list[str] | None = None,
     anything comes from the cart replay.
     """
     order = order or ORDER
-    replayed = cart_replay(events, order, chunk_seconds).filter(F.col("session_id").isNotNull())
-    steps = replayed.filter(
-        is_event("begin_checkout") | is_event("checkout_progress") | is_purchase())
+    steps = events.filter(
+        F.col("session_id").isNotNull()
+        & (is_event("begin_checkout") | is_event("checkout_progress") | is_purchase()))
     state = F.when(is_event("begin_checkout"), 1).when(is_purchase(), 0)
-    steps = running(steps, ["session_id"], order, lasts={"__open": state}, own_row=False,
-                    chunk_seconds=chunk_seconds)
+    steps = last_before(steps.select("session_id", "event_name", *_with_id(order)), "session_id",
+                        order, "__open", state, busy_rows, chunk_seconds)
+    totals = cart_replay(events, order, busy_rows, chunk_seconds).select(
+        "session_id", "event_id", "replayed_qty")
+    steps = steps.join(totals, ["session_id", "event_id"], "left")
     open_before = F.coalesce("__open", F.lit(0)) == 1
     reasons = F.array_compact(F.array(
         F.when(is_event("begin_checkout") & open_before, "checkout_already_open"),
         F.when(~is_event("begin_checkout") & ~open_before, "no_open_checkout"),
-        F.when(~is_event("checkout_progress") & (F.col("replayed_qty") <= 0), "empty_cart"),
+        F.when(~is_event("checkout_progress") & (F.coalesce("replayed_qty", F.lit(0)) <= 0), "empty_cart"),
     ))
     return (
         steps.withColumn("reasons", reasons).filter(F.size("reasons") > 0)
         .select("session_id", "event_id", "event_name", "event_time", "reasons")
     )
+
+
+def _with_id(order: list[str]) -> list[str]:
+    return list(dict.fromkeys(["event_time", *order, "event_id"]))

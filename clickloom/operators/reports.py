@@ -196,7 +196,7 @@ def overview_funnel(totals: DataFrame) -> DataFrame:
     zeroed = totals.select(*[F.coalesce(F.col(s), F.lit(0)).alias(s) for s in FUNNEL_STAGES])
     rows = zeroed.unpivot([], list(FUNNEL_STAGES), "event_name", "count")
     position = F.array_position(F.array(*[F.lit(s) for s in FUNNEL_STAGES]), F.col("event_name"))
-    return rows.select(position.alias("pos"), "event_name", "count").orderBy("pos")
+    return rows.select(position.cast("int").alias("pos"), "event_name", "count").orderBy("pos")
 
 
 def multi_dimension_report(events: DataFrame, period: TimeRange, by: tuple[str, ...]) -> DataFrame:

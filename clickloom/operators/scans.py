@@ -1,9 +1,10 @@
-"""Running totals that do not gather a whole key in one task.
+"""Looking back over a key's rows without gathering a busy key in one task.
 
-A plain window over ``partitionBy(key)`` hands all rows of a key to one task, so one busy cart can
-hold up the job. Here every key is cut into time chunks. Each chunk is scanned on its own, and a
-chunk's starting value comes from a second, much smaller scan over one row per key and chunk,
-aggregated before its shuffle. The result is the same as that of the plain window.
+A plain window over ``partitionBy(key)`` hands all rows of a key to one task, which is right for
+keys of ordinary size and hopeless for one that holds a large part of the table. Busy keys are
+therefore cut into time chunks. A chunk is scanned on its own, and what came before it is taken
+from a much smaller table of one row per key and chunk, aggregated before its shuffle. The result
+is the same as that of the plain window.
 """
 
 from __future__ import annotations
@@ -12,61 +13,52 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK = "__chunk"
+BUSY = "__busy"
 DEFAULT_CHUNK_SECONDS = 3600
+DEFAULT_BUSY_ROWS = 2_000_000
 
 
-def time_chunk(event_time: str, seconds: int) -> Column:
-    """Chunk number; grows with time, so chunks follow each other as the events do.
+def with_chunks(df: DataFrame, key: str, event_time: str, busy_rows: int = DEFAULT_BUSY_ROWS,
+                chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """Add whether a key is busy (more than ``busy_rows`` rows) and the chunk of each row.
 
-    Pick the length so that the rows of the busiest key within it fit one task.
+    Ordinary keys have one chunk. The chunks of a busy key grow with time; pick their length so
+    that the rows of the busiest key within it fit one task.
+
+    The busy keys are broadcast: there are at most ``rows / busy_rows`` of them, half a million
+    among 10^12 rows.
     """
-    return F.floor(F.unix_seconds(F.col(event_time)) / F.lit(seconds))
+    sizes = df.groupBy(key).count()
+    busy = sizes.filter(F.col("count") > busy_rows).select(key, F.lit(True).alias(BUSY))
+    chunk = F.floor(F.unix_seconds(F.col(event_time)) / F.lit(chunk_seconds))
+    return (
+        df.join(F.broadcast(busy), key, "left")
+        .withColumn(BUSY, F.coalesce(BUSY, F.lit(False)))
+        .withColumn(CHUNK, F.when(F.col(BUSY), chunk).otherwise(F.lit(0)))
+    )
 
 
-def running(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column] | None = None,
-            lasts: dict[str, Column] | None = None, own_row: bool = True,
-            chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
-    """Add running columns per key: sums, and the last non-null value so far.
+def last_before(df: DataFrame, key: str, order: list[str], name: str, value: Column,
+                busy_rows: int = DEFAULT_BUSY_ROWS,
+                chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+    """Add the last non-null value among the key's earlier rows, null if there is none.
 
-    ``order`` starts with the event time and must order the rows of a key completely. A row's own
-    value counts unless ``own_row`` is false. Sums are 0 and last values null before the first
-    contribution. Keys must not be null.
+    ``order`` starts with the event time and orders a key's rows completely. Keys must not be null.
     """
-    sums, lasts = sums or {}, lasts or {}
-    inputs = {f"__in_{name}": value for name, value in {**sums, **lasts}.items()}
-    rows = df.withColumns({**inputs, CHUNK: time_chunk(order[0], chunk_seconds)})
-
-    so_far = (
-        Window.partitionBy(*keys, CHUNK).orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow if own_row else -1)
+    rows = with_chunks(df.withColumn("__value", value), key, order[0], busy_rows, chunk_seconds)
+    earlier_rows = (
+        Window.partitionBy(key, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
-    local = rows.withColumns({
-        **{f"__at_{name}": F.sum(f"__in_{name}").over(so_far) for name in sums},
-        **{f"__at_{name}": F.last(f"__in_{name}", True).over(so_far) for name in lasts},
-    })
+    local = rows.withColumn("__within", F.last("__value", True).over(earlier_rows))
 
-    position = F.struct(*order)
-    chunks = rows.groupBy(*keys, CHUNK).agg(
-        *[F.sum(f"__in_{name}").alias(f"__sum_{name}") for name in sums],
-        *[F.max_by(f"__in_{name}", F.when(F.col(f"__in_{name}").isNotNull(), position))
-          .alias(f"__last_{name}") for name in lasts],
-    )
-    earlier = (
-        Window.partitionBy(*keys).orderBy(CHUNK)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = chunks.select(
-        *keys, CHUNK,
-        *[F.sum(f"__sum_{name}").over(earlier).alias(f"__from_{name}") for name in sums],
-        *[F.last(f"__last_{name}", True).over(earlier).alias(f"__from_{name}") for name in lasts],
+    last_of_chunk = F.max_by("__value", F.when(F.col("__value").isNotNull(), F.struct(*order)))
+    earlier_chunks = (
+        Window.partitionBy(key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     )
-    zero = F.lit(0)
+    chunks = rows.filter(BUSY).groupBy(key, CHUNK).agg(last_of_chunk.alias("__last"))
+    starts = chunks.select(key, CHUNK, F.last("__last", True).over(earlier_chunks).alias("__before"))
     return (
-        local.join(starts, [*keys, CHUNK], "left")
-        .withColumns({
-            **{name: F.coalesce(F.col(f"__at_{name}"), zero) + F.coalesce(F.col(f"__from_{name}"), zero)
-               for name in sums},
-            **{name: F.coalesce(f"__at_{name}", f"__from_{name}") for name in lasts},
-        })
-        .select(*[F.col(c) for c in df.columns if c not in sums and c not in lasts], *sums, *lasts)
+        local.join(starts, [key, CHUNK], "left")
+        .withColumn(name, F.coalesce("__within", "__before"))
+        .drop("__value", BUSY, CHUNK, "__within", "__before")
     )

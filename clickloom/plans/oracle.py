@@ -280,7 +280,7 @@ SELECT day AS time_bucket, event_name, COUNT(*) AS cnt FROM ev
 WHERE event_name IN (SELECT event_name FROM ev GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 15) GROUP BY 1, 2""",
         "heatmap_pivot": f"WITH {EVENTS} SELECT day AS time_bucket, {STAGE_COUNTS} FROM ev GROUP BY 1",
         "hour_distribution": f"""WITH {EVENTS}
-SELECT hour(event_time) AS hour_of_day, COUNT(*) AS cnt, {count_of('purchase', 'purchase_events')}
+SELECT CAST(hour(event_time) AS INTEGER) AS hour_of_day, COUNT(*) AS cnt, {count_of('purchase', 'purchase_events')}
 FROM ev GROUP BY 1""",
         "base_event_counts": f"WITH {EVENTS} SELECT event_name, COUNT(*) AS cnt FROM ev GROUP BY 1",
         "time_range": f"""WITH {EVENTS} SELECT event_name, COUNT(*) AS cnt FROM ev
@@ -374,7 +374,8 @@ FROM named WHERE seq % 23 <> 0 AND seq % 29 <> 0 GROUP BY 1, 2""",
 SELECT reason, CASE WHEN reason <> 'unparsable' THEN name END AS event_name, COUNT(*) AS events
 FROM (SELECT name, unnest(string_split(reasons, ',')) AS reason FROM checked WHERE reasons <> '') GROUP BY 1, 2""",
         "cart_replay": f"""WITH {CARTS}
-SELECT event_id, cart_id, event_name, qty AS replayed_qty, worth AS replayed_value FROM replayed""",
+SELECT event_id, cart_id, event_name, qty AS replayed_qty, CAST(worth AS DOUBLE) AS replayed_value
+FROM replayed WHERE event_name NOT IN ('product_view', 'click')""",
         "session_stages": f"""WITH {EVENTS}
 SELECT session_id, event_name, strftime(MIN(event_time), '%Y-%m-%dT%H:%M:%SZ') AS first_time,
        strftime(MAX(event_time), '%Y-%m-%dT%H:%M:%SZ') AS last_time, COUNT(*) AS events FROM ev GROUP BY 1, 2""",
@@ -392,7 +393,8 @@ found AS (
 )
 SELECT * FROM found WHERE reasons <> ''""",
         "order_lines": f"""WITH {ORDER_EVENTS}
-SELECT event_id, order_id, line, product_id, category, CAST(price AS DOUBLE) AS price, quantity,
+SELECT event_id, order_id, CAST(line AS INTEGER) AS line, product_id, category, CAST(price AS DOUBLE) AS price,
+       CAST(quantity AS INTEGER) AS quantity,
        CAST(price * quantity AS DOUBLE) AS line_total FROM items""",
         "product_sales": f"""WITH {ORDER_EVENTS}
 SELECT product_id, COUNT(*) AS lines, COUNT(DISTINCT order_id) AS orders, CAST(SUM(quantity) AS BIGINT) AS units,
@@ -403,7 +405,7 @@ summed AS (
          CAST(SUM(quantity) AS BIGINT) AS items_qty FROM items GROUP BY 1, 2, 3, 4, 5
 )
 SELECT event_id, order_id, items_value + CASE WHEN day(l_shipdate) % 5 = 0 THEN 1.0 ELSE 0.0 END AS revenue,
-       items_value AS cart_value, items_qty + CASE WHEN l_linenumber % 7 = 0 THEN 1 ELSE 0 END AS cart_items_qty,
+       items_value AS cart_value, CAST(items_qty + CASE WHEN l_linenumber % 7 = 0 THEN 1 ELSE 0 END AS INTEGER) AS cart_items_qty,
        items_value, items_qty,
        concat_ws(',', CASE WHEN day(l_shipdate) % 5 = 0 THEN 'revenue' END,
                  CASE WHEN l_linenumber % 7 = 0 THEN 'cart_items_qty' END) AS differing

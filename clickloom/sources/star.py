@@ -5,6 +5,9 @@ The tables hold no clickstream of their own; this view maps them onto the event
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,12 +64,12 @@ def flat_events(raw: DataFrame) -> DataFrame:
     )
     even = F.col("seq") % 2 == 0
     product_less = F.col("event_name").isin("begin_checkout", "checkout_progress", "purchase") & even
-    sku = F.format_string("SKU%05d", F.col("k") + 1)
+    sku = F.concat(F.lit("SKU"), F.lpad((F.col("k") + 1).cast("string"), 5, "0"))
     return named.select(
         "*",
         F.col("seq").cast("string").alias("event_id"),
         F.col("uid").cast("string").alias("user_id"),
-        F.concat_ws("-", "uid", F.date_format("event_time", "yyyy-MM-dd")).alias("session_id"),
+        F.concat_ws("-", "uid", F.to_date("event_time")).alias("session_id"),
         sku.alias("sku"),
         F.when(~product_less, sku).alias("product_id"),
         F.when(F.col("seq") % 3 != 0, 1 + F.col("k") % 5).cast("int").alias("quantity"),
@@ -176,8 +179,8 @@ def cart_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base_events(spark, sf_dir).select(
         F.concat(F.lit("C"), "user_id").alias("cart_id"),
         "session_id", "user_id", "event_time",
-        F.format_string("E%018d", "seq").alias("event_id"), "event_name",
-        F.when(touches, F.format_string("SKU%05d", slot + 1)).alias("product_id"),
+        F.concat(F.lit("E"), F.lpad("event_id", 18, "0")).alias("event_id"), "event_name",
+        F.when(touches, F.concat(F.lit("SKU"), F.lpad((slot + 1).cast("string"), 5, "0"))).alias("product_id"),
         F.when(touches, 1 + F.col("seq") % 4).cast("int").alias("quantity"),
         F.when(touches, 10.0 + 2.25 * slot).alias("price"),
     )
@@ -189,33 +192,36 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     The first item is the line's part, the others its successors in the catalogue. Every fifth
     ship day records a revenue that is off, every seventh line number a wrong quantity.
     """
-    line = table(pin_utc(spark), sf_dir, "lineitem")
-    items = F.transform(
-        F.sequence(F.lit(0), (F.col("l_linenumber") % 3).cast("int")),
-        lambda i: F.struct(
-            F.concat(F.lit("SKU"), (F.col("l_partkey") + i).cast("string")).alias("product_id"),
-            F.concat(F.lit("Producto "), (F.col("l_partkey") + i).cast("string")).alias("name"),
+    line = table(pin_utc(spark), sf_dir, "lineitem").withColumns({
+        "at": F.col("l_shipdate").cast("timestamp"), "n": F.col("l_linenumber") % 3 + 1})
+
+    def price(i: int) -> Column:
+        return F.lit(5.0) + (F.col("l_partkey") + i) % 400 * 0.25
+
+    def quantity(i: int) -> Column:
+        return F.col("l_quantity").cast("int") + i
+
+    def item(i: int) -> Column:
+        part = (F.col("l_partkey") + i).cast("string")
+        return F.struct(
+            F.concat(F.lit("SKU"), part).alias("product_id"),
+            F.concat(F.lit("Producto "), part).alias("name"),
             F.concat(F.lit("Cat"), ((F.col("l_partkey") + i) % 7).cast("string")).alias("category"),
-            (F.lit(5.0) + (F.col("l_partkey") + i) % 400 * 0.25).alias("price"),
-            (F.col("l_quantity").cast("int") + i).alias("quantity"),
-        ),
-    )
-    priced = line.select(
+            price(i).alias("price"), quantity(i).alias("quantity"),
+            (price(i) * quantity(i)).alias("line_total"))
+
+    def over_items(value: Callable[[int], Column]) -> Column:
+        return reduce(lambda a, b: a + b, [F.when(F.col("n") > i, value(i)).otherwise(0) for i in range(3)])
+
+    worth = over_items(lambda i: price(i) * quantity(i))
+    return line.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("event_id"),
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        F.col("l_shipdate").cast("timestamp").alias("event_time"),
-        "l_linenumber",
-        items.alias("bare"),
-    )
-    lines = F.transform("bare", lambda x: x.withField("line_total", x["price"] * x["quantity"]))
-    worth = F.aggregate("bare", F.lit(0.0), lambda acc, x: acc + x["price"] * x["quantity"])
-    pieces = F.aggregate("bare", F.lit(0), lambda acc, x: acc + x["quantity"])
-    return priced.select(
-        "event_id", "order_id", "event_time", F.lit("purchase").alias("event_name"),
-        (worth + F.when(F.dayofmonth("event_time") % 5 == 0, 1.0).otherwise(0.0)).alias("revenue"),
+        F.col("l_orderkey").cast("string").alias("order_id"), F.col("at").alias("event_time"),
+        F.lit("purchase").alias("event_name"),
+        (worth + F.when(F.dayofmonth("at") % 5 == 0, 1.0).otherwise(0.0)).alias("revenue"),
         worth.alias("cart_value"),
-        (pieces + F.when(F.col("l_linenumber") % 7 == 0, 1).otherwise(0)).alias("cart_items_qty"),
-        lines.alias("items"),
+        (over_items(quantity) + F.when(F.col("l_linenumber") % 7 == 0, 1).otherwise(0)).alias("cart_items_qty"),
+        F.slice(F.array(*[item(i) for i in range(3)]), 1, F.col("n")).alias("items"),
     )
 
 
