@@ -221,7 +221,9 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (worth + F.when(F.dayofmonth("at") % 5 == 0, 1.0).otherwise(0.0)).alias("revenue"),
         worth.alias("cart_value"),
         (over_items(quantity) + F.when(F.col("l_linenumber") % 7 == 0, 1).otherwise(0)).alias("cart_items_qty"),
-        F.slice(F.array(*[item(i) for i in range(3)]), 1, F.col("n")).alias("items"),
+        # Generated, so that it behaves like a stored column: filters that Spark derives from a
+        # later explode would build the array again.
+        F.explode(F.array(F.slice(F.array(*[item(i) for i in range(3)]), 1, F.col("n")))).alias("items"),
     )
 
 
