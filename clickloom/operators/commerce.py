@@ -37,21 +37,24 @@ def product_catalog(events: DataFrame, lines: DataFrame | None = None) -> DataFr
     """Latest known price, name and category per product, from events and order lines.
 
     Every attribute keeps its own latest value, as events carry a price but no name. Ties in time
-    go to the larger event id.
+    go to the larger value.
     """
+    absent = F.lit(None).cast("string")
     seen = events.select(
-        "product_id", "event_time", "event_id", "price",
-        F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("category"))
+        "product_id", "event_time", "price", absent.alias("name"), absent.alias("category"))
     if lines is not None:
-        seen = seen.unionByName(lines.select(
-            "product_id", "event_time", "event_id", "price", "name", "category"))
+        seen = seen.unionByName(lines.select("product_id", "event_time", "price", "name", "category"))
+    # A product's attributes change rarely. One hashed row per product and combination is all that
+    # is shuffled and sorted; picking latest texts right away would sort every event.
+    attributes = ["price", "name", "category"]
+    combined = (
+        seen.filter(F.col("product_id").isNotNull()).groupBy("product_id", *attributes)
+        .agg(F.max("event_time").alias("seen_at"))
+    )
 
     def latest(name: str):
-        at = F.when(F.col(name).isNotNull(), F.struct("event_time", "event_id"))
+        at = F.when(F.col(name).isNotNull(), F.struct("seen_at", name))
         return F.max_by(name, at).alias(name)
 
-    return (
-        seen.filter(F.col("product_id").isNotNull()).groupBy("product_id")
-        .agg(latest("price"), latest("name"), latest("category"),
-             F.max("event_time").alias("last_seen"))
-    )
+    return combined.groupBy("product_id").agg(
+        *[latest(name) for name in attributes], F.max("seen_at").alias("last_seen"))

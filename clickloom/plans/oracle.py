@@ -412,13 +412,13 @@ SELECT event_id, order_id, items_value + CASE WHEN day(l_shipdate) % 5 = 0 THEN
 FROM summed WHERE day(l_shipdate) % 5 = 0 OR l_linenumber % 7 = 0""",
         "product_catalog": f"""WITH {EVENTS}, {ORDER_EVENTS},
 seen AS (
-  SELECT product_id, event_time, CAST(seq AS VARCHAR) AS event_id, price, NULL AS name, NULL AS category FROM ev
+  SELECT product_id, event_time, price, NULL AS name, NULL AS category FROM ev
   UNION ALL
-  SELECT product_id, l_shipdate, event_id, CAST(price AS DOUBLE), name, category FROM items
+  SELECT product_id, l_shipdate, CAST(price AS DOUBLE), name, category FROM items
 )
-SELECT product_id, arg_max(price, (event_time, event_id)) FILTER (price IS NOT NULL) AS price,
-       arg_max(name, (event_time, event_id)) FILTER (name IS NOT NULL) AS name,
-       arg_max(category, (event_time, event_id)) FILTER (category IS NOT NULL) AS category,
+SELECT product_id, arg_max(price, (event_time, price)) FILTER (price IS NOT NULL) AS price,
+       arg_max(name, (event_time, name)) FILTER (name IS NOT NULL) AS name,
+       arg_max(category, (event_time, category)) FILTER (category IS NOT NULL) AS category,
        strftime(MAX(event_time), '%Y-%m-%dT%H:%M:%SZ') AS last_seen
 FROM seen WHERE product_id IS NOT NULL GROUP BY 1""",
         "top_channels": bars_query("channel", "orders"),
