@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.files import delete, numbered_folders
-from clickloom.sources.snapshots import latest_counts, newest_base, read_changes
+from clickloom.sources.snapshots import latest_counts, newest_base, newest_finished, read_changes
 
 
 def upsert_counts(path: str) -> Callable[[DataFrame, int], None]:
@@ -29,16 +29,17 @@ def upsert_counts(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def compact_snapshot(spark: SparkSession, path: str) -> int | None:
-    """Write every key as of the newest batch into a base; readers then skip what it covers.
+    """Write every key as of the newest finished batch into a base; readers then skip what it covers.
 
-    Returns that batch id. ``drop_compacted`` deletes the covered folders once no reader that
-    started earlier is still running.
+    A batch that is still being written stays out, or the rest of it would be skipped too. Returns
+    the batch id. ``drop_compacted`` deletes the covered folders once no reader that started
+    earlier is still running.
     """
-    changes = read_changes(spark, path)
-    upto = changes.agg(F.max("batch_id")).first()[0]
-    if upto is None or upto == newest_base(spark, path):
-        return upto
-    covered = latest_counts(changes.filter(F.col("batch_id") <= upto))
+    base = newest_base(spark, path)
+    upto = newest_finished(spark, f"{path}/changes")
+    if upto is None or (base is not None and upto <= base):
+        return base
+    covered = latest_counts(read_changes(spark, path).filter(F.col("batch_id") <= upto))
     covered.write.mode("overwrite").parquet(f"{path}/base/batch_id={upto}")
     return upto
 

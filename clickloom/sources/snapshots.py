@@ -17,11 +17,17 @@ from clickloom.schemas import SNAPSHOT, SNAPSHOT_PREFIX
 CHANGES = "product_id STRING, event_name STRING, count BIGINT, batch_id BIGINT"
 
 
+def newest_finished(spark: SparkSession, path: str) -> int | None:
+    """Highest batch id below a folder that was written to its end."""
+    folders = numbered_folders(spark, path, "batch_id")
+    for batch in sorted(folders, reverse=True):
+        if exists(spark, f"{folders[batch]}/_SUCCESS"):
+            return batch
+    return None
+
+
 def newest_base(spark: SparkSession, path: str) -> int | None:
-    """Batch id of the newest base that was written to its end."""
-    bases = numbered_folders(spark, f"{path}/base", "batch_id")
-    done = [batch for batch, folder in bases.items() if exists(spark, f"{folder}/_SUCCESS")]
-    return max(done, default=None)
+    return newest_finished(spark, f"{path}/base")
 
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:

@@ -84,6 +84,18 @@ def test_counts_restart_and_replay(spark, inbox, tmp_path):
     assert table(read_snapshot(spark, str(out))) == expected
 
 
+def test_unfinished_batch_is_not_compacted(spark, tmp_path):
+    write = upsert_counts(str(tmp_path))
+    schema = "product_id string, event_name string, count long"
+    write(spark.createDataFrame([("A", "click", 1), ("B", "click", 1)], schema), 0)
+    write(spark.createDataFrame([("A", "click", 2)], schema), 1)
+    (tmp_path / "changes" / "batch_id=1" / "_SUCCESS").unlink()
+    assert compact_snapshot(spark, str(tmp_path)) == 0
+    write(spark.createDataFrame([("A", "click", 2), ("B", "click", 3)], schema), 1)
+    drop_compacted(spark, str(tmp_path))
+    assert table(read_snapshot(spark, str(tmp_path))) == {("A", "click"): 2, ("B", "click"): 3}
+
+
 def test_no_snapshot_yet(spark, tmp_path):
     assert read_snapshot(spark, str(tmp_path / "none")).count() == 0
     assert compact_snapshot(spark, str(tmp_path / "none")) is None
