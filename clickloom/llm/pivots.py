@@ -29,6 +29,9 @@ PREFIX = 5
 SHARED = 3
 #: Vectors of one list compared in one group; longer lists are cut and each two parts meet.
 LIST = 512
+#: Groups of up to so many vectors write down their pairs; pairs looked at together.
+SMALL = 48
+AT_ONCE = 1 << 16
 
 
 def usable(vector: Column) -> Column:
@@ -92,28 +95,71 @@ def _lowest(mask: np.ndarray, many: int) -> np.ndarray:
     return out
 
 
-def _verified(frame: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Links of one group (label, size, list, two chunks): weight of direct links and the set's root, by vector."""
+def _close_pairs(unit: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the pairs reach the threshold, a slice at a time."""
+    out = np.zeros(len(a), bool)
+    for at in range(0, len(a), AT_ONCE):
+        part = slice(at, at + AT_ONCE)
+        out[part] = np.einsum("ij,ij->i", unit[a[part]], unit[b[part]]) >= threshold
+    return out
+
+
+def _verified(frame: pd.DataFrame, group: list[str], threshold: float) -> pd.DataFrame:
+    """Of whole groups (label, size, list, two chunks): weight of direct links and the set's root, by vector.
+
+    A pair meets in several lists; it counts in the one of its lowest shared pivots. Small groups write down their
+    pairs, count the shared pivots and verify what is left; in large ones a product of matrices is quicker.
+    """
+    new = np.zeros(len(frame), bool)
+    for name in group:
+        own = frame[name].to_numpy()
+        new[1:] |= own[1:] != own[:-1]
+    starts = np.concatenate(([0], np.flatnonzero(new)))
+    sizes = np.diff(np.append(starts, len(frame)))
     unit = _unit(np.stack(frame["vector"].to_numpy()).astype(np.float64))
-    chunk, low, high = (frame[c].to_numpy() for c in ("chunk", "low", "high"))
-    left, right = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
     mask = np.array([sum(1 << int(x) for x in p) for p in frame["prefix"]], np.uint64)
-    near = unit[left] @ unit[right].T >= threshold
-    near &= left[:, None] != right[None, :]
-    a, b = np.nonzero(near)
-    a, b = left[a], right[b]
-    # A pair shares several lists; it counts in the one of its lowest shared pivots.
-    own = np.uint64(int(frame["list"].iloc[0]) % (1 << 64))
-    first = (own == 0) | (_lowest(mask[a] & mask[b], SHARED) == own)
-    a, b = a[first], b[first]
+    lists = frame["list"].to_numpy().view(np.uint64)
+    chunk, low, high = (frame[c].to_numpy() for c in ("chunk", "low", "high"))
+
+    def counted(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (lists[a] == 0) | (_lowest(mask[a] & mask[b], SHARED) == lists[a])
+
+    small = np.repeat(sizes <= SMALL, sizes)
+    left = np.repeat(starts + sizes, sizes) - np.arange(len(frame)) - 1  # later rows of the same group
+    left[~small] = 0
+    firsts, seconds = [], []
+    work = np.cumsum(left) // AT_ONCE
+    for turn in np.unique(work[left > 0]):
+        rows = np.flatnonzero((work == turn) & (left > 0))
+        many = left[rows]
+        a = np.repeat(rows, many)
+        b = a + 1 + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        kept = ((low[a] == high[a]) | (chunk[a] != chunk[b])) & counted(a, b)
+        a, b = a[kept], b[kept]
+        kept = _close_pairs(unit, a, b, threshold)
+        firsts.append(a[kept])
+        seconds.append(b[kept])
+    for start, size in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
+        at = np.arange(start, start + size)
+        one, other = at[chunk[at] == low[at]], at[chunk[at] == high[at]]
+        a, b = np.nonzero(unit[one] @ unit[other].T >= threshold)
+        a, b = one[a], other[b]
+        kept = ((low[start] != high[start]) | (a < b)) & counted(a, b)
+        firsts.append(a[kept])
+        seconds.append(b[kept])
+    a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (firsts, seconds))
     copies = frame["copies"].to_numpy()
-    weight = np.bincount(a, copies[b], len(frame)).astype(np.int64)
-    if low[0] != high[0]:
-        weight += np.bincount(b, copies[a], len(frame)).astype(np.int64)
+    weight = np.bincount(a, copies[b], len(frame)) + np.bincount(b, copies[a], len(frame))
     root = local_roots(len(frame), a, b)
     rep = frame["rep"].to_numpy()
     some = weight > 0
-    return pd.DataFrame({"rep": rep[some], "links": weight[some], "root": rep[root[some]]})
+    return pd.DataFrame({"rep": rep[some], "links": weight[some].astype(np.int64), "root": rep[root[some]]})
+
+
+def _by_size(frame: pd.DataFrame, group: list[str], threshold: float) -> Iterator[pd.DataFrame]:
+    """Vectors of different sizes do not stand in one matrix."""
+    for _, own in frame.groupby("size", sort=False):
+        yield _verified(own.reset_index(drop=True), group, threshold)
 
 
 def verified_links(reps: DataFrame, threshold: float) -> DataFrame:
@@ -133,8 +179,7 @@ def verified_links(reps: DataFrame, threshold: float) -> DataFrame:
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in whole_groups(batches, group, 1 << 12):
-            for _, own in frame.groupby(group, sort=False):
-                yield _verified(own.reset_index(drop=True), threshold)
+            yield from _by_size(frame, group, threshold)
 
     return groups.repartition(*group).sortWithinPartitions(*group).mapInPandas(
         verify, "rep long, links long, root long")
