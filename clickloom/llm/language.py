@@ -24,7 +24,7 @@ GRAM = 3
 #: Code points looked at together, so that a very long text needs bounded memory.
 SLICE = 1 << 20
 #: Added to the largest distance seen in fitting at the same text length; beyond it a text is rejected.
-MARGIN = 0.1
+MARGIN = 0.25
 
 UNKNOWN = "und"
 
