@@ -37,6 +37,22 @@ def per_text(df: DataFrame, function: Callable, schema: str, text: str = "text")
     return df.withColumn("_made", made(F.col(text))).select(*kept, "_made.*")
 
 
+KEY = ["_key1", "_key2"]
+
+
+def row_key(df: DataFrame) -> list[Column]:
+    """128 bits of hash over all columns, nulls told apart: equal rows have equal keys."""
+    columns = [F.col(f"`{f.name}`").cast("string") if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`")
+               for f in df.schema]
+    seen = [*columns, *[c.isNull() for c in columns]]
+    return [F.xxhash64(F.lit(i), *seen).alias(name) for i, name in enumerate(KEY)]
+
+
+def different_rows(df: DataFrame) -> DataFrame:
+    """The different rows of ``df`` as the struct ``_doc`` with their key; repeats fall together before the shuffle."""
+    return df.select(*row_key(df), F.struct("*").alias("_doc")).groupBy(*KEY).agg(F.first("_doc").alias("_doc"))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

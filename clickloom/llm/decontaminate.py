@@ -176,5 +176,5 @@ def _mark_by_join(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no benchmark window occurs, with the columns of ``docs``."""
-    names = docs.columns
-    return mark(docs, benchmark, window).filter(~F.col("contaminated")).select(*names)
+    packed = docs.select(F.struct("*").alias("_doc"), "text")
+    return mark(packed, benchmark, window).filter(~F.col("contaminated")).select("_doc.*")

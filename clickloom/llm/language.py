@@ -176,4 +176,5 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_identified(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose language is found, with the columns of ``docs``."""
-    return identify(docs, fit(labelled)).filter(~F.col("rejected")).select(*docs.columns)
+    packed = docs.select(F.struct("*").alias("_doc"), "text")
+    return identify(packed, fit(labelled)).filter(~F.col("rejected")).select("_doc.*")

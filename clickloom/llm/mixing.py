@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import SPACE, settle
+from clickloom.llm.common import KEY, SPACE, different_rows, row_key, settle
 
 SEED = 40_009
 #: Share of all words that the mix takes, and how often a document may be taken.
@@ -121,7 +121,7 @@ def taken(digests: DataFrame, seed: int = SEED, block: int = BLOCK, shards: int
     placed = spread.join(given, spread["source"].eqNullSafe(given["_s"])).withColumn(
         "_bin", F.floor(unit * F.col("_bins"))).withColumn("_words", F.col("size") * F.col("rows"))
     order = Window.partitionBy("source", "_bin").orderBy(
-        F.pmod(F.col("_hash"), F.lit(1 << 30)), "_hash", "doc_id", "text_hash", "size").rowsBetween(
+        F.pmod(F.col("_hash"), F.lit(1 << 30)), "_hash", *KEY).rowsBetween(
         Window.unboundedPreceding, -1)
     bins = spread.join(given, spread["source"].eqNullSafe(given["_s"])).groupBy(
         "source", F.floor(unit * F.col("_bins")).alias("_bin")).agg(
@@ -144,10 +144,11 @@ def words_taken(start: Column) -> Column:
             + F.least(F.col("size"), F.greatest(F.lit(0), rest - start))).cast("long")
 
 
-def digests_of(docs: DataFrame, *more: Column) -> DataFrame:
-    """Equal documents as one row: doc_id, source, size, text_hash and how many rows."""
-    return docs.groupBy("doc_id", "source", word_count(F.col("text")).alias("size"),
-                        F.xxhash64("text").alias("text_hash")).agg(F.count(F.lit(1)).alias("rows"), *more)
+def digests_of(docs: DataFrame) -> DataFrame:
+    """Equal rows as one: their key, doc_id, source, size, text_hash and how many rows."""
+    return docs.select(*row_key(docs), "doc_id", "source", word_count(F.col("text")).alias("size"),
+                       F.xxhash64("text").alias("text_hash")).groupBy(
+        *KEY, "doc_id", "source", "size", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def mix(docs: DataFrame, **options: object) -> DataFrame:
@@ -156,7 +157,7 @@ def mix(docs: DataFrame, **options: object) -> DataFrame:
     Null texts and texts without words have size 0 and nothing is taken of them. A null source is a source, the
     last one. An empty table gives an empty one. Other columns are not looked at.
     """
-    counted = settle(digests_of(docs), "digests")
+    counted = settle(digests_of(docs.select("doc_id", "source", "text")), "digests")
     each = taken(counted, **options).withColumn(
         "_copy", F.explode(F.sequence(F.lit(1), F.col("rows"))))
     start = F.col("start") + (F.col("_copy") - 1) * F.col("size")
@@ -166,13 +167,12 @@ def mix(docs: DataFrame, **options: object) -> DataFrame:
 def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
     """The mix as whole documents with the columns of ``docs``: each as often as its words are taken, to the
     nearest whole copy. Documents without words stay once."""
-    rows = settle(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
-    counted = settle(digests_of(rows, F.min("_row").alias("_row")), "digests")
+    counted = settle(digests_of(docs), "digests")
     size, copies = F.col("size") * F.col("rows"), F.col("rows")
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("reach") / F.col("source_size"))).otherwise(0)
     rest = F.col("reach") - passes * F.col("source_size") - F.col("start")
     part = F.least(size, F.greatest(F.lit(0), rest)) / F.col("size")
     times = F.when(F.col("size") > 0, passes * copies + F.floor(part + 0.5)).otherwise(copies)
-    wanted = taken(counted, **options).select("_row", times.cast("int").alias("_times")).filter("_times > 0")
-    return rows.join(wanted, "_row").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    wanted = taken(counted, **options).select(*KEY, times.cast("int").alias("_times")).filter("_times > 0")
+    return different_rows(docs).join(wanted, KEY).select("_doc", F.explode(
+        F.sequence(F.lit(1), F.col("_times")))).select("_doc.*")

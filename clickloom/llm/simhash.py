@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import per_text, settle, split_hot
+from clickloom.llm.common import KEY, different_rows, per_text, row_key, settle, split_hot
 from clickloom.llm.components import components
 
 WORDS = 4
@@ -216,9 +216,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of each group of near-duplicates: the one with the least doc_id (null last), whole."""
-    rows = settle(with_fingerprints(docs).withColumn("_row", F.monotonically_increasing_id()), "fingerprints")
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
-    own = settle(rows.groupBy("bits").agg(F.min(order).alias("first")), "different")
+    keyed = docs.select("doc_id", "text", *row_key(docs))
+    prints = settle(with_fingerprints(keyed).select("doc_id", "bits", *KEY), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *KEY)
+    own = settle(prints.groupBy("bits").agg(F.min(order).alias("first")), "different")
     best = own.join(classes(own), "bits", "left").groupBy(F.coalesce("root", "bits").alias("root")).agg(
-        F.min("first").alias("first")).select(F.col("first._row").alias("_row"))
-    return rows.join(best, "_row", "left_semi").select(*docs.columns)
+        F.min("first").alias("first")).select(*[F.col(f"first.{k}") for k in KEY])
+    return different_rows(docs).join(best, KEY, "left_semi").select("_doc.*")
