@@ -15,7 +15,6 @@ class Dimension:
     """Grouping expression by the columns it falls back through, in order."""
 
     group: str
-    label: str
     columns: tuple[str, ...]
     purchase_only: bool = False
 
@@ -31,27 +30,27 @@ class MembershipDimension(Dimension):
         return F.when(F.col(self.columns[0]), "member").otherwise("non_member")
 
 
-# Report dimensions, their labels and source columns.
+# Report dimensions, and their source columns.
 DIMENSIONS: dict[str, Dimension] = {
-    "channel": Dimension("marketing", "Canal", ("marketing.channel",)),
-    "source": Dimension("marketing", "Fuente", ("marketing.source",)),
-    "medium": Dimension("marketing", "Medio", ("marketing.medium",)),
-    "campaign": Dimension("marketing", "Campaña", ("marketing.campaign_name",)),
-    "segment": Dimension("customer", "Segmento", ("customer.segment",)),
-    "loyalty_tier": Dimension("customer", "Loyalty tier", ("customer.loyalty_tier",)),
-    "membership": MembershipDimension("customer", "Membership", ("customer.is_member",)),
-    "customer_country": Dimension("customer", "País cliente", ("geo.country",)),
-    "product": Dimension("product", "Producto", ("product_id", "product.product_id")),
-    "category": Dimension("product", "Categoría", ("product.category",)),
-    "brand": Dimension("product", "Marca", ("product.brand",)),
-    "device_type": Dimension("ops", "Device type", ("device.device_type",)),
-    "os": Dimension("ops", "OS", ("device.os",)),
-    "event_source": Dimension("ops", "Event source", ("event_source",)),
-    "country": Dimension("ops", "Country", ("geo.country",)),
-    "city": Dimension("ops", "City", ("geo.city",)),
-    "order_status": Dimension("ops", "Order status", ("order.status",), True),
-    "payment_method": Dimension("ops", "Payment method", ("order.payment_method",), True),
-    "payment_provider": Dimension("ops", "Payment provider", ("order.payment_provider",), True),
+    "channel": Dimension("marketing", ("marketing.channel",)),
+    "source": Dimension("marketing", ("marketing.source",)),
+    "medium": Dimension("marketing", ("marketing.medium",)),
+    "campaign": Dimension("marketing", ("marketing.campaign_name",)),
+    "segment": Dimension("customer", ("customer.segment",)),
+    "loyalty_tier": Dimension("customer", ("customer.loyalty_tier",)),
+    "membership": MembershipDimension("customer", ("customer.is_member",)),
+    "customer_country": Dimension("customer", ("geo.country",)),
+    "product": Dimension("product", ("product_id", "product.product_id")),
+    "category": Dimension("product", ("product.category",)),
+    "brand": Dimension("product", ("product.brand",)),
+    "device_type": Dimension("ops", ("device.device_type",)),
+    "os": Dimension("ops", ("device.os",)),
+    "event_source": Dimension("ops", ("event_source",)),
+    "country": Dimension("ops", ("geo.country",)),
+    "city": Dimension("ops", ("geo.city",)),
+    "order_status": Dimension("ops", ("order.status",), True),
+    "payment_method": Dimension("ops", ("order.payment_method",), True),
+    "payment_provider": Dimension("ops", ("order.payment_provider",), True),
 }
 
 # The metrics each dimension group may be ranked by.

@@ -9,12 +9,14 @@ from clickloom.schemas import EVENT_TIME_FORMAT, SNAPSHOT_PREFIX
 
 
 def lenient_long(value: Column) -> Column:
-    """BIGINT, with anything that is not a number counted as 0."""
-    return F.coalesce(value.try_cast("bigint"), F.lit(0).cast("bigint"))
+    """BIGINT, fractions cut off, with anything that is not a number counted as 0."""
+    return F.coalesce(value.try_cast("bigint"), value.try_cast("double").try_cast("bigint"),
+                      F.lit(0).cast("bigint"))
 
 
 def lenient_double(value: Column) -> Column:
-    return F.coalesce(value.try_cast("double"), F.lit(0.0))
+    """DOUBLE; NaN and anything that is not a number count as 0."""
+    return F.coalesce(F.nanvl(value.try_cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
@@ -32,12 +34,17 @@ def share_pct(share: Column) -> Column:
     return round_even(share * F.lit(100.0), 2)
 
 
+def utc_date(event_time: Column) -> Column:
+    """The UTC day, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(event_time) / F.lit(86_400)).cast("int"))
+
+
 def day_bucket(event_time: Column) -> Column:
-    return F.date_format(event_time, "yyyy-MM-dd")
+    return utc_date(event_time).cast("string")
 
 
 def hour_bucket(event_time: Column) -> Column:
-    return F.hour(event_time)
+    return F.pmod(F.floor(F.unix_seconds(event_time) / F.lit(3600)), F.lit(24)).cast("int")
 
 
 def parse_event_time(text: Column) -> Column:
@@ -46,13 +53,25 @@ def parse_event_time(text: Column) -> Column:
 
 
 def parse_iso(text: Column) -> Column:
-    """ISO-8601 with or without an offset (none means UTC); anything else is null."""
-    return F.try_to_timestamp(F.trim(text))
+    """ISO-8601, a full date at least, with or without an offset (none means UTC); anything else is null."""
+    bare = F.trim(text)
+    clock = r"[T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?"
+    whole = bare.rlike(rf"^\d{{4}}-\d{{2}}-\d{{2}}({clock}(Z|[+-]\d{{2}}(:?\d{{2}})?)?)?$")
+    minutes = F.regexp_replace(bare, r"^(.{10}[T ]\d{2})(Z|[+-].*)?$", "$1:00$2")
+    seconds = F.regexp_replace(minutes, r"^(.{10}[T ]\d{2}:\d{2})(Z|[+-].*)?$", "$1:00$2")
+    offset = F.regexp_replace(seconds, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    zoned = (F.when(bare.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(bare, F.lit("T00:00:00Z")))
+             .when(offset.rlike(r"(Z|[+-]\d{2}(:\d{2})?)$") & (F.length(offset) > 10), offset)
+             .otherwise(F.concat(offset, F.lit("Z"))))
+    return F.when(whole, F.try_to_timestamp(F.regexp_replace(zoned, r"([T ].*[+-]\d{2})$", "$1:00")))
 
 
 def iso_utc(event_time: Column) -> Column:
     """Whole seconds with a ``Z`` suffix."""
-    return F.date_format(event_time, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    second = F.pmod(F.unix_seconds(event_time), F.lit(86_400))
+    parts = (F.floor(second / 3600), F.floor(second / 60) % 60, second % 60)
+    clock = F.concat_ws(":", *[F.lpad(p.cast("string"), 2, "0") for p in parts])
+    return F.concat(day_bucket(event_time), F.lit("T"), clock, F.lit("Z"))
 
 
 def snapshot_key(product_id: Column, prefix: str = SNAPSHOT_PREFIX) -> Column:
@@ -70,8 +89,10 @@ def format_int(value: Column) -> Column:
 
 
 def format_pct(share: Column) -> Column:
-    return F.format_string("%.1f%%", round_even(share.cast("double") * F.lit(100.0), 1))
+    """One digit, half-even on the exact value of the double."""
+    shown = F.format_number(share.cast("double") * F.lit(100.0), 1)
+    return F.concat(F.regexp_replace(shown, ",", ""), F.lit("%"))
 
 
 def format_money(value: Column) -> Column:
-    return F.concat(F.lit("US$ "), F.format_number(round_even(value.cast("double"), 2), 2))
+    return F.concat(F.lit("US$ "), F.format_number(value.cast("double"), 2))

@@ -58,3 +58,8 @@ def recent_days(now: datetime | None = None) -> TimeRange:
 def _instant(text: str) -> datetime:
     moment = datetime.fromisoformat(text.strip())
     return moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc)
+
+
+def within(events: DataFrame, period: TimeRange | None) -> DataFrame:
+    """Rows of the period; all rows without one."""
+    return events if period is None else period.apply(events)

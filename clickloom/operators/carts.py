@@ -1,9 +1,9 @@
 """Cart replay: what each cart held after every event, recomputed from the events.
 
-Within a group of rows the replay is a handful of windows over one shuffle. A busy cart would end
-up in one task that way, so busy carts are cut into time chunks, and each chunk starts with opening
-rows that say what the cart held by then. Those come from a first pass over the busy carts' rows
-that leaves one row per cart, chunk and product.
+The rows are laid out in ranges of carts and times of about equal size (``operators.scans``), and within a range the
+replay is a handful of windows. A cart that spans several ranges starts each of them with opening rows that say
+what it held by then; those come from a first pass over such carts' rows that leaves one row per cart, range and
+product. Worth is counted in decimals, so no result depends on where a range ends.
 """
 
 from __future__ import annotations
@@ -12,16 +12,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.measures import is_event, is_purchase
-from clickloom.functions.scalars import round_even
-from clickloom.operators.scans import (
-    BUSY,
-    CHUNK,
-    DEFAULT_BUSY_ROWS,
-    DEFAULT_CHUNK_SECONDS,
-    with_chunks,
-)
+from clickloom.operators.scans import CHUNK, crossing, laid_out
+
+MONEY = "decimal(38,6)"
+
+
+def nothing() -> Column:
+    return F.lit(0).cast(MONEY)
+
+
+def default_order(events: DataFrame) -> list[str]:
+    """By time, then by the place on the topic where the table has it (event times are whole seconds), then by id."""
+    place = [c for c in ("source_partition", "source_offset") if c in events.columns]
+    return ["event_time", *place, "event_id"]
 
-ORDER = ["event_time", "event_id"]
 
 # The events that show cart totals.
 CART_EVENTS = ("add_to_cart", "update_cart", "remove_from_cart", "begin_checkout",
@@ -31,18 +35,17 @@ GROUP = ["cart_id", CHUNK]
 
 
 def cart_replay(events: DataFrame, order: list[str] | None = None,
-                busy_rows: int = DEFAULT_BUSY_ROWS,
-                chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                ranges: int | None = None) -> DataFrame:
     """Cart events with ``replayed_qty`` and ``replayed_value``.
 
     Adding increases a product's quantity, updating sets it, removing drops the product, and a
     purchase shows the cart as it was and then empties it. ``order`` must order a cart's events
-    completely; pass the topic offset in place of the id where it is known, as event times are
-    whole seconds. Views, clicks and events without a cart show no totals and are left out.
+    completely; by default that is the time, the place on the topic if known, and the id. Views, clicks and
+    events without a cart show no totals and are left out.
     """
-    order = order or ORDER
-    rows = with_chunks(_cart_rows(events), "cart_id", order[0], busy_rows, chunk_seconds)
-    narrow = rows.filter(BUSY).select(
+    order = order or default_order(events)
+    rows = laid_out(_cart_rows(events), "cart_id", order, ranges)
+    narrow = rows.join(crossing(rows, "cart_id"), "cart_id", "left_semi").select(
         *GROUP, *order, "__product", "__reset", "__own", "__worth", "__bought")
     openings = _openings(narrow, order).withColumn("__opening", F.lit(True))
     opened = rows.withColumn("__opening", F.lit(False)).unionByName(openings, allowMissingColumns=True)
@@ -54,8 +57,7 @@ def cart_replay(events: DataFrame, order: list[str] | None = None,
     )
     totals = _changes(opened, replay_order).withColumns({
         "replayed_qty": F.sum("__dq").over(so_far), "__value": F.sum("__dw").over(so_far)})
-    # Adding 0.0 keeps an emptied cart from showing a negative zero.
-    value = round_even(F.col("__value")) + F.lit(0.0)
+    value = F.bround("__value", 2).cast("double")
     return (
         totals.filter(~F.col("__opening")).withColumn("replayed_value", value)
         .select(*events.columns, "replayed_qty", "replayed_value")
@@ -72,7 +74,7 @@ def _cart_rows(events: DataFrame) -> DataFrame:
         "__product": F.when(touch, F.col("product_id")),
         "__reset": (touch & reset).cast("int"),
         "__own": F.coalesce(own, F.lit(0)).cast("bigint"),
-        "__worth": F.coalesce(own * F.col("price"), F.lit(0.0)),
+        "__worth": F.coalesce((own.cast("bigint") * F.col("price").try_cast("decimal(19,6)")).cast(MONEY), nothing()),
         "__bought": is_purchase().cast("int"),
     })
 
@@ -91,7 +93,8 @@ def _changes(rows: DataFrame, order: list) -> DataFrame:
     segment = up_to(window("__epoch", "__product", "__segment"), 0)
 
     def change(held: str) -> Column:
-        return F.col(held) - F.coalesce(F.lag(held).over(product), F.lit(0))
+        return (F.col(held) - F.coalesce(F.lag(held).over(product), F.lit(0))).cast(
+            "bigint" if held == "__q" else MONEY)
 
     return (
         rows.withColumn("__epoch", F.coalesce(F.sum("__bought").over(up_to(window(), -1)), F.lit(0)))
@@ -102,7 +105,7 @@ def _changes(rows: DataFrame, order: list) -> DataFrame:
 
 
 def _openings(rows: DataFrame, order: list[str]) -> DataFrame:
-    """What a busy cart holds as each of its chunks starts: a row per product the chunk touches
+    """What a cart holds as each of its ranges starts: a row per product the range touches
     before its first purchase, and one for the rest of the cart."""
     purchases = F.sum("__bought").over(Window.partitionBy(*GROUP))
     at_end = F.col("__epoch") == F.col("__purchases")
@@ -115,7 +118,7 @@ def _openings(rows: DataFrame, order: list[str]) -> DataFrame:
             F.max(at_end).alias("__last"),
             F.max(F.when(at_end, F.col("__reset"))).alias("__reset"),
             F.coalesce(F.sum(F.when(at_end, F.col("__dq"))), F.lit(0)).alias("__q"),
-            F.coalesce(F.sum(F.when(at_end, F.col("__dw"))), F.lit(0.0)).alias("__w"),
+            F.coalesce(F.sum(F.when(at_end, F.col("__dw"))), nothing()).cast(MONEY).alias("__w"),
         )
     )
     # Chunks that empty the cart cut its history; number the pieces on one row per chunk.
@@ -127,7 +130,7 @@ def _openings(rows: DataFrame, order: list[str]) -> DataFrame:
     fresh = F.col("__emptied")
     question = F.struct(
         F.col("__piece").alias("__piece"), F.lit(0).alias("__kind"), F.lit(0).alias("__cut"),
-        F.lit(0).cast("bigint").alias("__q"), F.lit(0.0).alias("__w"))
+        F.lit(0).cast("bigint").alias("__q"), nothing().alias("__w"))
     answer = F.struct(
         (F.col("__piece") + fresh.cast("int")).alias("__piece"), F.lit(1).alias("__kind"),
         (fresh | (F.col("__reset") == 1)).cast("int").alias("__cut"), "__q", "__w")
@@ -141,7 +144,8 @@ def _openings(rows: DataFrame, order: list[str]) -> DataFrame:
     )
 
     def change(name: str) -> Column:
-        return F.col(name) - F.coalesce(F.lag(name).over(product), F.lit(0))
+        return (F.col(name) - F.coalesce(F.lag(name).over(product), F.lit(0))).cast(
+            "bigint" if name == "__hq" else MONEY)
 
     states = (
         timeline.withColumn("__section", F.sum("__cut").over(
@@ -160,28 +164,26 @@ def _openings(rows: DataFrame, order: list[str]) -> DataFrame:
     )
     per_chunk = states.groupBy(*GROUP, "__piece", "__kind").agg(
         F.sum(F.when(asked, F.col("__hq")).otherwise(0)).alias("__asked_q"),
-        F.sum(F.when(asked, F.col("__hw")).otherwise(0.0)).alias("__asked_w"),
+        F.sum(F.when(asked, F.col("__hw")).otherwise(nothing())).cast(MONEY).alias("__asked_w"),
         F.sum(F.when(asked, 0).otherwise(F.col("__dq"))).alias("__dq"),
-        F.sum(F.when(asked, 0.0).otherwise(F.col("__dw"))).alias("__dw"),
+        F.sum(F.when(asked, nothing()).otherwise(F.col("__dw"))).cast(MONEY).alias("__dw"),
     )
     rest = (
         per_chunk.withColumns({"__tq": F.sum("__dq").over(whole), "__tw": F.sum("__dw").over(whole)})
         .filter(asked)
         .select(*GROUP, F.lit(None).cast("string").alias("__product"),
                 (F.col("__tq") - F.col("__asked_q")).alias("__own"),
-                (F.col("__tw") - F.col("__asked_w")).alias("__worth"))
+                (F.col("__tw") - F.col("__asked_w")).cast(MONEY).alias("__worth"))
     )
     return (
         per_product.unionByName(rest)
-        .filter((F.col("__own") != 0) | (F.col("__worth") != 0.0))
+        .filter((F.col("__own") != 0) | (F.col("__worth") != 0))
         .withColumns({"__reset": F.lit(0), "__bought": F.lit(0)})
     )
 
 
 def cart_mismatches(replayed: DataFrame) -> DataFrame:
-    """Cart events whose recorded totals differ from the replay."""
-    differs = (
-        (F.col("cart_items_qty") != F.col("replayed_qty"))
-        | (F.abs(F.col("cart_value") - F.col("replayed_value")) >= 0.005)
-    )
-    return replayed.filter(differs)
+    """Cart events whose recorded totals differ from the replay or are missing."""
+    same_value = F.abs(F.col("cart_value") - F.col("replayed_value")) < 0.005
+    same = F.col("cart_items_qty").eqNullSafe(F.col("replayed_qty")) & F.coalesce(same_value, F.lit(False))
+    return replayed.filter(~same)

@@ -10,16 +10,22 @@ from clickloom.functions.scalars import round_even
 
 
 def order_lines(events: DataFrame) -> DataFrame:
-    """One row per purchased item; the line total is recomputed from price and quantity."""
+    """One row per purchased item of the event table; the line total is recomputed from price and quantity."""
     items = (
         events.filter(is_purchase())
-        .select("event_id", "order_id", "event_time", F.posexplode("items").alias("line", "item"))
+        .select("event_id", "order.order_id", "event_time", F.posexplode("items").alias("line", "item"))
     )
     price, quantity = F.col("item.price"), F.col("item.quantity")
     return items.select(
         "event_id", "order_id", "event_time", "line", "item.product_id", "item.name",
         "item.category", price.alias("price"), quantity.alias("quantity"),
-        round_even(price * quantity).alias("line_total"))
+        round_even(price * quantity).alias("line_total"), F.col("item.line_total").alias("recorded_total"))
+
+
+def line_total_mismatches(lines: DataFrame) -> DataFrame:
+    """Order lines whose recorded total is not price times quantity, or of which one of the two is missing."""
+    same = F.abs(F.col("recorded_total") - F.col("line_total")) < 0.005
+    return lines.filter(~F.coalesce(same, F.lit(False)))
 
 
 def product_sales(lines: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from clickloom.functions.scalars import parse_event_time
+from clickloom.functions.scalars import parse_event_time, utc_date
 from clickloom.schemas import (
     CUSTOMER,
     EVENT_SPEED,
@@ -18,7 +18,10 @@ from clickloom.schemas import (
     PRODUCT,
 )
 
-PARSE_OPTIONS = {"mode": "PERMISSIVE"}
+PARSE_OPTIONS = {"mode": "PERMISSIVE", "allowNonNumericNumbers": "false"}
+
+#: Columns of a message stream that say where a message stood.
+POSITION = {"partition": "source_partition", "offset": "source_offset"}
 
 
 def message_text(messages: DataFrame) -> DataFrame:
@@ -77,15 +80,33 @@ def _shape(rows: DataFrame, filled: dict[str, Column]) -> DataFrame:
     filled = {
         **filled,
         "event_time": F.col("event_time_ts"),
-        "event_date": F.to_date("event_time_ts"),
+        "event_date": utc_date(F.col("event_time_ts")),
+        **{name: F.col(read) if read in rows.columns else F.lit(None) for read, name in POSITION.items()},
     }
     return rows.select(*[
         filled.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in EVENT_V2])
 
 
 def events_from_v1(messages: DataFrame) -> DataFrame:
-    return normalize_v1(parse_json(messages, EVENT_V1))
+    return normalize_v1(parse_json(messages, EVENT_V1, position_of(messages)))
 
 
 def events_from_v2(messages: DataFrame) -> DataFrame:
-    return normalize_v2(parse_json(messages, EVENT_V2_JSON))
+    return normalize_v2(parse_json(messages, EVENT_V2_JSON, position_of(messages)))
+
+
+def position_of(messages: DataFrame) -> tuple[str, ...]:
+    return tuple(c for c in POSITION if c in messages.columns)
+
+
+def first_per_event(events: DataFrame) -> DataFrame:
+    """One row per ``event_id``: the one that stood first on the topic, else the earliest. Rows without an id stay.
+
+    Repeats fall together before the shuffle, however often an event was sent.
+    """
+    order = [F.col(c).isNull() for c in POSITION.values() if c in events.columns]
+    order += [F.col(c) for c in (*POSITION.values(), "event_time") if c in events.columns]
+    row = F.struct(*[F.col(c) for c in events.columns])
+    once = events.filter(F.col("event_id").isNotNull()).groupBy("event_id").agg(
+        F.min_by(row, F.struct(*order)).alias("_row")).select("_row.*")
+    return once.unionByName(events.filter(F.col("event_id").isNull()))

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.measures import is_event, is_purchase
 from clickloom.functions.scalars import parse_event_time, round_even
-from clickloom.operators.carts import ORDER, cart_replay
+from clickloom.operators.carts import cart_replay, default_order
 from clickloom.operators.parsing import parse_json
-from clickloom.operators.scans import DEFAULT_BUSY_ROWS, DEFAULT_CHUNK_SECONDS, last_before
+from clickloom.operators.scans import last_before
 from clickloom.schemas import EVENT_V1, FUNNEL_STAGES
+from clickloom.session import settle
 
 # Fields each kind of event must carry.
 COMMON_FIELDS = ("event_id", "user_id", "session_id", "device", "currency", "cart_id", "page_url",
@@ -68,24 +69,36 @@ def violation_counts(checked: DataFrame) -> DataFrame:
 
 
 def order_reconciliation(events: DataFrame) -> DataFrame:
-    """Purchases whose revenue, cart value or quantity differs from the sum of their items.
+    """Purchases of the event table whose revenue, cart value or quantity differs from the sum of their items.
 
-    The items are summed inside each row; nothing is exploded or shuffled.
+    ``differing`` also names what is missing: ``missing:items``, ``missing:item_values`` (an item lacks its price or
+    quantity) or a recorded total. The items are summed in one fold inside each row; nothing is exploded or shuffled.
     """
-    worth = F.aggregate("items", F.lit(0.0), lambda acc, x: acc + x["price"] * x["quantity"])
-    pieces = F.aggregate("items", F.lit(0).cast("bigint"), lambda acc, x: acc + x["quantity"])
-    # Generating the two sums keeps the filter above them; it would repeat them otherwise.
-    sums = F.struct(round_even(worth).alias("items_value"), pieces.alias("items_qty"))
+    # The fold's fields take the start's type, which allows no nulls: items without a value are counted instead.
+    start = F.struct(F.lit(0.0).alias("worth"), F.lit(0).cast("bigint").alias("pieces"), F.lit(0).alias("blank"))
+    folded = F.aggregate("items", start, lambda acc, x: F.struct(
+        (acc["worth"] + F.coalesce(x["price"] * x["quantity"], F.lit(0.0))).alias("worth"),
+        (acc["pieces"] + F.coalesce(x["quantity"], F.lit(0))).alias("pieces"),
+        (acc["blank"] + F.when(x["price"].isNull() | x["quantity"].isNull(), 1).otherwise(0)).alias("blank")))
+    # Generating the fold keeps the filter above it; it would repeat it otherwise.
     summed = events.filter(is_purchase()).select(
-        "event_id", "order_id", "revenue", "cart_value", "cart_items_qty", F.inline(F.array(sums)))
+        "event_id", "order.order_id", "revenue", "cart_value", "cart_items_qty",
+        F.coalesce(F.size("items") < 1, F.lit(True)).alias("no_items"), F.explode(F.array(folded)).alias("sums"))
+    full = F.col("sums.blank") == 0
+    summed = summed.withColumns({"items_value": F.when(full, round_even(F.col("sums.worth"))),
+                                 "items_qty": F.when(full, F.col("sums.pieces"))})
+    rules = [
+        F.when(F.col("no_items"), "missing:items"),
+        F.when(~F.col("no_items") & (F.col("sums.blank") > 0), "missing:item_values")]
     checks = {
         "revenue": F.abs(F.col("revenue") - F.col("items_value")) >= 0.005,
         "cart_value": F.abs(F.col("cart_value") - F.col("items_value")) >= 0.005,
         "cart_items_qty": F.col("cart_items_qty") != F.col("items_qty"),
     }
-    differing = F.array_compact(F.array(*[F.when(c, name) for name, c in checks.items()]))
+    for name, differs in checks.items():
+        rules.append(F.when(F.col(name).isNull(), f"missing:{name}").when(~F.col("no_items") & differs, name))
     return (
-        summed.withColumn("differing", differing).filter(F.size("differing") > 0)
+        summed.withColumn("differing", F.array_compact(F.array(*rules))).filter(F.size("differing") > 0)
         .select("event_id", "order_id", "revenue", "cart_value", "cart_items_qty", "items_value",
                 "items_qty", "differing")
     )
@@ -101,24 +114,24 @@ def session_stages(events: DataFrame) -> DataFrame:
     )
 
 
+CHECKOUT = ("begin_checkout", "checkout_progress", "purchase")
+
+
 def session_violations(events: DataFrame, order: list[str] | None = None,
-                       busy_rows: int = DEFAULT_BUSY_ROWS,
-                       chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
-    """Checkout events that the steps before them do not allow, with ``reasons``.
+                       ranges: int | None = None) -> DataFrame:
+    """Checkout events that the steps before them do not allow, with ``reasons``; one row per event.
 
-    A checkout opens with begin_checkout and closes with the purchase. Whether the cart held
-    anything comes from the cart replay.
+    A checkout opens with begin_checkout and closes with the purchase. Whether the cart held anything comes from the
+    cart replay, whose rows are the steps themselves; a step without a cart finds nothing in it.
     """
-    order = order or ORDER
-    steps = events.filter(
-        F.col("session_id").isNotNull()
-        & (is_event("begin_checkout") | is_event("checkout_progress") | is_purchase()))
+    order = order or default_order(events)
+    fields = ["session_id", "event_name", *dict.fromkeys(["event_time", *order, "event_id"])]
+    wanted = F.col("session_id").isNotNull() & F.col("event_name").isin(*CHECKOUT)
+    held = cart_replay(events, order, ranges).filter(wanted).select(*fields, "replayed_qty")
+    bare = events.filter(wanted & F.col("cart_id").isNull()).select(
+        *fields, F.lit(0).cast("bigint").alias("replayed_qty"))
     state = F.when(is_event("begin_checkout"), 1).when(is_purchase(), 0)
-    steps = last_before(steps.select("session_id", "event_name", *_with_id(order)), "session_id",
-                        order, "__open", state, busy_rows, chunk_seconds)
-    totals = cart_replay(events, order, busy_rows, chunk_seconds).select(
-        "session_id", "event_id", "replayed_qty")
-    steps = steps.join(totals, ["session_id", "event_id"], "left")
+    steps = last_before(settle(held.unionByName(bare), "steps"), "session_id", order, "__open", state, ranges)
     open_before = F.coalesce("__open", F.lit(0)) == 1
     reasons = F.array_compact(F.array(
         F.when(is_event("begin_checkout") & open_before, "checkout_already_open"),
@@ -129,7 +142,3 @@ def session_violations(events: DataFrame, order: list[str] | None = None,
         steps.withColumn("reasons", reasons).filter(F.size("reasons") > 0)
         .select("session_id", "event_id", "event_name", "event_time", "reasons")
     )
-
-
-def _with_id(order: list[str]) -> list[str]:
-    return list(dict.fromkeys(["event_time", *order, "event_id"]))

@@ -21,7 +21,7 @@ from clickloom.functions.measures import (
     units_sold,
 )
 from clickloom.functions.scalars import day_bucket, hour_bucket, safe_ratio
-from clickloom.functions.timerange import TimeRange
+from clickloom.functions.timerange import TimeRange, within
 from clickloom.schemas import FUNNEL_STAGES
 
 
@@ -57,9 +57,9 @@ def _measures(*names: str) -> list[Column]:
     return [_measure(name) for name in names]
 
 
-def overview(events: DataFrame, period: TimeRange) -> DataFrame:
+def overview(events: DataFrame, period: TimeRange | None) -> DataFrame:
     """One row of totals. Sums and the average are null when the period holds no event."""
-    return period.apply(events).agg(
+    return within(events, period).agg(
         _measure("events", "total_events"),
         *_measures("users", "sessions", "customers"),
         *[_count_of(stage).alias(stage) for stage in FUNNEL_STAGES],
@@ -71,19 +71,19 @@ def overview(events: DataFrame, period: TimeRange) -> DataFrame:
     )
 
 
-def event_mix(events: DataFrame, period: TimeRange) -> DataFrame:
+def event_mix(events: DataFrame, period: TimeRange | None) -> DataFrame:
     return (
-        period.apply(events).groupBy("event_name")
+        within(events, period).groupBy("event_name")
         .agg(*_measures("events", "users", "sessions", "orders", "units_sold", "revenue_usd",
                         "total_sales_usd"))
         .orderBy(F.desc("events"), "event_name")
     )
 
 
-def daily_series(events: DataFrame, period: TimeRange) -> DataFrame:
+def daily_series(events: DataFrame, period: TimeRange | None) -> DataFrame:
     """One row per day that has events."""
     return (
-        period.apply(events).groupBy(day_bucket(F.col("event_time")).alias("time_bucket"))
+        within(events, period).groupBy(day_bucket(F.col("event_time")).alias("time_bucket"))
         .agg(
             _measure("events", "total_events"),
             *_measures("sessions", "users", "product_views", "add_to_cart", "begin_checkout",
@@ -94,10 +94,10 @@ def daily_series(events: DataFrame, period: TimeRange) -> DataFrame:
     )
 
 
-def dimension_report(events: DataFrame, period: TimeRange, by: str | Dimension) -> DataFrame:
+def dimension_report(events: DataFrame, period: TimeRange | None, by: str | Dimension) -> DataFrame:
     """Measures per value of a dimension; some dimensions look at purchases only."""
     chosen = dimension(by) if isinstance(by, str) else by
-    rows = period.apply(events)
+    rows = within(events, period)
     if chosen.purchase_only:
         rows = rows.filter(is_purchase())
     return (
@@ -109,11 +109,11 @@ def dimension_report(events: DataFrame, period: TimeRange, by: str | Dimension)
     )
 
 
-def product_report(events: DataFrame, period: TimeRange, by: str | Dimension) -> DataFrame:
+def product_report(events: DataFrame, period: TimeRange | None, by: str | Dimension) -> DataFrame:
     """Shopping measures per product attribute, leaving out events without one."""
     chosen = dimension(by) if isinstance(by, str) else by
     return (
-        period.apply(events).filter(chosen.column() != UNKNOWN)
+        within(events, period).filter(chosen.column() != UNKNOWN)
         .groupBy(chosen.column().alias("dimension"))
         .agg(*_measures("product_views", "add_to_cart", "begin_checkout", "purchase_events",
                         "orders", "buyers", "units_sold", "revenue_usd", "total_sales_usd"))
@@ -122,25 +122,25 @@ def product_report(events: DataFrame, period: TimeRange, by: str | Dimension) ->
     )
 
 
-def day_event_counts(events: DataFrame, period: TimeRange) -> DataFrame:
+def day_event_counts(events: DataFrame, period: TimeRange | None) -> DataFrame:
     return (
-        period.apply(events)
+        within(events, period)
         .groupBy(day_bucket(F.col("event_time")).alias("time_bucket"), "event_name")
         .agg(F.count("*").alias("cnt"))
     )
 
 
-def hour_distribution(events: DataFrame, period: TimeRange) -> DataFrame:
+def hour_distribution(events: DataFrame, period: TimeRange | None) -> DataFrame:
     return (
-        period.apply(events).groupBy(hour_bucket(F.col("event_time")).alias("hour_of_day"))
+        within(events, period).groupBy(hour_bucket(F.col("event_time")).alias("hour_of_day"))
         .agg(F.count("*").alias("cnt"), _measure("purchase_events"))
         .orderBy("hour_of_day")
     )
 
 
-def event_counts(events: DataFrame, period: TimeRange) -> DataFrame:
+def event_counts(events: DataFrame, period: TimeRange | None) -> DataFrame:
     return (
-        period.apply(events).groupBy("event_name").agg(F.count("*").alias("cnt"))
+        within(events, period).groupBy("event_name").agg(F.count("*").alias("cnt"))
         .orderBy(F.desc("cnt"), "event_name")
     )
 
@@ -199,7 +199,7 @@ def overview_funnel(totals: DataFrame) -> DataFrame:
     return rows.select(position.cast("int").alias("pos"), "event_name", "count").orderBy("pos")
 
 
-def multi_dimension_report(events: DataFrame, period: TimeRange, by: tuple[str, ...]) -> DataFrame:
+def multi_dimension_report(events: DataFrame, period: TimeRange | None, by: tuple[str, ...]) -> DataFrame:
     """Several dimension reports in one scan: one grouping set per dimension.
 
     Purchase-only dimensions are left out, as their rows differ.
@@ -207,7 +207,7 @@ def multi_dimension_report(events: DataFrame, period: TimeRange, by: tuple[str,
     chosen = {name: dimension(name) for name in by}
     if any(d.purchase_only for d in chosen.values()):
         raise ValueError("purchase-only dimensions cannot share a scan with the others")
-    named = period.apply(events).select(
+    named = within(events, period).select(
         "*", *[d.column().alias(f"by_{name}") for name, d in chosen.items()])
     keys = [f"by_{name}" for name in by]
     kept = F.coalesce(*[F.when(F.grouping(key) == 0, name) for key, name in zip(keys, by)])

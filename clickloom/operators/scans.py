@@ -1,10 +1,9 @@
 """Looking back over a key's rows without gathering a busy key in one task.
 
-A plain window over ``partitionBy(key)`` hands all rows of a key to one task, which is right for
-keys of ordinary size and hopeless for one that holds a large part of the table. Busy keys are
-therefore cut into time chunks. A chunk is scanned on its own, and what came before it is taken
-from a much smaller table of one row per key and chunk, aggregated before its shuffle. The result
-is the same as that of the plain window.
+A plain window over ``partitionBy(key)`` hands all rows of a key to one task. Here the rows are laid out in ranges of
+(key, order) instead and written once, so that Spark cuts them by number of rows: a key with a large part of
+the table spans many ranges, even if all its rows are of one second. A range is scanned on its own, and what came
+before it is taken from a table of one row per key and range. All keys take the same way.
 """
 
 from __future__ import annotations
@@ -12,40 +11,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK = "__chunk"
-BUSY = "__busy"
-DEFAULT_CHUNK_SECONDS = 3600
-DEFAULT_BUSY_ROWS = 2_000_000
+from clickloom.session import settle
 
+CHUNK = "__chunk"
 
-def with_chunks(df: DataFrame, key: str, event_time: str, busy_rows: int = DEFAULT_BUSY_ROWS,
-                chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
-    """Add whether a key is busy (more than ``busy_rows`` rows) and the chunk of each row.
 
-    Ordinary keys have one chunk. The chunks of a busy key grow with time; pick their length so
-    that the rows of the busiest key within it fit one task.
+def laid_out(df: DataFrame, key: str, order: list[str], ranges: int | None = None) -> DataFrame:
+    """``df`` written in ranges of (key, order), with the number of each row's range.
 
-    The busy keys are broadcast: there are at most ``rows / busy_rows`` of them, half a million
-    among 10^12 rows.
+    ``ranges`` is the number of ranges; by default that of shuffle partitions.
     """
-    sizes = df.groupBy(key).count()
-    busy = sizes.filter(F.col("count") > busy_rows).select(key, F.lit(True).alias(BUSY))
-    chunk = F.floor(F.unix_seconds(F.col(event_time)) / F.lit(chunk_seconds))
-    return (
-        df.join(F.broadcast(busy), key, "left")
-        .withColumn(BUSY, F.coalesce(BUSY, F.lit(False)))
-        .withColumn(CHUNK, F.when(F.col(BUSY), chunk).otherwise(F.lit(0)))
-    )
+    columns = [key, *order]
+    spread = df.repartitionByRange(ranges, *columns) if ranges else df.repartitionByRange(*columns)
+    return settle(spread.withColumn(CHUNK, F.spark_partition_id()), "ranges")
+
+
+def crossing(rows: DataFrame, key: str) -> DataFrame:
+    """The keys that lie in more than one range: at most as many as there are ranges."""
+    return rows.groupBy(key, CHUNK).agg(F.lit(1).alias("__one")).groupBy(key).agg(
+        F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(key)
 
 
 def last_before(df: DataFrame, key: str, order: list[str], name: str, value: Column,
-                busy_rows: int = DEFAULT_BUSY_ROWS,
-                chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                ranges: int | None = None) -> DataFrame:
     """Add the last non-null value among the key's earlier rows, null if there is none.
 
-    ``order`` starts with the event time and orders a key's rows completely. Keys must not be null.
+    ``order`` orders a key's rows completely, nulls first. Keys must not be null.
     """
-    rows = with_chunks(df.withColumn("__value", value), key, order[0], busy_rows, chunk_seconds)
+    rows = laid_out(df.withColumn("__value", value), key, order, ranges)
     earlier_rows = (
         Window.partitionBy(key, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -55,10 +48,10 @@ def last_before(df: DataFrame, key: str, order: list[str], name: str, value: Col
     earlier_chunks = (
         Window.partitionBy(key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     )
-    chunks = rows.filter(BUSY).groupBy(key, CHUNK).agg(last_of_chunk.alias("__last"))
+    chunks = rows.groupBy(key, CHUNK).agg(last_of_chunk.alias("__last"))
     starts = chunks.select(key, CHUNK, F.last("__last", True).over(earlier_chunks).alias("__before"))
     return (
-        local.join(starts, [key, CHUNK], "left")
+        local.join(starts.filter(F.col("__before").isNotNull()), [key, CHUNK], "left")
         .withColumn(name, F.coalesce("__within", "__before"))
-        .drop("__value", BUSY, CHUNK, "__within", "__before")
+        .drop("__value", CHUNK, "__within", "__before")
     )

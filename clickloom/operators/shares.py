@@ -16,6 +16,8 @@ def _number(df: DataFrame, value: str) -> Column:
     """The column as a number; values that are none count as 0."""
     if dict(df.dtypes)[value] == "string":
         return lenient_double(F.col(value))
+    if dict(df.dtypes)[value] in ("double", "float"):
+        return lenient_double(F.col(value))
     return F.coalesce(F.col(value), F.lit(0))
 
 
@@ -56,6 +58,7 @@ def top_n_by_max(df: DataFrame, first: str, second: str, n: int, key: str) -> Da
     return df.orderBy(F.desc(F.greatest(first, second)), key).limit(n)
 
 
+# The bounds of Pareto tables and heatmaps.
 def pareto_size(n: int) -> int:
     """Rows of a Pareto table for a page showing n."""
     return min(30, max(10, n))
@@ -115,9 +118,13 @@ def keep_top_events(counts: DataFrame, n: int, value: str = "cnt") -> DataFrame:
 
 
 def heatmap_matrix(counts: DataFrame, row: str, column: str, value: str,
-                   columns: tuple[str, ...] = FUNNEL_STAGES) -> DataFrame:
-    """Long to wide: one column per listed value, summed, 0 where there is none."""
-    return counts.groupBy(row).pivot(column, list(columns)).agg(F.sum(value)).na.fill(0)
+                   columns: tuple[str, ...] | None = None) -> DataFrame:
+    """Long to wide: one column per value present, or listed, summed, 0 where there is none.
+
+    Spark refuses to spread more than ``spark.sql.pivotMaxValues`` values. Null is no column.
+    """
+    wide = counts.groupBy(row).pivot(column, list(columns) if columns else None).agg(F.sum(value))
+    return wide.drop("null").na.fill(0)
 
 
 def layers(df: DataFrame, key: str, first: str, second: str) -> DataFrame:

@@ -3,8 +3,21 @@ operators: carts and sessions use ordinary windows, shares use subqueries."""
 
 from __future__ import annotations
 
-from clickloom.functions.dimensions import DIMENSIONS
-from clickloom.schemas import FUNNEL_STAGES
+# Written out here, so that a wrong mapping in the package shows: group, column and whether only purchases count.
+DIMENSIONS = {
+    "channel": ("marketing", "channel", False), "source": ("marketing", "source", False),
+    "medium": ("marketing", "medium", False), "campaign": ("marketing", "campaign_name", False),
+    "segment": ("customer", "segment", False), "loyalty_tier": ("customer", "loyalty_tier", False),
+    "membership": ("customer", "is_member", False), "customer_country": ("customer", "country", False),
+    "product": ("product", "product_id", False), "category": ("product", "category", False),
+    "brand": ("product", "brand", False), "device_type": ("ops", "device_type", False),
+    "os": ("ops", "os", False), "event_source": ("ops", "event_source", False),
+    "country": ("ops", "country", False), "city": ("ops", "city", False),
+    "order_status": ("ops", "status", True), "payment_method": ("ops", "payment_method", True),
+    "payment_provider": ("ops", "payment_provider", True),
+}
+FUNNEL_STAGES = ("product_view", "click", "add_to_cart", "update_cart", "remove_from_cart", "begin_checkout",
+                 "checkout_progress", "purchase")
 
 EVENTS = """
 base AS (
@@ -87,12 +100,12 @@ def dimension_sql(name: str) -> str:
         return "CASE WHEN is_member = true THEN 'member' ELSE 'non_member' END"
     if name == "product":
         return "COALESCE(product_id, sku, 'unknown')"
-    column = DIMENSIONS[name].columns[0].split(".")[-1]
+    column = DIMENSIONS[name][1]
     return f"COALESCE({column}, 'unknown')"
 
 
 def dimension_query(name: str) -> str:
-    only = f"WHERE {PURCHASE}" if DIMENSIONS[name].purchase_only else ""
+    only = f"WHERE {PURCHASE}" if DIMENSIONS[name][2] else ""
     return f"""WITH {SILVER}
 SELECT {dimension_sql(name)} AS dimension, COUNT(*) AS events, {VISITS}, {ORDERS}, {BUYERS}, {money()}
 FROM silver {only} GROUP BY 1"""
@@ -108,7 +121,7 @@ FROM silver WHERE {dim} <> 'unknown' GROUP BY 1"""
 
 
 def bars_query(name: str, metric: str, n: int = 15) -> str:
-    report = product_query(name) if DIMENSIONS[name].group == "product" else dimension_query(name)
+    report = product_query(name) if DIMENSIONS[name][0] == "product" else dimension_query(name)
     # The key column of money metrics is rounded, as in the report itself.
     return f"""SELECT dimension, {metric},
        ROUND({metric} / CAST((SELECT SUM({metric}) FROM ({report})) AS DOUBLE), 6) AS share
@@ -337,7 +350,7 @@ SELECT CAST(SUM(n) AS BIGINT) AS total, COUNT(DISTINCT event_name) AS event_type
        {per(f"SUM(CASE WHEN {PURCHASE} THEN n ELSE 0 END)", "SUM(n)")} AS purchase_share FROM chosen""",
         "display_texts": f"""WITH {COUNTS}
 SELECT event_name, replace(format('{{:,}}', n * 1000), ',', '.') AS count_text,
-       printf('%.1f%%', round_even(CAST(n AS DOUBLE) / SUM(n) OVER () * 100.0, 1)) AS share_text,
+       printf('%.1f%%', CAST(n AS DOUBLE) / SUM(n) OVER () * 100.0) AS share_text,
        'US$ ' || format('{{:,.2f}}', n * 12.5::DOUBLE) AS money_text FROM per_event""",
         "purchase_lookup": f"""WITH {COUNTS}
 SELECT CAST(COALESCE(SUM(n), 0) AS DOUBLE) AS value FROM per_event WHERE {PURCHASE}""",
@@ -362,6 +375,28 @@ UNION ALL SELECT event_name, 'realtime_cnt', s FROM busiest""",
         "windowed_counts": f"""WITH {EVENTS}
 SELECT strftime(date_trunc('hour', event_time), '%Y-%m-%dT%H:%M:%SZ') AS window_start, product_id, event_name,
        COUNT(*) AS count FROM ev WHERE product_id IS NOT NULL GROUP BY 1, 2, 3""",
+        "lenient_numbers": f"""WITH {EVENTS} SELECT seq,
+  CAST(CASE seq % 5 WHEN 0 THEN trunc(round(value, 2)) WHEN 1 THEN 1000 ELSE 0 END AS BIGINT) AS whole,
+  CAST(CASE seq % 5 WHEN 0 THEN CAST(printf('%.2f', value) AS DOUBLE) WHEN 1 THEN 1000 ELSE 0 END AS DOUBLE) AS number FROM ev""",
+        "iso_times": f"""WITH {EVENTS}, s AS (SELECT seq, event_time AS t FROM ev)
+SELECT seq, CASE seq % 5 WHEN 0 THEN strftime(t, '%Y-%m-%dT%H:%M:%SZ') WHEN 1 THEN strftime(t, '%Y-%m-%dT%H:%M:%SZ')
+  WHEN 2 THEN strftime(t - INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:00Z') WHEN 3 THEN strftime(t, '%Y-%m-%dT00:00:00Z') END AS at
+FROM s""",
+        "day_range_counts": f"""WITH {EVENTS} SELECT event_name, COUNT(*) AS cnt FROM ev
+WHERE day BETWEEN '2024-01-08' AND '2024-01-15' GROUP BY 1""",
+        "exact_counts_unaligned": f"""WITH {EVENTS}
+SELECT event_name, COUNT(*) AS count FROM ev WHERE product_id IS NOT NULL GROUP BY 1""",
+        "deduplicated_events": f"""WITH {EVENTS} SELECT event_name, COUNT(*) AS events, CAST(SUM(seq) AS BIGINT) AS ids
+FROM ev GROUP BY 1""",
+        "cart_mismatches": f"""WITH {CARTS}
+SELECT event_id, qty AS replayed_qty FROM replayed
+WHERE event_name NOT IN ('product_view', 'click') AND hour(event_time) % 6 = 0""",
+        "event_table_orders": f"""WITH {MESSAGES}
+SELECT seq, 'O' || CAST(seq AS VARCHAR) AS order_id, product_id AS line_product FROM (
+  SELECT seq, 'SKU' || lpad(CAST(k + 1 AS VARCHAR), 5, '0') AS product_id FROM named
+  WHERE seq % 23 <> 0 AND seq % 29 <> 0 AND name = 'purchase' AND event_name = 'purchase' AND seq % 5 <> 0 AND seq % 47 <> 0)""",
+        "line_total_mismatches": f"""WITH {ORDER_EVENTS}
+SELECT event_id, CAST(line AS INTEGER) AS line FROM items WHERE l_linenumber % 6 = 0 AND line = 0""",
         "exact_counts": f"""WITH {EVENTS}
 SELECT event_name, COUNT(*) AS count FROM ev WHERE product_id IS NOT NULL GROUP BY 1""",
         "parsed_events": f"""WITH {MESSAGES}
@@ -428,5 +463,5 @@ FROM seen WHERE product_id IS NOT NULL GROUP BY 1""",
     }
     sql.update({f"dim_{name}": dimension_query(name) for name in DIMENSIONS})
     sql.update({f"product_{name}": product_query(name) for name, d in DIMENSIONS.items()
-                if d.group == "product"})
+                if d[0] == "product"})
     return sql

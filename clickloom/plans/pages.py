@@ -13,26 +13,26 @@ from clickloom.operators import combined, reports, shares, snapshot
 DEFAULT_ROWS = 15
 
 
-def event_mix_page(events: DataFrame, period: TimeRange) -> DataFrame:
+def event_mix_page(events: DataFrame, period: TimeRange | None) -> DataFrame:
     """Event mix with each event's share of all events."""
     return shares.add_share_pct(shares.add_share(reports.event_mix(events, period), "events"))
 
 
-def dimension_page(events: DataFrame, period: TimeRange, by: str, metric: str) -> DataFrame:
+def dimension_page(events: DataFrame, period: TimeRange | None, by: str, metric: str) -> DataFrame:
     """A dimension's report with the share of the chosen metric."""
     check_metric(by, metric)
     build = reports.product_report if dimension(by).group == "product" else reports.dimension_report
     return shares.add_share_pct(shares.add_share(build(events, period, by), metric))
 
 
-def dimension_bars(events: DataFrame, period: TimeRange, by: str, metric: str,
+def dimension_bars(events: DataFrame, period: TimeRange | None, by: str, metric: str,
                    n: int = DEFAULT_ROWS) -> DataFrame:
     """The n largest values of a dimension by metric; shares are of all values."""
     page = dimension_page(events, period, by, metric)
     return shares.top_n(page, metric, n, "dimension").select("dimension", metric, "share", "share_pct")
 
 
-def heatmap(events: DataFrame, period: TimeRange, n: int = DEFAULT_ROWS) -> DataFrame:
+def heatmap(events: DataFrame, period: TimeRange | None, n: int = DEFAULT_ROWS) -> DataFrame:
     """Day by event counts of the most frequent events."""
     return shares.keep_top_events(reports.day_event_counts(events, period), n)
 
@@ -68,7 +68,7 @@ def busiest_product_page(counts: DataFrame) -> DataFrame:
     return shares.add_share_pct(snapshot.drilldown(counts, first))
 
 
-def comparison(events: DataFrame, period: TimeRange, counts: DataFrame) -> DataFrame:
+def comparison(events: DataFrame, period: TimeRange | None, counts: DataFrame) -> DataFrame:
     """Batch counts of a period and the running counts, per event and unrounded."""
     batch = combined.batch_event_counts(reports.event_counts(events, period))
     return combined.compare(batch, combined.realtime_event_counts(counts))

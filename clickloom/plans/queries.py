@@ -27,15 +27,13 @@ from clickloom.operators import (
 )
 from clickloom.plans import pages
 from clickloom.session import run_dir
+from clickloom.sinks.tables import write_watermark
 from clickloom.sources import snapshots, star
-from clickloom.sources.tables import event_query, register_events
+from clickloom.sources.tables import batch_watermark, event_query, register_events
 from clickloom.streaming import counts as streaming_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Wide enough for whatever the tables hold.
-WHOLE = day_range(date(2000, 1, 1), date(2099, 12, 31))
-
 MONEY = ("revenue_usd", "total_sales_usd", "realized_revenue_usd")
 
 MONEY_NEEDS = ("product", "order")
@@ -72,46 +70,46 @@ def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def overview(spark, sf_dir):
     events = star.clickstream(spark, sf_dir, *MONEY_NEEDS, "customer")
-    totals = cents(reports.overview(events, WHOLE))
+    totals = cents(reports.overview(events, None))
     return totals.withColumn("avg_order_value_usd", F.round("avg_order_value_usd", 4))
 
 
 def overview_ratios(spark, sf_dir):
-    return reports.overview_ratios(reports.overview(_plain_events(spark, sf_dir), WHOLE))
+    return reports.overview_ratios(reports.overview(_plain_events(spark, sf_dir), None))
 
 
 def overview_funnel(spark, sf_dir):
-    return reports.overview_funnel(reports.overview(_plain_events(spark, sf_dir), WHOLE))
+    return reports.overview_funnel(reports.overview(_plain_events(spark, sf_dir), None))
 
 
 def event_mix(spark, sf_dir):
-    return cents(reports.event_mix(_money_events(spark, sf_dir), WHOLE))
+    return cents(reports.event_mix(_money_events(spark, sf_dir), None))
 
 
 def event_mix_page(spark, sf_dir):
-    return cents(pages.event_mix_page(_money_events(spark, sf_dir), WHOLE))
+    return cents(pages.event_mix_page(_money_events(spark, sf_dir), None))
 
 
 def daily_series(spark, sf_dir):
-    return cents(reports.daily_series(_money_events(spark, sf_dir), WHOLE))
+    return cents(reports.daily_series(_money_events(spark, sf_dir), None))
 
 
 def series_totals(spark, sf_dir):
-    totals = reports.series_totals(reports.daily_series(_money_events(spark, sf_dir), WHOLE))
+    totals = reports.series_totals(reports.daily_series(_money_events(spark, sf_dir), None))
     return cents(totals, "avg_daily_revenue_usd", "avg_daily_sales_usd")
 
 
 def dimension_query(by: str) -> Query:
     def run(spark, sf_dir):
         return cents(reports.dimension_report(
-            star.clickstream(spark, sf_dir, *_needs(by)), WHOLE, by))
+            star.clickstream(spark, sf_dir, *_needs(by)), None, by))
 
     return run
 
 
 def product_query(by: str) -> Query:
     def run(spark, sf_dir):
-        return cents(reports.product_report(_money_events(spark, sf_dir), WHOLE, by))
+        return cents(reports.product_report(_money_events(spark, sf_dir), None, by))
 
     return run
 
@@ -120,7 +118,7 @@ def dimension_bars_query(by: str, metric: str) -> Query:
     """Top values with their shares; money shares are rounded."""
     def run(spark, sf_dir):
         events = star.clickstream(spark, sf_dir, *_needs(by))
-        bars = cents(pages.dimension_bars(events, WHOLE, by, metric))
+        bars = cents(pages.dimension_bars(events, None, by, metric))
         return bars.withColumn("share", F.round("share", 6)).drop("share_pct")
 
     return run
@@ -128,33 +126,33 @@ def dimension_bars_query(by: str, metric: str) -> Query:
 
 def product_totals(spark, sf_dir):
     return cents(reports.product_totals(
-        reports.product_report(_money_events(spark, sf_dir), WHOLE, "category")))
+        reports.product_report(_money_events(spark, sf_dir), None, "category")))
 
 
 def multi_dimension(spark, sf_dir):
     by = ("channel", "device_type", "event_source", "category", "brand")
-    return cents(reports.multi_dimension_report(_money_events(spark, sf_dir), WHOLE, by))
+    return cents(reports.multi_dimension_report(_money_events(spark, sf_dir), None, by))
 
 
 def heatmap_day_event(spark, sf_dir):
-    return reports.day_event_counts(_plain_events(spark, sf_dir), WHOLE)
+    return reports.day_event_counts(_plain_events(spark, sf_dir), None)
 
 
 def heatmap_top_events(spark, sf_dir):
-    return pages.heatmap(_plain_events(spark, sf_dir), WHOLE)
+    return pages.heatmap(_plain_events(spark, sf_dir), None)
 
 
 def heatmap_pivot(spark, sf_dir):
     return shares.heatmap_matrix(
-        reports.day_event_counts(_plain_events(spark, sf_dir), WHOLE), "time_bucket", "event_name", "cnt")
+        reports.day_event_counts(_plain_events(spark, sf_dir), None), "time_bucket", "event_name", "cnt")
 
 
 def hour_distribution(spark, sf_dir):
-    return reports.hour_bars(reports.hour_distribution(_plain_events(spark, sf_dir), WHOLE))
+    return reports.hour_bars(reports.hour_distribution(_plain_events(spark, sf_dir), None))
 
 
 def base_event_counts(spark, sf_dir):
-    return reports.event_counts(_plain_events(spark, sf_dir), WHOLE)
+    return reports.event_counts(_plain_events(spark, sf_dir), None)
 
 
 def time_range(spark, sf_dir):
@@ -163,6 +161,38 @@ def time_range(spark, sf_dir):
     return reports.event_counts(_plain_events(spark, sf_dir), period)
 
 
+def day_range_counts(spark, sf_dir):
+    """Whole UTC days, both included."""
+    return reports.event_counts(_plain_events(spark, sf_dir), day_range(date(2024, 1, 8), date(2024, 1, 15)))
+
+
+def lenient_numbers(spark, sf_dir):
+    """Numbers out of text of all kinds."""
+    seq, value = F.col("seq"), F.col("value")
+    text = (F.when(seq % 5 == 0, F.format_string("%.2f", "value")).when(seq % 5 == 1, "1e3").when(seq % 5 == 2, "NaN")
+            .when(seq % 5 == 3, "none"))
+    read = star.base_events(spark, sf_dir).select("seq", F.when(value.isNotNull(), text).alias("text"))
+    return read.select("seq", scalars.lenient_long(F.col("text")).alias("whole"),
+                       scalars.lenient_double(F.col("text")).alias("number"))
+
+
+def iso_times(spark, sf_dir):
+    """Times out of text in full, without an offset, with one, as a day, and too short to be one."""
+    seq, stamp = F.col("seq"), scalars.iso_utc(F.col("event_time"))
+    text = (F.when(seq % 5 == 0, stamp).when(seq % 5 == 1, F.substring(stamp, 1, 19))
+            .when(seq % 5 == 2, F.concat(F.substring(stamp, 1, 16), F.lit("+0200")))
+            .when(seq % 5 == 3, F.substring(stamp, 1, 10)).otherwise(F.substring(stamp, 1, 7)))
+    return star.base_events(spark, sf_dir).select("seq", scalars.iso_utc(scalars.parse_iso(text)).alias("at"))
+
+
+def deduplicated_events(spark, sf_dir):
+    """Every event sent twice or more, and kept once."""
+    events = star.base_events(spark, sf_dir).select("seq", "event_id", "event_time", "event_name")
+    sent = events.unionByName(events).unionByName(events.filter(F.col("seq") % 7 == 0))
+    return parsing.first_per_event(sent).groupBy("event_name").agg(
+        F.count("*").alias("events"), F.sum("seq").alias("ids"))
+
+
 def free_sql(spark, sf_dir):
     """Free SQL over the registered event table, in the dialect its users write."""
     register_events(_money_events(spark, sf_dir))
@@ -235,26 +265,26 @@ def purchase_lookup(counts: DataFrame) -> DataFrame:
 # Batch next to running counts
 
 def batch_event_counts(spark, sf_dir):
-    return combined.batch_event_counts(reports.event_counts(_plain_events(spark, sf_dir), WHOLE))
+    return combined.batch_event_counts(reports.event_counts(_plain_events(spark, sf_dir), None))
 
 
 def batch_kpis(spark, sf_dir):
-    return combined.result_kpis(reports.event_mix(_plain_events(spark, sf_dir), WHOLE))
+    return combined.result_kpis(reports.event_mix(_plain_events(spark, sf_dir), None))
 
 
 def combined_view(spark, sf_dir):
     events = _plain_events(spark, sf_dir)
-    return combined.combined_view(reports.event_counts(events, WHOLE), _counts(spark, sf_dir))
+    return combined.combined_view(reports.event_counts(events, None), _counts(spark, sf_dir))
 
 
 def combined_totals(spark, sf_dir):
     return combined.combined_totals(
-        pages.comparison(_plain_events(spark, sf_dir), WHOLE, _counts(spark, sf_dir)))
+        pages.comparison(_plain_events(spark, sf_dir), None, _counts(spark, sf_dir)))
 
 
 def combined_long(spark, sf_dir):
     return combined.combined_long(
-        pages.comparison(_plain_events(spark, sf_dir), WHOLE, _counts(spark, sf_dir)), 5)
+        pages.comparison(_plain_events(spark, sf_dir), None, _counts(spark, sf_dir)), 5)
 
 
 def _timed(spark, sf_dir):
@@ -273,7 +303,17 @@ def exact_counts(spark, sf_dir):
         (F.min(F.unix_seconds("event_time")) + F.max(F.unix_seconds("event_time"))) / 2)
     ).alias("watermark"))
     windows = streaming_counts.windowed_counts(_timed(spark, sf_dir), "1 hour")
-    return streaming_counts.exact_counts(events, windows, watermark)
+    return streaming_counts.exact_counts(events, windows, watermark, "1 hour")
+
+
+def exact_counts_unaligned(spark, sf_dir):
+    """The same with a watermark inside a window, as the batch writer stores it."""
+    events = _plain_events(spark, sf_dir)
+    folder = run_dir(spark, "watermark")
+    early = events.agg(F.timestamp_seconds(F.min(F.unix_seconds("event_time")) + 500_000).alias("at")).scalar()
+    write_watermark(events.filter(F.col("event_time") < early), folder)
+    windows = streaming_counts.windowed_counts(_timed(spark, sf_dir), "1 hour")
+    return streaming_counts.exact_counts(events, windows, batch_watermark(spark, folder), "1 hour")
 
 
 # Messages, carts, orders, sessions
@@ -303,6 +343,28 @@ def cart_replay(spark, sf_dir):
     return replayed.select("event_id", "cart_id", "event_name", "replayed_qty", "replayed_value")
 
 
+def cart_mismatches(spark, sf_dir):
+    """Cart events of every sixth hour record a wrong quantity, or none."""
+    hour = scalars.hour_bucket(F.col("event_time"))
+    wrong = F.when(hour % 12 != 0, F.col("replayed_qty") + 1)
+    replayed = carts.cart_replay(star.cart_history(spark, sf_dir))
+    recorded = replayed.withColumn("cart_items_qty", F.when(hour % 6 == 0, wrong).otherwise(
+        F.col("replayed_qty"))).withColumn("cart_value", F.col("replayed_value"))
+    return carts.cart_mismatches(recorded).select("event_id", "replayed_qty")
+
+
+def event_table_orders(spark, sf_dir):
+    """Order lines from messages by way of the event table."""
+    lines = commerce.order_lines(parsing.events_from_v1(star.raw_messages(spark, sf_dir)))
+    return lines.filter(F.col("order_id").isNotNull()).select(
+        F.col("event_id").cast("bigint").alias("seq"), "order_id", F.col("product_id").alias("line_product"))
+
+
+def line_total_mismatches(spark, sf_dir):
+    lines = commerce.order_lines(star.order_events(spark, sf_dir))
+    return commerce.line_total_mismatches(lines).select("event_id", "line")
+
+
 def session_stages(spark, sf_dir):
     stages = quality.session_stages(_plain_events(spark, sf_dir))
     return stages.select(
@@ -347,7 +409,8 @@ def all_queries() -> dict[str, Query]:
             combined_view, combined_totals, combined_long, windowed_counts, exact_counts,
             parsed_events, contract_violations, violation_counts, cart_replay, session_stages,
             session_conformance, order_lines, product_sales, order_reconciliation,
-            product_catalog,
+            product_catalog, day_range_counts, lenient_numbers, iso_times, deduplicated_events,
+            exact_counts_unaligned, cart_mismatches, event_table_orders, line_total_mismatches,
         )
     }
     found.update({f"dim_{name}": dimension_query(name) for name in DIMENSIONS})

@@ -80,7 +80,10 @@ EVENT_V2_JSON = _struct(
 # The event table.
 EVENT_V2 = StructType(
     [StructField(f.name, TimestampType() if f.name == "event_time" else f.dataType, True)
-     for f in EVENT_V2_JSON] + [StructField("event_date", DateType(), True)]
+     for f in EVENT_V2_JSON]
+    + [StructField("event_date", DateType(), True),
+       # Where the message stood on the topic, if that is known: the order within a second.
+       StructField("source_partition", IntegerType(), True), StructField("source_offset", LongType(), True)]
 )
 
 SNAPSHOT = _struct(product_id=_S, event_name=_S, count=LongType())

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every clickloom session wants; sizes (shuffle partitions, memory) belong to the cluster.
 SESSION_CONF = {
@@ -58,3 +58,10 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared one, so that runs never meet each other's files."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Writes ``df`` below the shared folder and reads it again, so that later jobs see one and the same table."""
+    path = run_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,19 +12,34 @@ from clickloom.files import delete, numbered_folders
 from clickloom.sources.snapshots import latest_counts, newest_base, newest_finished, read_changes
 
 
-def upsert_counts(path: str) -> Callable[[DataFrame, int], None]:
+#: Batches a start may number; a folder's number is the start's second times this, plus the batch id.
+BATCHES = 1_000_000_000
+
+
+def upsert_counts(path: str, epoch: int | None = None,
+                  compact_every: int | None = None) -> Callable[[DataFrame, int], None]:
     """Micro-batch callback: record the absolute counts of the keys that changed.
 
-    A batch owns its folder, so writing it again after a failure changes nothing. Events without
-    a name have no field in a product's hash and are left to the quarantine.
+    A batch owns its folder, so writing it again after a failure changes nothing. Folders of a later start come
+    after those of earlier ones, also if a new checkpoint counts its batches from 0 again. Events without
+    a name have no field in a product's hash and are left to the quarantine. ``compact_every`` batches a base is written.
     """
+    started = epoch
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        nonlocal started
+        if started is None:
+            known = numbered_folders(batch.sparkSession, f"{path}/changes", "batch_id")
+            known |= numbered_folders(batch.sparkSession, f"{path}/base", "batch_id")
+            started = max([int(time.time()), *[n // BATCHES + 1 for n in known]])
+        number = started * BATCHES + batch_id
         (
             batch.filter(F.col("event_name").isNotNull())
             .select("product_id", "event_name", "count")
-            .write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+            .write.mode("overwrite").parquet(f"{path}/changes/batch_id={number}")
         )
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            compact_snapshot(batch.sparkSession, path)
 
     return write
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.scalars import iso_utc
+from clickloom.functions.scalars import iso_utc, utc_date
 
 
 def write_events(events: DataFrame, path: str, mode: str = "append",
@@ -16,7 +16,7 @@ def write_events(events: DataFrame, path: str, mode: str = "append",
     big for one task.
     """
     (
-        events.withColumn("event_date", F.to_date("event_time"))
+        events.withColumn("event_date", utc_date(F.col("event_time")))
         .hint("rebalance", "event_date")
         .write.mode(mode).option("maxRecordsPerFile", records_per_file)
         .partitionBy("event_date").parquet(path)

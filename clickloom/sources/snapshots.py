@@ -1,7 +1,7 @@
 """Reading the running counts.
 
 A snapshot folder holds ``changes/batch_id=N`` (absolute counts of the keys that changed in
-micro-batch N) and, once compacted, ``base/batch_id=N`` (every key as of batch N).
+micro-batch N; see ``sinks.snapshots`` for N) and, once compacted, ``base/batch_id=N`` (every key as of batch N).
 """
 
 from __future__ import annotations
@@ -75,7 +75,7 @@ def to_hashes(snapshot: DataFrame, prefix: str = SNAPSHOT_PREFIX) -> DataFrame:
     # At most one entry per event name and product, so the list is as short as the vocabulary.
     entries = F.collect_list(F.struct("event_name", "count"))
     return (
-        snapshot.groupBy("product_id").agg(F.map_from_entries(entries).alias("stats"))
+        snapshot.filter(F.col("event_name").isNotNull()).groupBy("product_id").agg(F.map_from_entries(entries).alias("stats"))
         .select(snapshot_key(F.col("product_id"), prefix).alias("key"), "stats")
     )
 

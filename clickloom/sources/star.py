@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from clickloom.schemas import (
     CUSTOMER,
     DEVICE,
+    EVENT_V2,
     GEO,
     MARKETING,
     ORDER,
@@ -189,12 +190,14 @@ def cart_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One purchase per row of ``lineitem``, of one to three items.
 
-    The first item is the line's part, the others its successors in the catalogue. Every fifth
+    Every sixth line number records a wrong total of its first item. The first item is the line's part, the others its successors in the catalogue. Every fifth
     ship day records a revenue that is off, every seventh line number a wrong quantity.
     """
     line = table(pin_utc(spark), sf_dir, "lineitem").withColumns({
         "at": F.col("l_shipdate").cast("timestamp"), "n": F.col("l_linenumber") % 3 + 1})
 
+    wrong_total = F.when(F.col("l_linenumber") % 6 == 0, 0.5).otherwise(0.0)
+
     def price(i: int) -> Column:
         return F.lit(5.0) + (F.col("l_partkey") + i) % 400 * 0.25
 
@@ -208,15 +211,19 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("Producto "), part).alias("name"),
             F.concat(F.lit("Cat"), ((F.col("l_partkey") + i) % 7).cast("string")).alias("category"),
             price(i).alias("price"), quantity(i).alias("quantity"),
-            (price(i) * quantity(i)).alias("line_total"))
+            (price(i) * quantity(i) + (wrong_total if i == 0 else F.lit(0.0))).alias("line_total"))
 
     def over_items(value: Callable[[int], Column]) -> Column:
         return reduce(lambda a, b: a + b, [F.when(F.col("n") > i, value(i)).otherwise(0) for i in range(3)])
 
     worth = over_items(lambda i: price(i) * quantity(i))
-    return line.select(
+    order = F.struct(
+        F.col("l_orderkey").cast("string").alias("order_id"), F.lit(None).cast("string").alias("status"),
+        F.lit(None).cast("string").alias("payment_method"), F.lit(None).cast("string").alias("payment_provider"),
+        worth.alias("total"))
+    rows = line.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("event_id"),
-        F.col("l_orderkey").cast("string").alias("order_id"), F.col("at").alias("event_time"),
+        order.alias("order"), F.col("at").alias("event_time"), F.to_date("at").alias("event_date"),
         F.lit("purchase").alias("event_name"),
         (worth + F.when(F.dayofmonth("at") % 5 == 0, 1.0).otherwise(0.0)).alias("revenue"),
         worth.alias("cart_value"),
@@ -225,6 +232,8 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         # later explode would build the array again.
         F.explode(F.array(F.slice(F.array(*[item(i) for i in range(3)]), 1, F.col("n")))).alias("items"),
     )
+    return rows.select(*[
+        (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in EVENT_V2])
 
 
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,11 @@ def event_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def landed_messages(spark: SparkSession, path: str) -> DataFrame:
+    """Messages as the raw landing keeps them, one column ``value``."""
+    return spark.read.schema("value STRING").json(path)
+
+
 def event_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -55,11 +55,14 @@ def start_windowed_counts(messages: DataFrame, path: str, checkpoint: str, width
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def exact_counts(batch_events: DataFrame, windows: DataFrame, watermark: DataFrame) -> DataFrame:
+def exact_counts(batch_events: DataFrame, windows: DataFrame, watermark: DataFrame,
+                 width: str = "1 minute") -> DataFrame:
     """Event counts with nothing counted twice: the event table before the batch watermark, the
-    windows from it on. The watermark should lie on a window boundary; without one all is taken
-    from the windows."""
-    upto = watermark.agg(F.max("watermark")).scalar()
+    windows from it on. A watermark inside a window (of ``width``, as the windows were made) is taken back to the
+    window's start on both sides; without one all is taken from the windows. Rows that came too late for their
+    window are in the event table, but not in the windows: those after the watermark are missing here."""
+    newest = watermark.agg(F.max("watermark").alias("watermark"))
+    upto = newest.select(F.window("watermark", width)["start"]).scalar()
     batch = with_product(batch_events).filter(F.col("event_time") < upto)
     batch = batch.groupBy("event_name").agg(F.count("*").alias("count"))
     speed = windows.filter(F.col("window_start") >= F.coalesce(upto, F.col("window_start")))

@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickloom.operators.parsing import normalize_v1
+from clickloom.operators.parsing import normalize_v1, position_of
 from clickloom.operators.quality import checked_messages, quarantined, valid_messages
 
 
 def start_landing(messages: DataFrame, path: str, checkpoint: str, records_per_file: int = 1_000_000,
                   trigger: str = "60 seconds", available_now: bool = False) -> StreamingQuery:
-    """Keep every message as it came, one per line; nothing is filtered."""
+    """Keep every message as it came, one JSON line with the field ``value`` each; nothing is filtered, and line
+    breaks and nulls survive."""
     writer = (
-        messages.select(F.col("value").cast("string").alias("value")).writeStream.format("text")
+        messages.select(F.col("value").cast("string").alias("value")).writeStream.format("json")
         .option("path", path).option("checkpointLocation", checkpoint)
         .option("maxRecordsPerFile", records_per_file)
     )
@@ -26,7 +27,7 @@ def start_landing(messages: DataFrame, path: str, checkpoint: str, records_per_f
 def start_event_table(messages: DataFrame, path: str, checkpoint: str,
                       available_now: bool = False) -> StreamingQuery:
     """Valid messages into the event table, by day. The file sink commits each batch once."""
-    events = normalize_v1(valid_messages(checked_messages(messages)))
+    events = normalize_v1(valid_messages(checked_messages(messages, position_of(messages))))
     return _files(events, path, checkpoint, available_now, "event_date")
 
 

@@ -64,23 +64,38 @@ def history(n, seed, carts_=4, products=4):
     return rows
 
 
-@pytest.mark.parametrize("busy_rows, chunk_seconds", [
-    (10**9, 3600), (0, 3600), (0, 600), (0, 60), (0, 10**7), (250, 1800)])
-def test_replay_equals_fold(spark, busy_rows, chunk_seconds):
-    rows = history(1500, seed=busy_rows % 7 + chunk_seconds)
+@pytest.mark.parametrize("ranges", [None, 1, 2, 7, 60])
+def test_replay_equals_fold(spark, ranges):
+    rows = history(1500, seed=ranges or 0)
     expected, _ = fold(rows)
     events = spark.createDataFrame(rows, SCHEMA)
-    found = carts.cart_replay(events, busy_rows=busy_rows, chunk_seconds=chunk_seconds).collect()
+    found = carts.cart_replay(events, ranges=ranges).collect()
     assert {r.event_id: (r.replayed_qty, r.replayed_value) for r in found} == expected
     assert len(found) == len(expected)
 
 
-@pytest.mark.parametrize("busy_rows", [10**9, 0])
-def test_session_rules_equal_fold(spark, busy_rows):
+def test_ranges_do_not_change_cents(spark):
+    """Prices of three decimals, one cart, all in one second or without a time."""
+    rng = random.Random(1)
+    rows = [("C", "S", None if i % 50 == 0 else START, f"E{i:05d}", rng.choice(NAMES[:4]), f"P{rng.randrange(40)}",
+             rng.randint(1, 5), rng.randrange(1000, 99999) / 1000, None, None) for i in range(2000)]
+    events = spark.createDataFrame(rows, SCHEMA)
+    found = [{r.event_id: (r.replayed_qty, r.replayed_value) for r in carts.cart_replay(events, ranges=n).collect()}
+             for n in (1, 9, 40)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 2000
+
+
+def test_repeated_steps_do_not_multiply(spark):
+    row = ("C", "S", START, "1", "checkout_progress", None, None, None, None, None)
+    assert quality.session_violations(spark.createDataFrame([row, row], SCHEMA)).count() == 2
+
+
+@pytest.mark.parametrize("ranges", [1, 12])
+def test_session_rules_equal_fold(spark, ranges):
     rows = history(800, seed=5)
     _, expected = fold(rows)
     found = quality.session_violations(
-        spark.createDataFrame(rows, SCHEMA), busy_rows=busy_rows, chunk_seconds=900).collect()
+        spark.createDataFrame(rows, SCHEMA), ranges=ranges).collect()
     assert {r.event_id: r.reasons for r in found} == expected
 
 
@@ -93,16 +108,17 @@ def test_recorded_totals(spark):
         at(1, "add_to_cart", "P1", 2, 2, 8.7), at(2, "update_cart", "P1", 5, 5, 21.75),
         at(3, "add_to_cart", "P0", 1, 6, 23.0), at(4, "remove_from_cart", "P1", 5, 1, 1.25),
         at(5, "purchase", None, None, 1, 1.25), at(6, "add_to_cart", "P0", 1, 2, 1.25),
+        at(7, "add_to_cart", "P0", 1, None, None),
     ]
     replayed = carts.cart_replay(spark.createDataFrame(rows, SCHEMA))
-    assert [r.event_id for r in carts.cart_mismatches(replayed).collect()] == ["6"]
+    assert [r.event_id for r in carts.cart_mismatches(replayed).orderBy("event_id").collect()] == ["6", "7"]
 
 
 def test_last_before(spark):
     rows = [("k", START + timedelta(hours=h), h, v) for h, v in enumerate([None, 5, None, None, 7, None])]
     events = spark.createDataFrame(rows, "k string, t timestamp, id int, v int")
-    for busy in (10**9, 0):
-        found = scans.last_before(events, "k", ["t", "id"], "prev", F.col("v"), busy, 3600).orderBy("id")
+    for ranges in (1, 4):
+        found = scans.last_before(events, "k", ["t", "id"], "prev", F.col("v"), ranges).orderBy("id")
         assert [r.prev for r in found.collect()] == [None, None, 5, 5, 5, 7]
 
 

@@ -47,6 +47,8 @@ def test_event_time(spark, text, hour):
 
 @pytest.mark.parametrize("text, hour", [
     ("2026-02-28T10:00:00Z", 10), (" 2026-02-28T10:00:00 ", 10), ("2026-02-28T10:00:00+02:00", 8),
+    ("2026-02-28T10:00", 10), ("2026-02-28", 0), ("2026-02-28T10:00:00+0200", 8), ("2026-02-28T10:00:00.5Z", 10),
+    ("2026", None), ("2026-02", None), ("2026-2-8", None), ("10:00:00", None), ("T12:00", None),
     ("soon", None)])
 def test_iso(spark, text, hour):
     assert one(spark, h=F.hour(scalars.parse_iso(F.lit(text)))).h == hour
@@ -89,3 +91,31 @@ def test_range_is_half_open_and_prunes(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in plan
     assert "PushedFilters: [IsNotNull(event_time), GreaterThanOrEqual(event_time" in plan
     assert "user_id" not in plan
+
+
+def test_text_numbers(spark):
+    row = one(
+        spark, a=scalars.lenient_long(F.lit("3.7")), b=scalars.lenient_long(F.lit("1e3")),
+        c=scalars.lenient_double(F.lit("NaN")), d=scalars.lenient_long(F.lit("NaN")),
+        e=scalars.format_pct(F.lit(0.0015)), f=scalars.format_money(F.lit(0.615)))
+    assert tuple(row) == (3, 1000, 0.0, 0, "0.1%", "US$ 0.61")
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Lima", "Asia/Tokyo"])
+def test_days_are_utc_in_any_session(spark, tmp_path, zone):
+    from clickloom.sinks.tables import write_events
+    from clickloom.sources.tables import event_table
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    rows = spark.createDataFrame([(datetime(2024, 1, 2, 2, 30, tzinfo=UTC), "click")], "event_time timestamp, event_name string")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        write_events(rows, str(tmp_path / "events"))
+        events = event_table(spark, str(tmp_path / "events"))
+        assert reports.event_counts(events, day_range(date(2024, 1, 2), date(2024, 1, 2))).count() == 1
+        row = events.select(scalars.day_bucket(F.col("event_time")).alias("d"), scalars.hour_bucket(F.col("event_time")).alias("h"),
+                            scalars.iso_utc(F.col("event_time")).alias("i"),
+                            scalars.iso_utc(scalars.parse_iso(F.lit("2024-01-02T02:30:00"))).alias("p")).first()
+        assert tuple(row) == ("2024-01-02", 2, "2024-01-02T02:30:00Z", "2024-01-02T02:30:00Z")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -79,8 +79,7 @@ def test_text_is_parsed_once(spark):
 
 
 def test_order_lines(spark):
-    parsed = parsing.timed(parsing.parse_json(messages(spark, BUY, VIEW), EVENT_V1)).withColumn(
-        "event_time", F.col("event_time_ts"))
+    parsed = parsing.events_from_v1(messages(spark, BUY, VIEW))
     lines = commerce.order_lines(parsed)
     assert [(r.product_id, r.line_total) for r in lines.orderBy("line").collect()] == [("SKU1", 5.0), ("SKU2", 3.3)]
     sales = {r.product_id: (r.orders, r.units, r.revenue) for r in commerce.product_sales(lines).collect()}
@@ -90,8 +89,33 @@ def test_order_lines(spark):
 
 
 def test_reconciliation(spark):
+    bare = [{k: v for k, v in item.items() if k != "price"} for item in BUY["items"]]
     off = [{**BUY, "event_id": "3", "revenue": 8.31}, {**BUY, "event_id": "4", "cart_items_qty": 4},
-           {**BUY, "event_id": "5", "cart_value": 1.0}]
-    parsed = parsing.parse_json(messages(spark, BUY, VIEW, *off), EVENT_V1)
+           {**BUY, "event_id": "5", "cart_value": 1.0}, {**BUY, "event_id": "6", "items": None},
+           {**BUY, "event_id": "7", "cart_value": None}, {**BUY, "event_id": "8", "items": bare}]
+    parsed = parsing.events_from_v1(messages(spark, BUY, VIEW, *off))
     found = {r.event_id: r.differing for r in quality.order_reconciliation(parsed).collect()}
-    assert found == {"3": ["revenue"], "4": ["cart_items_qty"], "5": ["cart_value"]}
+    assert found == {
+        "3": ["revenue"], "4": ["cart_items_qty"], "5": ["cart_value"], "6": ["missing:items"],
+        "7": ["missing:cart_value"], "8": ["missing:item_values"]}
+
+
+def test_line_totals(spark):
+    wrong = {**BUY, "event_id": "9", "items": [{**BUY["items"][0], "line_total": 1.0}, {**BUY["items"][1], "line_total": None}]}
+    lines = commerce.order_lines(parsing.events_from_v1(messages(spark, BUY, wrong)))
+    found = commerce.line_total_mismatches(lines).filter("event_id = '9'")
+    assert sorted(r.line for r in found.collect()) == [0, 1]
+
+
+def test_position_and_repeats(spark):
+    sent = messages(spark, VIEW, VIEW).withColumn("partition", F.lit(0)).withColumn("offset", F.monotonically_increasing_id())
+    events = parsing.events_from_v1(sent)
+    assert events.filter("source_offset is not null and source_partition = 0").count() == 2
+    kept = parsing.first_per_event(events).collect()
+    assert len(kept) == 1 and kept[0].source_offset == events.agg(F.min("source_offset")).first()[0]
+
+
+def test_numbers_that_are_none(spark):
+    text = json.dumps(VIEW).replace(json.dumps(VIEW["price"]), "NaN") if VIEW.get("price") else "{}"
+    rows = spark.createDataFrame([(text,)], "value string")
+    assert parsing.events_from_v1(rows).filter(F.isnan("price")).count() == 0

@@ -127,10 +127,10 @@ def test_top_and_reshape(spark):
     assert [r.k for r in top.collect()] == ["x", "y"]
     assert {tuple(r) for r in shares.layers(top, "k", "p", "q").collect()} == {
         ("x", "p", 1), ("x", "q", 9), ("y", "p", 5), ("y", "q", 5)}
-    days = spark.createDataFrame([("d1", "click", 2), ("d1", "purchase", 1), ("d2", "click", 4)],
+    days = spark.createDataFrame([("d1", "click", 2), ("d1", "purchase", 1), ("d2", "click", 4), ("d2", "wish", 7), ("d2", None, 1)],
                                  "time_bucket string, event_name string, cnt long")
     matrix = shares.heatmap_matrix(days, "time_bucket", "event_name", "cnt").orderBy("time_bucket").collect()
-    assert [(r["click"], r["purchase"], r["add_to_cart"]) for r in matrix] == [(2, 1, 0), (4, 0, 0)]
+    assert [(r["click"], r["purchase"], r["wish"]) for r in matrix] == [(2, 1, 0), (4, 0, 7)]
     assert [shares.heatmap_size(n) for n in (5, 12, 50)] == [8, 12, 15]
     many = spark.createDataFrame([("d", f"e{i:02d}", i) for i in range(20)],
                                  "time_bucket string, event_name string, cnt long")
