@@ -9,23 +9,29 @@ source (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) to bound them. Over ta
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import ROUND_HALF_EVEN, ROUND_HALF_UP, Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from clickloom.operators.carts import CART_EVENTS
+
 OUTPUT = ("cart_id STRING, event_id STRING, event_name STRING, event_time TIMESTAMP, "
           "replayed_qty BIGINT, replayed_value DOUBLE")
-STATE = "products ARRAY<STRING>, quantities ARRAY<BIGINT>, worths ARRAY<DOUBLE>"
+STATE = "products ARRAY<STRING>, quantities ARRAY<BIGINT>, worths ARRAY<BIGINT>"
 TOUCHES = ("add_to_cart", "update_cart", "remove_from_cart")
-NOTHING = (0, 0.0)
+NOTHING = (0, 0)
+# Worth is counted in millionths, as the batch form counts it in decimals.
+MILLIONTH, CENT = Decimal("0.000001"), Decimal("0.01")
 COLUMNS = ["cart_id", "event_id", "event_name", "event_time", "product_id", "quantity", "price"]
 
 
 def _replay(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    cart: dict[str, tuple[int, float]] = {}
+    cart: dict[str, tuple[int, int]] = {}
     if state.exists:
-        cart = {p: (int(q), float(w)) for p, q, w in zip(*state.get)}
+        cart = {p: (int(q), int(w)) for p, q, w in zip(*state.get)}
     pieces = sum(q for q, _ in cart.values())
     worth = sum(w for _, w in cart.values())
     rows = pd.concat(list(batches)).sort_values(["event_time", "event_id"])
@@ -36,16 +42,20 @@ def _replay(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> I
             has = NOTHING
             if event.event_name != "remove_from_cart":
                 quantity = 0 if pd.isna(event.quantity) else int(event.quantity)
-                price = 0.0 if pd.isna(event.price) else float(event.price)
+                price = Decimal(0) if pd.isna(event.price) else Decimal(repr(float(event.price)))
+                unit = int(price.quantize(MILLIONTH, ROUND_HALF_UP).scaleb(6))
                 kept = had if event.event_name == "add_to_cart" else NOTHING
-                has = (kept[0] + quantity, kept[1] + quantity * price)
+                has = (kept[0] + quantity, kept[1] + quantity * unit)
                 cart[event.product_id] = has
             pieces += has[0] - had[0]
             worth += has[1] - had[1]
-        totals.append((pieces, round(worth, 2) + 0.0))
+        totals.append((pieces, float(Decimal(worth).scaleb(-6).quantize(CENT, ROUND_HALF_EVEN))))
         if event.event_name == "purchase":
-            cart, pieces, worth = {}, 0, 0.0
-    state.update((list(cart), [q for q, _ in cart.values()], [w for _, w in cart.values()]))
+            cart, pieces, worth = {}, 0, 0
+    if cart:
+        state.update((list(cart), [q for q, _ in cart.values()], [w for _, w in cart.values()]))
+    elif state.exists:
+        state.remove()
     out = rows[["cart_id", "event_id", "event_name", "event_time"]].copy()
     out["replayed_qty"] = [q for q, _ in totals]
     out["replayed_value"] = [v for _, v in totals]
@@ -53,7 +63,11 @@ def _replay(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> I
 
 
 def streaming_cart_replay(events: DataFrame) -> DataFrame:
-    """Cart totals after every event of a stream with ``cart_id`` and ``event_time``; update mode."""
-    rows = events.filter("cart_id IS NOT NULL").select(*COLUMNS)
+    """Cart totals after every event of a stream with ``cart_id`` and ``event_time``; update mode.
+
+    The same events as in the batch form show totals. An emptied cart leaves no state. Events are ordered within a
+    micro-batch; one that arrives in a later batch is replayed then.
+    """
+    rows = events.filter(F.col("cart_id").isNotNull() & F.col("event_name").isin(*CART_EVENTS)).select(*COLUMNS)
     return rows.groupBy("cart_id").applyInPandasWithState(
         _replay, OUTPUT, STATE, "update", GroupStateTimeout.NoTimeout)

@@ -129,7 +129,7 @@ def test_streaming_replay(spark, tmp_path):
         spark.createDataFrame(rows[part * 100:(part + 1) * 100], SCHEMA).coalesce(1).write.mode("append").parquet(source)
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
     query = (
-        streaming_cart_replay(stream.filter(F.col("event_name").isin(*carts.CART_EVENTS)))
+        streaming_cart_replay(stream)
         .writeStream.outputMode("update").queryName("carts").format("memory")
         .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
     query.awaitTermination()
