@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.measures import is_event, is_purchase
 from clickloom.operators.scans import CHUNK, crossing, laid_out
+from clickloom.session import settle
 
 MONEY = "decimal(38,6)"
 
@@ -43,8 +44,56 @@ def cart_replay(events: DataFrame, order: list[str] | None = None,
     completely; by default that is the time, the place on the topic if known, and the id. Views, clicks and
     events without a cart show no totals and are left out.
     """
-    order = order or default_order(events)
-    rows = laid_out(_cart_rows(events), "cart_id", order, ranges)
+    found = _replayed(_cart_rows(events), order or default_order(events), ranges)
+    return found.select(*events.columns, "replayed_qty", "replayed_value")
+
+
+def held_before(events: DataFrame, order: list[str] | None = None, ranges: int | None = None) -> DataFrame:
+    """Cart events with ``held_qty``, what the cart held of the event's product before it; 0 without a product."""
+    found = _replayed(_cart_rows(events), order or default_order(events), ranges)
+    held = F.when(F.col("__product").isNotNull(), F.col("__q") - F.col("__dq")).otherwise(0)
+    return found.select(*events.columns, held.cast("bigint").alias("held_qty"))
+
+
+def carried_replay(events: DataFrame, held: DataFrame, order: list[str] | None = None,
+                   ranges: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``cart_replay`` of carts that held something before, and what these carts hold afterwards.
+
+    Both contents are ``cart_id, product_id, quantity, worth``. A cart of ``events`` that ends empty has one row
+    without a product; carts without events are left out.
+    """
+    order = ["__later", *(order or default_order(events))]
+    fresh = settle(_cart_rows(events).withColumn("__later", F.lit(True)), "cart_rows")
+    touched = fresh.select("cart_id").distinct()
+    opening = held.filter(F.col("product_id").isNotNull()).join(touched, "cart_id", "left_semi").select(
+        "cart_id", F.col("product_id").alias("__product"), F.col("quantity").alias("__own"),
+        F.col("worth").cast(MONEY).alias("__worth"), F.lit(0).alias("__reset"), F.lit(0).alias("__bought"),
+        F.lit(False).alias("__later"))
+    rows = fresh.unionByName(opening, allowMissingColumns=True)
+    totals = _replayed(rows, order, ranges).filter("__later").select(
+        *events.columns, "replayed_qty", "replayed_value")
+    return totals, touched.join(_contents(rows, order), "cart_id", "left")
+
+
+def _contents(rows: DataFrame, order: list[str]) -> DataFrame:
+    """What each cart holds at the end: a product's rows since its last reset, after the cart's last purchase."""
+    at = F.struct(*order)
+    emptied = rows.filter("__bought = 1").groupBy("cart_id").agg(F.max(at).alias("__emptied"))
+    live = rows.filter(F.col("__product").isNotNull()).join(emptied, "cart_id", "left").filter(
+        F.col("__emptied").isNull() | (at > F.col("__emptied")))
+    resets = live.filter("__reset = 1").groupBy("cart_id", "__product").agg(F.max(at).alias("__from"))
+    return (
+        live.join(resets, ["cart_id", "__product"], "left")
+        .filter(F.col("__from").isNull() | (at >= F.col("__from")))
+        .groupBy("cart_id", F.col("__product").alias("product_id"))
+        .agg(F.sum("__own").alias("quantity"), F.sum("__worth").cast(MONEY).alias("worth"))
+        .filter("quantity != 0 or worth != 0")
+    )
+
+
+def _replayed(rows: DataFrame, order: list[str], ranges: int | None) -> DataFrame:
+    """Rows of ``_cart_rows`` with their totals."""
+    rows = laid_out(rows, "cart_id", order, ranges)
     narrow = rows.join(crossing(rows, "cart_id"), "cart_id", "left_semi").select(
         *GROUP, *order, "__product", "__reset", "__own", "__worth", "__bought")
     openings = _openings(narrow, order).withColumn("__opening", F.lit(True))
@@ -58,10 +107,7 @@ def cart_replay(events: DataFrame, order: list[str] | None = None,
     totals = _changes(opened, replay_order).withColumns({
         "replayed_qty": F.sum("__dq").over(so_far), "__value": F.sum("__dw").over(so_far)})
     value = F.bround("__value", 2).cast("double")
-    return (
-        totals.filter(~F.col("__opening")).withColumn("replayed_value", value)
-        .select(*events.columns, "replayed_qty", "replayed_value")
-    )
+    return totals.filter(~F.col("__opening")).withColumn("replayed_value", value)
 
 
 def _cart_rows(events: DataFrame) -> DataFrame:

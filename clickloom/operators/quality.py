@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.measures import is_event, is_purchase
 from clickloom.functions.scalars import parse_event_time, round_even
-from clickloom.operators.carts import cart_replay, default_order
+from clickloom.operators.carts import cart_replay, default_order, held_before
 from clickloom.operators.parsing import parse_json
 from clickloom.operators.scans import last_before
 from clickloom.schemas import EVENT_V1, FUNNEL_STAGES
@@ -114,6 +114,24 @@ def session_stages(events: DataFrame) -> DataFrame:
     )
 
 
+def cart_rule_violations(events: DataFrame, order: list[str] | None = None,
+                         ranges: int | None = None) -> DataFrame:
+    """Cart events that what the cart held does not allow, with ``reasons``.
+
+    Updating and removing need the product in the cart, and a removal records the quantity it took out.
+    """
+    changing = F.col("event_name").isin("update_cart", "remove_from_cart")
+    there = F.coalesce("held_qty", F.lit(0)) > 0
+    reasons = F.array_compact(F.array(
+        F.when(~there, "not_in_cart"),
+        F.when(there & is_event("remove_from_cart") & ~F.col("quantity").eqNullSafe(F.col("held_qty")),
+               "other_quantity_removed")))
+    return (
+        held_before(events, order, ranges).filter(changing).withColumn("reasons", reasons)
+        .filter(F.size("reasons") > 0).select("cart_id", "event_id", "event_name", "held_qty", "reasons")
+    )
+
+
 CHECKOUT = ("begin_checkout", "checkout_progress", "purchase")
 
 

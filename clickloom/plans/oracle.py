@@ -120,6 +120,12 @@ SELECT {dim} AS dimension, {count_of('product_view', 'product_views')}, {count_o
 FROM silver WHERE {dim} <> 'unknown' GROUP BY 1"""
 
 
+def page_query(name: str) -> str:
+    report = product_query(name) if DIMENSIONS[name][0] == "product" else dimension_query(name)
+    share = per("orders", "SUM(orders) OVER ()")
+    return f"SELECT *, {share} AS share, round_even({share} * 100.0, 2) AS share_pct FROM ({report})"
+
+
 def bars_query(name: str, metric: str, n: int = 15) -> str:
     report = product_query(name) if DIMENSIONS[name][0] == "product" else dimension_query(name)
     # The key column of money metrics is rounded, as in the report itself.
@@ -411,6 +417,27 @@ FROM (SELECT name, unnest(string_split(reasons, ',')) AS reason FROM checked WHE
         "cart_replay": f"""WITH {CARTS}
 SELECT event_id, cart_id, event_name, qty AS replayed_qty, CAST(worth AS DOUBLE) AS replayed_value
 FROM replayed WHERE event_name NOT IN ('product_view', 'click')""",
+        "streamed_cart_totals": f"""WITH {CARTS}
+SELECT event_id, cart_id, event_name, qty AS replayed_qty, CAST(worth AS DOUBLE) AS replayed_value
+FROM replayed WHERE event_name NOT IN ('product_view', 'click')""",
+        "cart_rules": f"""WITH {CARTS},
+before AS (
+  SELECT event_id, event_name, quantity, CAST(after - delta AS BIGINT) AS held_qty FROM replayed
+  WHERE event_name IN ('update_cart', 'remove_from_cart')
+)
+SELECT event_id, held_qty, CASE WHEN held_qty <= 0 THEN 'not_in_cart' ELSE 'other_quantity_removed' END AS reasons
+FROM before WHERE held_qty <= 0 OR (event_name = 'remove_from_cart' AND quantity <> held_qty)""",
+        "landed_messages": f"""WITH {EVENTS}
+SELECT COUNT(*) AS messages, COUNT(CASE WHEN seq % 23 = 0 THEN 1 END) AS broken,
+       CAST(SUM(CASE WHEN seq % 23 <> 0 THEN seq END) AS BIGINT) AS ids FROM ev""",
+        "event_table_stream": f"""WITH {MESSAGES}
+SELECT day, name AS event_name, COUNT(*) AS events FROM checked WHERE reasons = '' GROUP BY 1, 2""",
+        "quarantine_stream": f"""WITH {MESSAGES}
+SELECT reasons, COUNT(*) AS messages FROM checked WHERE reasons <> '' GROUP BY 1""",
+        "csv_round_trip": EVENT_MIX,
+        "snapshot_counts_restarted": f"""WITH {MESSAGES}
+SELECT product_id, name AS event_name, COUNT(*) AS count FROM named
+WHERE seq % 23 <> 0 AND seq % 29 <> 0 AND product_id IS NOT NULL AND name IS NOT NULL GROUP BY 1, 2""",
         "session_stages": f"""WITH {EVENTS}
 SELECT session_id, event_name, strftime(MIN(event_time), '%Y-%m-%dT%H:%M:%SZ') AS first_time,
        strftime(MAX(event_time), '%Y-%m-%dT%H:%M:%SZ') AS last_time, COUNT(*) AS events FROM ev GROUP BY 1, 2""",
@@ -462,6 +489,7 @@ FROM seen WHERE product_id IS NOT NULL GROUP BY 1""",
         "top_cities": bars_query("city", "revenue_usd"),
     }
     sql.update({f"dim_{name}": dimension_query(name) for name in DIMENSIONS})
+    sql.update({f"page_{name}": page_query(name) for name in DIMENSIONS})
     sql.update({f"product_{name}": product_query(name) for name, d in DIMENSIONS.items()
                 if d[0] == "product"})
     return sql

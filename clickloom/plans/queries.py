@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.functions import scalars
 from clickloom.functions.dimensions import DIMENSIONS
@@ -27,10 +28,13 @@ from clickloom.operators import (
 )
 from clickloom.plans import pages
 from clickloom.session import run_dir
-from clickloom.sinks.tables import write_watermark
+from clickloom.sinks.tables import export_csv, write_watermark
 from clickloom.sources import snapshots, star
+from clickloom.sources import tables as table_sources
 from clickloom.sources.tables import batch_watermark, event_query, register_events
+from clickloom.streaming import carts as streaming_carts
 from clickloom.streaming import counts as streaming_counts
+from clickloom.streaming import landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +111,14 @@ def dimension_query(by: str) -> Query:
     return run
 
 
+def page_query(by: str) -> Query:
+    """The whole report of a dimension with the shares of its orders."""
+    def run(spark, sf_dir):
+        return cents(pages.dimension_page(star.clickstream(spark, sf_dir, *_needs(by)), None, by, "orders"))
+
+    return run
+
+
 def product_query(by: str) -> Query:
     def run(spark, sf_dir):
         return cents(reports.product_report(_money_events(spark, sf_dir), None, by))
@@ -220,6 +232,79 @@ def snapshot_counts(spark, sf_dir):
     return snapshots.ordered_snapshot(snapshots.read_snapshot(spark, f"{folder}/counts"))
 
 
+def _arriving(spark: SparkSession, rows: DataFrame, run: Callable[[DataFrame], StreamingQuery], parts: int = 3) -> None:
+    """Runs a stream to its end after each of several arrivals of ``rows``, by event time."""
+    inbox = run_dir(spark, "inbox")
+    second = F.unix_seconds("event_time")
+    low, high = rows.agg(F.min(second), F.max(second)).first()
+    width = ((high or 0) - (low or 0)) // parts + 1
+    part = F.coalesce(F.floor((second - (low or 0)) / width), F.lit(0))
+    for n in range(parts):
+        rows.filter(part == n).write.mode("append").parquet(inbox)
+        run(spark.readStream.schema(rows.schema).parquet(inbox)).awaitTermination()
+
+
+def _messages_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = star.events_stream(spark, sf_dir)
+    return events.select(star.message_of(events).alias("value"))
+
+
+def snapshot_counts_restarted(spark, sf_dir):
+    """The same in three starts from one checkpoint, with a base after every second batch."""
+    folder = run_dir(spark, "snapshot")
+    _arriving(spark, star.base_events(spark, sf_dir), lambda events: streaming_counts.start_counts(
+        events.select(star.message_of(events).alias("value")), f"{folder}/counts", f"{folder}/checkpoint",
+        available_now=True, compact_every=2))
+    return snapshots.ordered_snapshot(snapshots.read_snapshot(spark, f"{folder}/counts"))
+
+
+def landed_messages(spark, sf_dir):
+    """Raw landing: all messages, the broken ones, and the sum of the ids of the others."""
+    folder = run_dir(spark, "landing")
+    landing.start_landing(_messages_stream(spark, sf_dir), f"{folder}/raw", f"{folder}/checkpoint",
+                          available_now=True).awaitTermination()
+    whole = F.get_json_object("value", "$.event_id").try_cast("bigint")
+    return table_sources.landed_messages(spark, f"{folder}/raw").agg(
+        F.count("*").alias("messages"), F.count_if(F.length("value") == 25).alias("broken"),
+        F.sum(whole).alias("ids"))
+
+
+def event_table_stream(spark, sf_dir):
+    """Every message sent twice; the event table holds the valid ones once."""
+    folder = run_dir(spark, "event_table")
+    twice = _messages_stream(spark, sf_dir).select(F.explode(F.array("value", "value")).alias("value"))
+    landing.start_event_table(twice, f"{folder}/events", f"{folder}/checkpoint",
+                              available_now=True).awaitTermination()
+    events = table_sources.event_table(spark, f"{folder}/events")
+    return events.groupBy(F.date_format("event_date", "yyyy-MM-dd").alias("day"), "event_name").agg(
+        F.count("*").alias("events"))
+
+
+def quarantine_stream(spark, sf_dir):
+    folder = run_dir(spark, "quarantine")
+    landing.start_quarantine(_messages_stream(spark, sf_dir), f"{folder}/bad", f"{folder}/checkpoint",
+                             available_now=True).awaitTermination()
+    return table_sources.event_table(spark, f"{folder}/bad").groupBy(joined("reasons").alias("reasons")).agg(
+        F.count("*").alias("messages"))
+
+
+def streamed_cart_totals(spark, sf_dir):
+    """Cart totals of a stream that is started three times."""
+    folder = run_dir(spark, "carts")
+    _arriving(spark, star.cart_history(spark, sf_dir), lambda events: streaming_carts.start_cart_replay(
+        events, f"{folder}/carts", f"{folder}/checkpoint", available_now=True, compact_every=2))
+    return streaming_carts.read_totals(spark, f"{folder}/carts").select(
+        "event_id", "cart_id", "event_name", "replayed_qty", "replayed_value")
+
+
+def csv_round_trip(spark, sf_dir):
+    """A report exported as CSV and read back."""
+    report = event_mix(spark, sf_dir)
+    path = run_dir(spark, "csv")
+    export_csv(report, path)
+    return spark.read.schema(report.schema).option("header", True).csv(path)
+
+
 def snapshot_latest(spark, sf_dir):
     """Latest counts out of a log of absolute counts, one batch per day."""
     daily = (
@@ -353,6 +438,11 @@ def cart_mismatches(spark, sf_dir):
     return carts.cart_mismatches(recorded).select("event_id", "replayed_qty")
 
 
+def cart_rules(spark, sf_dir):
+    found = quality.cart_rule_violations(star.cart_history(spark, sf_dir))
+    return found.select("event_id", "held_qty", joined("reasons").alias("reasons"))
+
+
 def event_table_orders(spark, sf_dir):
     """Order lines from messages by way of the event table."""
     lines = commerce.order_lines(parsing.events_from_v1(star.raw_messages(spark, sf_dir)))
@@ -411,9 +501,12 @@ def all_queries() -> dict[str, Query]:
             session_conformance, order_lines, product_sales, order_reconciliation,
             product_catalog, day_range_counts, lenient_numbers, iso_times, deduplicated_events,
             exact_counts_unaligned, cart_mismatches, event_table_orders, line_total_mismatches,
+            snapshot_counts_restarted, landed_messages, event_table_stream, quarantine_stream,
+            streamed_cart_totals, csv_round_trip, cart_rules,
         )
     }
     found.update({f"dim_{name}": dimension_query(name) for name in DIMENSIONS})
+    found.update({f"page_{name}": page_query(name) for name in DIMENSIONS})
     found.update({f"product_{name}": product_query(name) for name, d in DIMENSIONS.items()
                   if d.group == "product"})
     found.update({

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from clickloom.files import delete
+
 # Settings every clickloom session wants; sizes (shuffle partitions, memory) belong to the cluster.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -18,6 +23,7 @@ SESSION_CONF = {
 }
 
 _local_dirs: dict[str, str] = {}
+_settled: ContextVar[list[str] | None] = ContextVar("settled", default=None)
 
 
 def build_session(app_name: str = "clickloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -63,5 +69,20 @@ def run_dir(spark: SparkSession, label: str) -> str:
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` below the shared folder and reads it again, so that later jobs see one and the same table."""
     path = run_dir(df.sparkSession, label)
+    if (kept := _settled.get()) is not None:
+        kept.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Tables settled inside are deleted at the end, so that a stream leaves none of them behind."""
+    paths: list[str] = []
+    token = _settled.set(paths)
+    try:
+        yield
+    finally:
+        _settled.reset(token)
+        for path in paths:
+            delete(spark, path)

@@ -1,73 +1,90 @@
 """Cart totals kept up to date on a stream.
 
-The state of a cart is its content. A cart changes one event after the other, so this is the one
-place that keeps grouped state in Python. A task sees a cart's events of one micro-batch; limit the
-source (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) to bound them. Over tables use
-``operators.carts.cart_replay``, which also splits busy carts.
+Every micro-batch is replayed by the batch operator, which splits busy carts, onto what its carts held before. A batch
+owns its folders, so writing it again after a failure changes nothing: ``totals/batch_id=N`` has the replayed events,
+``contents/batch_id=N`` all that the carts of the batch hold after it, and ``base/batch_id=N``, every so many batches, all
+carts that hold anything. Emptied carts are not in a base.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from decimal import ROUND_HALF_EVEN, ROUND_HALF_UP, Decimal
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
-from clickloom.operators.carts import CART_EVENTS
+from clickloom.files import delete, exists, numbered_folders
+from clickloom.operators.carts import carried_replay
+from clickloom.session import cleared
+from clickloom.sources.snapshots import newest_finished
 
-OUTPUT = ("cart_id STRING, event_id STRING, event_name STRING, event_time TIMESTAMP, "
+TOTALS = ("cart_id STRING, event_id STRING, event_name STRING, event_time TIMESTAMP, "
           "replayed_qty BIGINT, replayed_value DOUBLE")
-STATE = "products ARRAY<STRING>, quantities ARRAY<BIGINT>, worths ARRAY<BIGINT>"
-TOUCHES = ("add_to_cart", "update_cart", "remove_from_cart")
-NOTHING = (0, 0)
-# Worth is counted in millionths, as the batch form counts it in decimals.
-MILLIONTH, CENT = Decimal("0.000001"), Decimal("0.01")
-COLUMNS = ["cart_id", "event_id", "event_name", "event_time", "product_id", "quantity", "price"]
-
-
-def _replay(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    cart: dict[str, tuple[int, int]] = {}
-    if state.exists:
-        cart = {p: (int(q), int(w)) for p, q, w in zip(*state.get)}
-    pieces = sum(q for q, _ in cart.values())
-    worth = sum(w for _, w in cart.values())
-    rows = pd.concat(list(batches)).sort_values(["event_time", "event_id"])
-    totals = []
-    for event in rows.itertuples(index=False):
-        if event.event_name in TOUCHES and event.product_id is not None:
-            had = cart.pop(event.product_id, NOTHING)
-            has = NOTHING
-            if event.event_name != "remove_from_cart":
-                quantity = 0 if pd.isna(event.quantity) else int(event.quantity)
-                price = Decimal(0) if pd.isna(event.price) else Decimal(repr(float(event.price)))
-                unit = int(price.quantize(MILLIONTH, ROUND_HALF_UP).scaleb(6))
-                kept = had if event.event_name == "add_to_cart" else NOTHING
-                has = (kept[0] + quantity, kept[1] + quantity * unit)
-                cart[event.product_id] = has
-            pieces += has[0] - had[0]
-            worth += has[1] - had[1]
-        totals.append((pieces, float(Decimal(worth).scaleb(-6).quantize(CENT, ROUND_HALF_EVEN))))
-        if event.event_name == "purchase":
-            cart, pieces, worth = {}, 0, 0
-    if cart:
-        state.update((list(cart), [q for q, _ in cart.values()], [w for _, w in cart.values()]))
-    elif state.exists:
-        state.remove()
-    out = rows[["cart_id", "event_id", "event_name", "event_time"]].copy()
-    out["replayed_qty"] = [q for q, _ in totals]
-    out["replayed_value"] = [v for _, v in totals]
-    yield out
-
-
-def streaming_cart_replay(events: DataFrame) -> DataFrame:
-    """Cart totals after every event of a stream with ``cart_id`` and ``event_time``; update mode.
-
-    The same events as in the batch form show totals. An emptied cart leaves no state. Events are ordered within a
-    micro-batch; one that arrives in a later batch is replayed then.
+CONTENTS = "cart_id STRING, product_id STRING, quantity BIGINT, worth DECIMAL(38,6)"
+
+
+def read_totals(spark: SparkSession, path: str) -> DataFrame:
+    """The replayed events of all batches."""
+    return spark.read.schema(f"{TOTALS}, batch_id BIGINT").parquet(f"{path}/totals").drop("batch_id")
+
+
+def contents_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """What carts held when a batch began: of each cart the rows of the last batch that touched it."""
+    rows = spark.createDataFrame([], f"{CONTENTS}, batch_id BIGINT")
+    if exists(spark, f"{path}/contents"):
+        rows = spark.read.schema(f"{CONTENTS}, batch_id BIGINT").parquet(f"{path}/contents")
+        rows = rows.filter(F.col("batch_id") < batch_id)
+    base = newest_finished(spark, f"{path}/base", batch_id)
+    if base is not None:
+        covered = spark.read.schema(CONTENTS).parquet(f"{path}/base/batch_id={base}")
+        rows = rows.filter(F.col("batch_id") > base).unionByName(
+            covered.withColumn("batch_id", F.lit(base).cast("bigint")))
+    newest = rows.groupBy("cart_id").agg(F.max("batch_id").alias("batch_id"))
+    return rows.join(newest, ["cart_id", "batch_id"]).filter(F.col("product_id").isNotNull()).drop("batch_id")
+
+
+def _compact(spark: SparkSession, path: str, batch_id: int) -> None:
+    """A base as of the batch. What the base before it covers goes; a rerun of this batch still needs the rest."""
+    earlier = newest_finished(spark, f"{path}/base", batch_id)
+    contents_before(spark, path, batch_id + 1).write.mode("overwrite").parquet(f"{path}/base/batch_id={batch_id}")
+    if earlier is None:
+        return
+    for n, folder in numbered_folders(spark, f"{path}/contents", "batch_id").items():
+        if n <= earlier:
+            delete(spark, folder)
+    for n, folder in numbered_folders(spark, f"{path}/base", "batch_id").items():
+        if n < earlier:
+            delete(spark, folder)
+
+
+def replay_batches(path: str, compact_every: int = 50) -> Callable[[DataFrame, int], None]:
+    """Micro-batch callback. A new checkpoint counts its batches anew and needs a folder of its own."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if any(n > batch_id for n in numbered_folders(spark, f"{path}/contents", "batch_id")):
+            raise ValueError(f"{path} holds batches after {batch_id}; a new checkpoint needs a new folder")
+        with cleared(spark):
+            totals, after = carried_replay(batch, contents_before(spark, path, batch_id))
+            names = [part.split()[0] for part in TOTALS.split(", ")]
+            totals.select(*names).write.mode("overwrite").parquet(f"{path}/totals/batch_id={batch_id}")
+            after.write.mode("overwrite").parquet(f"{path}/contents/batch_id={batch_id}")
+        if batch_id % compact_every == compact_every - 1:
+            _compact(spark, path, batch_id)
+
+    return write
+
+
+def start_cart_replay(events: DataFrame, path: str, checkpoint: str, available_now: bool = False,
+                      trigger: str | None = None, compact_every: int = 50) -> StreamingQuery:
+    """Cart totals after every event of a stream, as ``operators.carts.cart_replay`` gives them.
+
+    Events are ordered within a micro-batch; one that arrives in a later batch is replayed then.
     """
-    rows = events.filter(F.col("cart_id").isNotNull() & F.col("event_name").isin(*CART_EVENTS)).select(*COLUMNS)
-    return rows.groupBy("cart_id").applyInPandasWithState(
-        _replay, OUTPUT, STATE, "update", GroupStateTimeout.NoTimeout)
+    writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        replay_batches(path, compact_every))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif trigger:
+        writer = writer.trigger(processingTime=trigger)
+    return writer.start()

@@ -16,12 +16,13 @@ def product_event_counts(events: DataFrame) -> DataFrame:
 
 
 def start_counts(messages: DataFrame, snapshot_path: str, checkpoint: str,
-                 available_now: bool = False, trigger: str | None = None) -> StreamingQuery:
+                 available_now: bool = False, trigger: str | None = None,
+                 compact_every: int | None = None) -> StreamingQuery:
     """Count a message stream into a snapshot folder, emitting only the keys that changed."""
     writer = (
         product_event_counts(speed_events(messages)).writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(upsert_counts(snapshot_path))
+        .foreachBatch(upsert_counts(snapshot_path, compact_every=compact_every))
     )
     if available_now:
         writer = writer.trigger(availableNow=True)

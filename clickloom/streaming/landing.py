@@ -24,10 +24,17 @@ def start_landing(messages: DataFrame, path: str, checkpoint: str, records_per_f
     return writer.trigger(processingTime=trigger).start()
 
 
-def start_event_table(messages: DataFrame, path: str, checkpoint: str,
-                      available_now: bool = False) -> StreamingQuery:
-    """Valid messages into the event table, by day. The file sink commits each batch once."""
+def start_event_table(messages: DataFrame, path: str, checkpoint: str, available_now: bool = False,
+                      repeats: str | None = "1 hour") -> StreamingQuery:
+    """Valid messages into the event table, by day. The file sink commits each batch once.
+
+    An event sent again within ``repeats`` of its arrival is left out; None keeps all. The span counts from the arrival,
+    so no event is too late for it.
+    """
     events = normalize_v1(valid_messages(checked_messages(messages, position_of(messages))))
+    if repeats:
+        arrived = events.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", repeats)
+        events = arrived.dropDuplicatesWithinWatermark(["event_id"]).drop("_arrived")
     return _files(events, path, checkpoint, available_now, "event_date")
 
 

@@ -1,5 +1,6 @@
 """Cart replay and session rules against a plain fold over the events."""
 
+import os
 import random
 from datetime import datetime, timedelta, timezone
 
@@ -7,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators import carts, quality, scans
-from clickloom.streaming.carts import streaming_cart_replay
+from clickloom.session import shared_dir
+from clickloom.streaming.carts import contents_before, read_totals, replay_batches, start_cart_replay
 
 SCHEMA = ("cart_id string, session_id string, event_time timestamp, event_id string, event_name string, "
           "product_id string, quantity int, price double, cart_items_qty int, cart_value double")
@@ -124,14 +126,50 @@ def test_last_before(spark):
 
 def test_streaming_replay(spark, tmp_path):
     rows = sorted(history(300, seed=3), key=lambda e: (e[2], e[3]))
-    source = str(tmp_path / "in")
-    for part in range(3):
-        spark.createDataFrame(rows[part * 100:(part + 1) * 100], SCHEMA).coalesce(1).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
-    query = (
-        streaming_cart_replay(stream)
-        .writeStream.outputMode("update").queryName("carts").format("memory")
-        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
-    query.awaitTermination()
-    found = {r.event_id: (r.replayed_qty, r.replayed_value) for r in spark.table("carts").collect()}
-    assert found == fold(rows)[0]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    before = set(os.listdir(shared_dir(spark)))
+    for part in range(5):
+        spark.createDataFrame(rows[part * 60:(part + 1) * 60], SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(SCHEMA).parquet(source)
+        start_cart_replay(stream, out, str(tmp_path / "cp"), available_now=True, compact_every=2).awaitTermination()
+    found = read_totals(spark, out).collect()
+    assert {r.event_id: (r.replayed_qty, r.replayed_value) for r in found} == fold(rows)[0]
+    # Folders that a base covers go, and so do the tables made on the way.
+    assert sorted(p.name for p in (tmp_path / "out" / "base").iterdir()) == ["batch_id=1", "batch_id=3"]
+    assert sorted(p.name for p in (tmp_path / "out" / "contents").iterdir()) == ["batch_id=2", "batch_id=3", "batch_id=4"]
+    assert set(os.listdir(shared_dir(spark))) == before
+
+    # The last batch once more changes nothing.
+    batch = spark.createDataFrame(rows[240:], SCHEMA)
+    replay_batches(out, compact_every=2)(batch, 4)
+    assert {r.event_id: (r.replayed_qty, r.replayed_value) for r in read_totals(spark, out).collect()} == fold(rows)[0]
+    with pytest.raises(ValueError):
+        replay_batches(out)(batch, 3)
+
+
+def test_emptied_carts_leave_the_contents(spark, tmp_path):
+    rows = [("A", "S", START, "1", "add_to_cart", "P1", 2, 1.5, None, None),
+            ("B", "S", START, "2", "add_to_cart", "P1", 1, 1.5, None, None),
+            ("A", "S", START + timedelta(1), "3", "purchase", None, None, None, None, None)]
+    write = replay_batches(str(tmp_path), compact_every=2)
+    write(spark.createDataFrame(rows[:2], SCHEMA), 0)
+    assert contents_before(spark, str(tmp_path), 1).count() == 2
+    write(spark.createDataFrame(rows[2:], SCHEMA), 1)
+    left = [(r.cart_id, r.product_id, r.quantity) for r in contents_before(spark, str(tmp_path), 2).collect()]
+    assert left == [("B", "P1", 1)]
+    assert spark.read.parquet(str(tmp_path / "base" / "batch_id=1")).count() == 1
+
+
+@pytest.mark.parametrize("ranges", [1, 9])
+def test_cart_rules(spark, ranges):
+    def at(i, name, product, quantity):
+        return ("C", "S", START + timedelta(minutes=i), f"{i:02d}", name, product, quantity, 1.0, None, None)
+
+    rows = [at(1, "update_cart", "P1", 2), at(2, "add_to_cart", "P2", 3), at(3, "remove_from_cart", "P2", 3),
+            at(4, "remove_from_cart", "P2", 3), at(5, "add_to_cart", "P3", 2), at(6, "remove_from_cart", "P3", 1),
+            at(7, "add_to_cart", "P4", 1), at(8, "purchase", None, None), at(9, "update_cart", "P4", 1),
+            at(10, "remove_from_cart", None, 1)]
+    found = quality.cart_rule_violations(spark.createDataFrame(rows, SCHEMA), ranges=ranges)
+    assert {r.event_id: r.reasons for r in found.collect()} == {
+        "01": ["not_in_cart"], "04": ["not_in_cart"], "06": ["other_quantity_removed"], "09": ["not_in_cart"],
+        "10": ["not_in_cart"]}
