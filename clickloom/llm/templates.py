@@ -39,6 +39,8 @@ modal newsletter subscribe signup login search comment comments reply replies di
 related recommended widget widgets masthead toolbar pagination pager form alert""".split())
 HEAD_WORDS = frozenset(("header", "masthead"))
 MAIN_TAGS = frozenset(("article", "main"))
+#: Tags that hold a whole page, so that words such as has-sidebar say nothing about their text.
+WHOLE_TAGS = frozenset(("html", "body", "main"))
 
 MARKUP = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
@@ -103,8 +105,11 @@ class Page:
         names = " ".join(a or b or c for a, b, c in NAMED.findall(rest)).lower() if rest else ""
         words = set(re.split(r"[^a-z]+", names)) - {""}
         _, path, outside, main = self.open[-1]
-        outside = (outside or tag in OUTSIDE_TAGS or bool(words & OUTSIDE_WORDS)
-                   or not main and (tag == "header" or bool(words & HEAD_WORDS)))
+        if tag in WHOLE_TAGS:
+            outside = any(above in OUTSIDE_TAGS for above, *_ in self.open)
+        else:
+            outside = (outside or tag in OUTSIDE_TAGS or bool(words & OUTSIDE_WORDS)
+                       or not main and (tag == "header" or bool(words & HEAD_WORDS)))
         path = f"{path}/{tag}" + (f".{'.'.join(sorted(words))}" if words else "")
         if not rest.endswith("/"):
             self.open.append((tag, path, outside, main or tag in MAIN_TAGS and not outside))

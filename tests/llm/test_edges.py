@@ -155,6 +155,11 @@ def test_page_edges(spark):
     assert text[1] == "Title & more\nBold line\ntwo words"
     assert (text[2], text[3], text[4], text[5], text[6]) == ("", "", "only this", "broken off &am", "cut")
     assert text[7] == "text < 5 and > 3" and text[9].count("\n") == 19_999
+    # Words on what holds the whole page say nothing; an article among the comments is none.
+    named = ("<html class='has-search'><body class='with-sidebar'><div class='layout-sidebar'><div class='sidebar'>links"
+             "</div><main class='form'><article><p>story</p></article></main></div><section class='comments'>"
+             "<article class='reply'><p>first!</p></article></section></body></html>")
+    assert [b["text"] for b in templates.Page(named).blocks if not b["outside"]] == ["story"]
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert templates.main_text(empty).count() == 0
 
