@@ -20,8 +20,9 @@ from clickloom.llm.common import ascii_lower, per_text, settle
 # Words in UTF-8 after lower-casing A-Z: digits, a-z and everything beyond ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 WINDOW = 10
-#: Characters of benchmark text that may be collected and broadcast.
-BROADCAST_CHARS = 64_000_000
+#: Characters of benchmark text that may be collected and broadcast: at most a window for every second one, of about
+#: 100 bytes each, so 400 MB in a task; 130 MB for words of five letters.
+BROADCAST_CHARS = 8_000_000
 
 RESULT = ("n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
           "hit_spans array<struct<start: int, end: int>>")
@@ -36,26 +37,34 @@ def digest(ids) -> str:
 
 
 class Windows:
-    """All windows of a benchmark: word numbers, and by window length the sorted window hashes."""
+    """All windows of a benchmark: word numbers, and by window length the sorted window hashes, the windows, and
+    whose they are (numbers of items, those of window i from firsts[i] up to firsts[i + 1])."""
 
     def __init__(self, items: list[tuple], window: int):
         self.vocabulary: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], set] = {}
+        numbers: dict = {}
+        by_size: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for item_id, text in items:
             found = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
-            size = min(window, len(found))
-            for i in range(len(found) - size + 1 if size else 0):
-                owners.setdefault(tuple(found[i:i + size]), set()).add(item_id)
+            if found:
+                size = min(window, len(found))
+                rows = np.lib.stride_tricks.sliding_window_view(np.array(found, np.uint64), size)
+                number = numbers.setdefault(item_id, len(numbers))
+                by_size.setdefault(size, []).append((rows, np.full(len(rows), number)))
+        self.ids = list(numbers)
         self.by_length = []
-        for size in sorted({len(w) for w in owners}):
-            own = [w for w in owners if len(w) == size]
-            rows = np.array(own, np.uint64)
+        for size, parts in sorted(by_size.items()):
+            rows, which = np.unique(np.concatenate([r for r, _ in parts]), axis=0, return_inverse=True)
             seed = 1
-            while len(np.unique(keys := self._hash(rows, seed))) < len(own):
+            while len(np.unique(keys := self._hash(rows, seed))) < len(rows):
                 seed += 1
             order = np.argsort(keys)
+            place = np.empty(len(rows), np.int64)
+            place[order] = np.arange(len(rows))
+            owned = np.unique(place[which.ravel()] * len(numbers) + np.concatenate([n for _, n in parts]))
+            firsts = np.searchsorted(owned, np.arange(len(rows) + 1) * len(numbers))
             self.by_length.append(
-                (size, seed, keys[order], rows[order], [owners[own[i]] for i in order]))
+                (size, seed, keys[order], rows[order], firsts, (owned % len(numbers)).astype(np.int32)))
 
     @staticmethod
     def _factors(size: int, seed: int) -> np.ndarray:
@@ -70,7 +79,7 @@ class Windows:
         items: set = set()
         ids = np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.uint64, len(words))
         known = np.concatenate(([0], np.cumsum(ids > 0)))
-        for size, seed, keys, rows, owners in self.by_length:
+        for size, seed, keys, rows, firsts, owners in self.by_length:
             if len(ids) < size:
                 continue
             starts = np.flatnonzero(known[size:] - known[:-size] == size)
@@ -89,7 +98,7 @@ class Windows:
             np.add.at(hit, starts, 1)
             np.add.at(hit, starts + size, -1)
             for i in np.unique(at):
-                items |= owners[i]
+                items.update(self.ids[n] for n in owners[firsts[i]:firsts[i + 1]])
         return np.cumsum(hit[:-1]) > 0, items
 
 
