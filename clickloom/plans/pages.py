@@ -1,4 +1,8 @@
-"""Report tables as a reader sees them: measures, shares, rankings in one plan each."""
+"""Report tables as a reader sees them: measures, shares, rankings.
+
+A report over the event table that needs a total or a ranking of its own rows is written once, as it would be computed
+from all events a second time otherwise.
+"""
 
 from __future__ import annotations
 
@@ -9,20 +13,22 @@ from clickloom.functions.dimensions import check_metric, dimension
 from clickloom.functions.scalars import round_even
 from clickloom.functions.timerange import TimeRange
 from clickloom.operators import combined, reports, shares, snapshot
+from clickloom.session import settle
 
 DEFAULT_ROWS = 15
 
 
 def event_mix_page(events: DataFrame, period: TimeRange | None) -> DataFrame:
     """Event mix with each event's share of all events."""
-    return shares.add_share_pct(shares.add_share(reports.event_mix(events, period), "events"))
+    report = settle(reports.event_mix(events, period), "report")
+    return shares.add_share_pct(shares.add_share(report, "events"))
 
 
 def dimension_page(events: DataFrame, period: TimeRange | None, by: str, metric: str) -> DataFrame:
     """A dimension's report with the share of the chosen metric."""
     check_metric(by, metric)
     build = reports.product_report if dimension(by).group == "product" else reports.dimension_report
-    return shares.add_share_pct(shares.add_share(build(events, period, by), metric))
+    return shares.add_share_pct(shares.add_share(settle(build(events, period, by), "report"), metric))
 
 
 def dimension_bars(events: DataFrame, period: TimeRange | None, by: str, metric: str,
@@ -34,7 +40,7 @@ def dimension_bars(events: DataFrame, period: TimeRange | None, by: str, metric:
 
 def heatmap(events: DataFrame, period: TimeRange | None, n: int = DEFAULT_ROWS) -> DataFrame:
     """Day by event counts of the most frequent events."""
-    return shares.keep_top_events(reports.day_event_counts(events, period), n)
+    return shares.keep_top_events(settle(reports.day_event_counts(events, period), "report"), n)
 
 
 def snapshot_events_page(counts: DataFrame) -> DataFrame:

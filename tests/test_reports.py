@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from clickloom.functions.timerange import day_range
 from clickloom.operators import combined, reports, shares
 from clickloom.plans import pages
+from clickloom.plans.queries import all_queries
 from clickloom.schemas import EVENT_V2, FUNNEL_STAGES
 from clickloom.sources import star
 from clickloom.sources.tables import event_query, register_events
@@ -167,3 +168,26 @@ def test_combined_view(spark):
 def test_bars_reject_other_metrics(spark, sf_dir):
     with pytest.raises(ValueError):
         pages.dimension_bars(star.clickstream(spark, sf_dir), JANUARY, "os", "buyers")
+
+
+def records_read(spark, run):
+    """Rows that all stages of ``run`` read from files."""
+    gateway, store = spark.sparkContext._gateway, spark.sparkContext._jsc.sc().statusStore()
+
+    def total():
+        stages = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0),
+                                 gateway.jvm.java.util.ArrayList())
+        return sum(stages.apply(i).inputRecords() for i in range(stages.size()))
+
+    before = total()
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return total() - before
+
+
+def test_pages_read_the_events_once(spark, sf_dir):
+    count = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet").count() for name in ("events", "part", "orders")}
+    for name in ("event_mix_page", "page_channel", "heatmap_top_events"):
+        read = records_read(spark, lambda name=name: all_queries()[name](spark, sf_dir).collect())
+        joined = 0 if name == "heatmap_top_events" else count["part"] + count["orders"]
+        assert read < count["events"] * 1.9 + joined, name
