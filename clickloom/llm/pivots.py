@@ -8,7 +8,7 @@ from a bounded sample.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -21,17 +21,24 @@ from clickloom.llm.components import components
 from clickloom.llm.simhash import local_roots, whole_groups
 
 THRESHOLD = 0.98
-#: Reference points, taken from at most PIVOT_SAMPLE different vectors; at most 64, as prefixes are bit masks.
-PIVOTS = 64
-PIVOT_SAMPLE = 2048
-#: Pivots of a vector's prefix, and how many of them two vectors must share: recall 0.9999 on the test tables.
+#: Reference points: the cube root of the number of different vectors times PER_VECTOR within these bounds, so that
+#: lists stay as long on average when the table grows. They are picked from SAMPLE_PER_PIVOT times as many vectors.
+LEAST_PIVOTS = 256
+MOST_PIVOTS = 1024
+PER_VECTOR = 30
+SAMPLE_PER_PIVOT = 8
+#: Pivots of a vector's prefix, and how many of them two vectors must share.
 PREFIX = 5
 SHARED = 3
+#: Bits of a pivot's number in the name of a list.
+PIVOT_BITS = 20
 #: Vectors of one list compared in one group; longer lists are cut and each two parts meet.
-LIST = 512
+LIST = 256
 #: Groups of up to so many vectors write down their pairs; pairs looked at together.
 SMALL = 48
 AT_ONCE = 1 << 16
+#: Vectors described together.
+DESCRIBED = 1024
 
 
 def usable(vector: Column) -> Column:
@@ -40,19 +47,24 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & ~bad & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def reference_points(vectors: DataFrame) -> dict[int, np.ndarray]:
-    """Unit reference points by dimension, far apart from each other, from a bounded sample of ``vector``."""
+def pivots_for(vectors: int) -> int:
+    """Reference points for so many different vectors."""
+    return min(MOST_PIVOTS, max(LEAST_PIVOTS, round((PER_VECTOR * vectors) ** (1 / 3))))
+
+
+def reference_points(vectors: DataFrame, many: int) -> dict[int, np.ndarray]:
+    """At most ``many`` unit reference points by dimension, far apart from each other, from a bounded sample of ``vector``."""
     order = F.xxhash64(F.lit(3), "vector")
-    rows = vectors.select("vector").distinct().orderBy(order).limit(PIVOT_SAMPLE).collect()
+    sample = vectors.select("vector").distinct().orderBy(order, "vector").limit(many * SAMPLE_PER_PIVOT).collect()
     by_size: dict[int, list] = {}
-    for r in rows:
+    for r in sample:
         by_size.setdefault(len(r["vector"]), []).append(r["vector"])
     points = {}
     for size, own in by_size.items():
         unit = _unit(np.array(own, np.float64))
         picked = [0]
         near = unit @ unit[0]
-        while len(picked) < min(PIVOTS, len(unit)) and near.min() < 1 - 1e-9:
+        while len(picked) < min(many, len(unit)) and near.min() < 1 - 1e-9:
             picked.append(int(near.argmin()))
             near = np.maximum(near, unit @ unit[picked[-1]])
         points[size] = unit[picked]
@@ -64,44 +76,51 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+def _prefixes(unit: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """The PREFIX nearest pivots of each vector, nearest first."""
+    near = unit @ points.T
+    picked = np.argpartition(-near, PREFIX - 1, axis=1)[:, :PREFIX]
+    order = np.argsort(-np.take_along_axis(near, picked, axis=1), axis=1, kind="stable")
+    return np.take_along_axis(picked, order, axis=1)
+
+
 def _signatures(vectors: list, points: dict[int, np.ndarray]) -> list[tuple[list[int], list[int]]]:
-    """Of each vector: its prefix, nearest pivot first, and its lists (sets of SHARED pivots as a bit mask).
+    """Of each vector: its prefix, nearest pivot first, and its lists (sets of SHARED pivots, packed in order).
 
     A vector of a size without enough reference points goes to one list of its size, so nothing is missed.
     """
     out: list = [None] * len(vectors)
     sizes = np.array([len(v) for v in vectors])
+    sets = np.array(list(combinations(range(PREFIX), SHARED)))
     for size in np.unique(sizes):
-        at = np.flatnonzero(sizes == size)
+        every = np.flatnonzero(sizes == size)
         own = points.get(int(size))
-        if own is None or len(own) < PREFIX:
-            for i in at:
-                out[i] = ([], [0])
-            continue
-        near = _unit(np.stack([np.asarray(vectors[i], np.float64) for i in at])) @ own.T
-        prefix = np.argsort(-near, axis=1, kind="stable")[:, :PREFIX]
-        for i, p in zip(at, prefix.tolist(), strict=True):
-            lists = [sum(1 << x for x in c) for c in combinations(sorted(p), SHARED)]
-            out[i] = (p, [x - (1 << 64) if x >> 63 else x for x in lists])
+        for first in range(0, len(every), DESCRIBED):
+            at = every[first:first + DESCRIBED]
+            if own is None or len(own) < PREFIX:
+                for i in at:
+                    out[i] = ([], [0])
+                continue
+            prefix = _prefixes(_unit(np.stack([np.asarray(vectors[i], np.float64) for i in at])), own)
+            members = np.sort(prefix, axis=1)[:, sets]
+            lists = (members << (PIVOT_BITS * np.arange(SHARED)[::-1])).sum(axis=2)
+            for i, p, x in zip(at, prefix.tolist(), lists.tolist(), strict=True):
+                out[i] = (p, x)
     return out
 
 
-def _lowest(mask: np.ndarray, many: int) -> np.ndarray:
-    """The lowest ``many`` set bits of each mask."""
-    out = np.zeros_like(mask)
-    for _ in range(many):
-        out |= mask & -mask
-        mask = mask & (mask - np.uint64(1))
-    return out
+def _lowest_shared(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The list of the lowest SHARED pivots that stand in both of each two prefixes (in pivot order)."""
+    both = (one[:, :, None] == other[:, None, :]).any(axis=2)
+    place = np.cumsum(both, axis=1)
+    shift = PIVOT_BITS * np.clip(SHARED - place, 0, SHARED)
+    return (np.where(both & (place <= SHARED), one, 0) << shift).sum(axis=1)
 
 
-def _close_pairs(unit: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
-    """Which of the pairs reach the threshold, a slice at a time."""
-    out = np.zeros(len(a), bool)
-    for at in range(0, len(a), AT_ONCE):
-        part = slice(at, at + AT_ONCE)
-        out[part] = np.einsum("ij,ij->i", unit[a[part]], unit[b[part]]) >= threshold
-    return out
+def _sliced(test: Callable[[np.ndarray, np.ndarray], np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the pairs pass the test, a slice at a time."""
+    parts = [test(a[at:at + AT_ONCE], b[at:at + AT_ONCE]) for at in range(0, len(a), AT_ONCE)]
+    return np.concatenate([np.zeros(0, bool), *parts])
 
 
 def _verified(frame: pd.DataFrame, group: list[str], threshold: float) -> pd.DataFrame:
@@ -117,12 +136,16 @@ def _verified(frame: pd.DataFrame, group: list[str], threshold: float) -> pd.Dat
     starts = np.concatenate(([0], np.flatnonzero(new)))
     sizes = np.diff(np.append(starts, len(frame)))
     unit = _unit(np.stack(frame["vector"].to_numpy()).astype(np.float64))
-    mask = np.array([sum(1 << int(x) for x in p) for p in frame["prefix"]], np.uint64)
-    lists = frame["list"].to_numpy().view(np.uint64)
+    prefix = np.sort(np.array(frame["prefix"].tolist(), np.int64).reshape(len(frame), -1), axis=1)
+    lists = frame["list"].to_numpy()
     chunk, low, high = (frame[c].to_numpy() for c in ("chunk", "low", "high"))
 
     def counted(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return (lists[a] == 0) | (_lowest(mask[a] & mask[b], SHARED) == lists[a])
+        # Where there are no pivots, the one list has the number 0, and so has the empty set.
+        return _lowest_shared(prefix[a], prefix[b]) == lists[a]
+
+    def close(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.einsum("ij,ij->i", unit[a], unit[b]) >= threshold
 
     small = np.repeat(sizes <= SMALL, sizes)
     left = np.repeat(starts + sizes, sizes) - np.arange(len(frame)) - 1  # later rows of the same group
@@ -134,9 +157,11 @@ def _verified(frame: pd.DataFrame, group: list[str], threshold: float) -> pd.Dat
         many = left[rows]
         a = np.repeat(rows, many)
         b = a + 1 + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        kept = ((low[a] == high[a]) | (chunk[a] != chunk[b])) & counted(a, b)
+        meet = (low[a] == high[a]) | (chunk[a] != chunk[b])
+        a, b = a[meet], b[meet]
+        kept = _sliced(counted, a, b)
         a, b = a[kept], b[kept]
-        kept = _close_pairs(unit, a, b, threshold)
+        kept = _sliced(close, a, b)
         firsts.append(a[kept])
         seconds.append(b[kept])
     for start, size in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist(), strict=True):
@@ -144,7 +169,9 @@ def _verified(frame: pd.DataFrame, group: list[str], threshold: float) -> pd.Dat
         one, other = at[chunk[at] == low[at]], at[chunk[at] == high[at]]
         a, b = np.nonzero(unit[one] @ unit[other].T >= threshold)
         a, b = one[a], other[b]
-        kept = ((low[start] != high[start]) | (a < b)) & counted(a, b)
+        meet = (low[start] != high[start]) | (a < b)
+        a, b = a[meet], b[meet]
+        kept = _sliced(counted, a, b)
         firsts.append(a[kept])
         seconds.append(b[kept])
     a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (firsts, seconds))
@@ -164,7 +191,8 @@ def _by_size(frame: pd.DataFrame, group: list[str], threshold: float) -> Iterato
 
 def verified_links(reps: DataFrame, threshold: float) -> DataFrame:
     """``(rep, links, root)`` from ``reps(rep, label, vector, copies)``: partial counts of the links, and ties."""
-    points = reps.sparkSession.sparkContext.broadcast(reference_points(reps))
+    points = reps.sparkSession.sparkContext.broadcast(
+        reference_points(reps, pivots_for(reps.count())))
 
     def describe(vectors: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(_signatures(list(vectors), points.value), columns=["prefix", "lists"])

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing names, and the ways off the main road."""
 
+import itertools
 import random
 from collections import Counter, defaultdict
 
@@ -347,6 +348,29 @@ def test_near_duplicate_edges(spark, odd, none):
 
 # Embeddings
 
+def test_pivots_follow_the_number_of_vectors():
+    many = [pivots.pivots_for(10 ** i) for i in range(0, 13)]
+    assert many == sorted(many) and many[0] == pivots.LEAST_PIVOTS and many[-1] == pivots.MOST_PIVOTS
+    assert pivots.LEAST_PIVOTS < pivots.pivots_for(2_000_000) < pivots.MOST_PIVOTS
+    assert pivots.MOST_PIVOTS <= 1 << pivots.PIVOT_BITS and pivots.SHARED * pivots.PIVOT_BITS < 64
+
+
+def test_a_pair_counts_in_one_of_its_lists():
+    rng = np.random.default_rng(6)
+    points = pivots._unit(rng.normal(size=(700, 12)))
+    vectors = list(rng.normal(size=(40, 12)).round(1)) + [np.zeros(3) + 1.0, np.ones(3) * 2]
+    found = pivots._signatures(vectors, {12: points})
+    assert found[-2:] == [([], [0])] * 2
+    for (one, own), (other, theirs) in itertools.combinations(found[:-2], 2):
+        assert len(set(one)) == pivots.PREFIX and len(set(own)) == 10
+        shared = sorted(set(one) & set(other))
+        lists = set(own) & set(theirs)
+        assert bool(lists) == (len(shared) >= pivots.SHARED)
+        if lists:
+            a, b = (np.sort(np.array([x]), axis=1) for x in (one, other))
+            assert pivots._lowest_shared(a, b)[0] == min(lists)
+
+
 def test_pivots_equal_all_pairs(spark, monkeypatch):
     rng = np.random.default_rng(5)
     base = rng.normal(size=(150, 16))
