@@ -53,7 +53,10 @@ def pivots_for(vectors: int) -> int:
 
 
 def reference_points(vectors: DataFrame, many: int) -> dict[int, np.ndarray]:
-    """At most ``many`` unit reference points by dimension, far apart from each other, from a bounded sample of ``vector``."""
+    """At most ``many`` unit reference points by dimension, far apart from each other, from a bounded sample of ``vector``.
+
+    A dimension with a smaller sample has fewer points, as neighbours among them would blur the order of the nearest.
+    """
     order = F.xxhash64(F.lit(3), "vector")
     sample = vectors.select("vector").distinct().orderBy(order, "vector").limit(many * SAMPLE_PER_PIVOT).collect()
     by_size: dict[int, list] = {}
@@ -64,7 +67,7 @@ def reference_points(vectors: DataFrame, many: int) -> dict[int, np.ndarray]:
         unit = _unit(np.array(own, np.float64))
         picked = [0]
         near = unit @ unit[0]
-        while len(picked) < min(many, len(unit)) and near.min() < 1 - 1e-9:
+        while len(picked) < min(many, len(unit) // SAMPLE_PER_PIVOT) and near.min() < 1 - 1e-9:
             picked.append(int(near.argmin()))
             near = np.maximum(near, unit @ unit[picked[-1]])
         points[size] = unit[picked]
