@@ -1,17 +1,18 @@
 """Main text by template deduction from equivalence classes.
 
-Every page is cut into blocks of text below a path of block tags. Over the pages of a host, tokens (a path, or a text
-at a path) whose occurrence vectors are equal form a class. Vectors are compared by the number of pages and
+Every page is cut into blocks of text below a path of block tags. Over the different pages of a host, tokens (a path, or
+a text at a path) whose occurrence vectors are equal form a class. Vectors are compared by the number of pages and
 occurrences and an exclusive-or of hashes of (page, occurrences), which Spark aggregates before it shuffles; no task
-sees all pages of a host. A class of paths that stand once on each of its pages is valid; classes nest as paths do.
-The deepest valid node that holds most of the text is the host's main slot; texts that share the vector of a node
-above them belong to the template. What remains in the slot is the main text.
+sees all pages of a host. A path that stands once on each of its pages and holds most of their text is a valid slot, as is
+a path of articles, however many a page has; an article or main tag, then depth, decides between valid slots. Texts in the class of a node above them belong
+to the template, unless inside an article. What remains in the page's slot is the main text.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,9 +20,13 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.common import host_of, per_text, settle
 
-#: Share of a host's pages that a template node stands on, and of its text that the main slot holds, at least.
-COMMON = 0.5
+#: Share of a host's pages that a node or text of a layout stands on, and of these pages' text that a slot holds, at least.
+COMMON = 0.02
 MOST_TEXT = 0.6
+#: Different pages that show a text to be the template's, at least.
+SUPPORT = 4
+#: A class that holds more of its pages' text are near copies, not a template.
+COPIES = 0.9
 
 # Tags of HTML.
 RAW = ("script", "style", "noscript", "template", "iframe", "svg", "textarea", "title", "select", "object", "canvas")
@@ -39,6 +44,8 @@ modal newsletter subscribe signup login search comment comments reply replies di
 related recommended widget widgets masthead toolbar pagination pager form alert""".split())
 HEAD_WORDS = frozenset(("header", "masthead"))
 MAIN_TAGS = frozenset(("article", "main"))
+#: Tags of one text, which are no slot.
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption".split())
 #: Tags that hold a whole page, so that words such as has-sidebar say nothing about their text.
 WHOLE_TAGS = frozenset(("html", "body", "main"))
 
@@ -49,8 +56,8 @@ MARKUP = re.compile(
     r"|<[!?][^>]*+(?:>|\Z)|</?[a-z][^<>]*+\Z", re.I | re.S)
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
-BLOCK = "struct<path: string, text: string, outside: boolean, main: boolean>"
-PARSED = f"blocks array<{BLOCK}>, paths array<struct<path: string, times: int, chars: long>>"
+BLOCK = "struct<path: string, text: string, outside: boolean, main: boolean, times: long>"
+PARSED = f"blocks array<{BLOCK}>, paths array<struct<path: string, times: long, chars: long>>, total long"
 
 
 class Page:
@@ -58,7 +65,8 @@ class Page:
 
     def __init__(self, source: str):
         self.blocks: list[dict] = []
-        self.times: dict[str, int] = {}
+        # The page itself is the path ''.
+        self.times: dict[str, int] = {"": 1}
         self.chars: dict[str, int] = {}
         # Tag, path, outside, inside of an article.
         self.open: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
@@ -71,6 +79,10 @@ class Page:
                 self._tag(m["tag"].lower(), bool(m["close"]), m["rest"])
         self.parts.append(source[at:])
         self._end_block()
+        self.total = sum(len(b["text"]) for b in self.blocks if not b["outside"])
+        own = Counter((b["path"], b["text"]) for b in self.blocks)
+        for b in self.blocks:
+            b["times"] = own[b["path"], b["text"]]
 
     def _end_block(self) -> None:
         if not self.parts:
@@ -82,7 +94,7 @@ class Page:
         _, path, outside, main = self.open[-1]
         self.blocks.append({"path": path, "text": text, "outside": outside, "main": main})
         if not outside:
-            for i in range(1, len(self.open)):
+            for i in range(len(self.open)):
                 own = self.open[i][1]
                 self.chars[own] = self.chars.get(own, 0) + len(text)
 
@@ -121,64 +133,80 @@ def parse(sources: pd.Series) -> pd.DataFrame:
     for source in sources:
         page = Page(source or "")
         rows.append((page.blocks, [{"path": p, "times": n, "chars": page.chars.get(p, 0)}
-                                   for p, n in page.times.items()]))
-    return pd.DataFrame(rows, columns=["blocks", "paths"])
+                                   for p, n in page.times.items()], page.total))
+    return pd.DataFrame(rows, columns=["blocks", "paths", "total"])
 
 
-def _vector(times: Column) -> list[Column]:
-    return [F.count(F.lit(1)).alias("pages"), F.sum(times).alias("times"),
-            F.bit_xor(F.xxhash64("_row", times)).alias("vector")]
+def _vector() -> list[Column]:
+    return [F.count(F.lit(1)).alias("pages"), F.sum("times").alias("times"),
+            F.bit_xor(F.xxhash64("_page", "times")).alias("vector")]
 
 
 def templates(parsed: DataFrame) -> DataFrame:
-    """``(host, slot, texts)``: the main slot of each host and the template's texts as hashes.
+    """``(host, slots, texts)``: each host's valid slots, best first, and the template's texts as hashes with their path.
 
-    A host's template holds the texts that stand on at least half of its pages: about as many as one page has.
+    Pages of equal content count once. Both lists are bounded: a node or text stands on ``COMMON`` of the host's pages.
     """
-    hosts = parsed.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
+    hosts = parsed.select("host", "_page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
     nodes = settle(
-        parsed.select("host", "_row", F.inline("paths")).groupBy("host", "path").agg(
-            *_vector(F.col("times")), F.sum("chars").alias("chars"))
-        .join(hosts, "host").filter(F.col("pages") >= F.col("all_pages") * F.lit(COMMON))
-        .drop("all_pages"), "nodes")
-    valid = nodes.filter("pages = times")
-    whole = nodes.groupBy("host").agg(F.max("chars").alias("all_chars"))
-    ranked = valid.join(whole, "host").filter(
-        (F.col("chars") > 0) & (F.col("chars") >= F.col("all_chars") * F.lit(MOST_TEXT)))
-    last = F.element_at(F.split(F.element_at(F.split("path", "/"), -1), "\\."), 1)
-    rank = F.struct(last.isin(*MAIN_TAGS).alias("article"), F.size(F.split("path", "/")).alias("depth"), F.col("path"))
-    slots = ranked.groupBy("host").agg(F.max(rank)["path"].alias("slot"))
-    # Texts outside of articles that share the vector of a valid node above them.
-    texts = (parsed.select("host", "_row", F.inline("blocks")).filter("not main and not outside")
-             .groupBy("host", "path", F.xxhash64("text").alias("text"), "_row").agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("host", "path", "text").agg(*_vector(F.col("n"))))
-    above = valid.filter("pages > 1").select("host", "pages", "times", "vector", F.col("path").alias("node"))
-    fixed = (texts.join(above, ["host", "pages", "times", "vector"])
-             .filter(F.startswith("path", "node")).groupBy("host").agg(F.collect_set("text").alias("texts")))
+        parsed.select("host", "_page", "total", F.inline("paths")).distinct().groupBy("host", "path").agg(
+            *_vector(), F.sum("chars").alias("chars"), F.sum("total").alias("all_chars"))
+        .join(hosts, "host").filter(F.col("pages") >= F.greatest(
+            F.col("all_pages") * F.lit(COMMON), F.least(F.lit(SUPPORT), F.col("all_pages") * 0.5))), "nodes")
+    tag = F.element_at(F.split(F.element_at(F.split("path", "/"), -1), "\\."), 1)
+    rank = F.struct(tag.isin(*MAIN_TAGS).alias("article"), F.size(F.split("path", "/")).alias("depth"), F.col("path"))
+    slots = (nodes.filter("path <> '' and chars > 0").filter(~tag.isin(*TEXT_TAGS))
+             .filter(tag.isin(*MAIN_TAGS) | (F.col("pages") == F.col("times")))
+             .filter(F.col("chars") >= F.col("all_chars") * F.lit(MOST_TEXT))
+             .groupBy("host").agg(F.sort_array(F.collect_list(rank), asc=False)["path"].alias("slots")))
+    # Texts outside of articles in the class of a node above them.
+    texts = (parsed.select("host", "_page", F.inline("blocks")).filter("not main and not outside")
+             .select("host", "_page", "path", "times", F.xxhash64("path", "text").alias("text"),
+                     F.length("text").cast("long").alias("size")).distinct()
+             .groupBy("host", "path", "text", "size").agg(*_vector()).filter(F.col("pages") >= F.lit(SUPPORT)))
+    above = nodes.select("host", "pages", "times", "vector", "all_chars", F.col("path").alias("node"))
+    classes = (texts.join(above, ["host", "pages", "times", "vector"])
+               .filter((F.col("path") == F.col("node")) | F.startswith("path", F.concat("node", F.lit("/"))))
+               .groupBy("host", "vector", "times", "all_chars", "text", "size").agg(F.lit(None))
+               .groupBy("host", "vector", "times", "all_chars").agg(
+                   F.sum(F.col("size") * F.col("times")).alias("fixed"), F.collect_list("text").alias("texts")))
+    fixed = (classes.filter(F.col("fixed") <= F.col("all_chars") * F.lit(COPIES))
+             .groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("texts")))
     return hosts.select("host").join(slots, "host", "left").join(fixed, "host", "left")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages(page_id, url, html)``.
 
-    Null or empty html gives an empty text. Unclosed tags and a page that breaks off are read as far as they go. On a
-    page without the host's main slot, all blocks that are neither outside the article nor part of the template remain (if
-    that leaves none, the template's too); a page with an article keeps to its articles. Urls without a host share the empty host.
+    Null or empty html gives an empty text. Unclosed tags and a page that breaks off are read as far as they go. A page
+    keeps what the best of its host's slots holds on it beside the template; without one, its articles, or all blocks
+    that are neither outside the article nor part of the template (if that leaves none, the template's too, at last
+    all blocks). Urls without a host share the empty host.
     """
+    return _chosen(pages).withColumn("text", F.coalesce(
+        F.array_join(F.transform("_best", lambda b: b["text"]), "\n"), F.lit(""))).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def _chosen(pages: DataFrame) -> DataFrame:
+    """The blocks that remain of each page as ``_best``, and ``_way``: what chose them."""
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     parsed = settle(per_text(rows, parse, PARSED, "html").drop("html")
-                    .withColumn("_row", F.monotonically_increasing_id()), "blocks")
+                    .withColumn("_page", F.xxhash64("blocks", "paths")), "blocks")
     known = settle(templates(parsed), "templates").withColumnRenamed("host", "_host")
     at = parsed.join(known, F.col("host") == F.col("_host"), "left")
     texts = F.coalesce("texts", F.array().cast("array<bigint>"))
+    slot = F.get(F.filter("slots", lambda s: F.exists("paths", lambda p: p["path"] == s)), F.lit(0))
     inner = F.filter("blocks", lambda b: ~b["outside"])
-    free = F.filter("_inner", lambda b: b["main"] | ~F.array_contains("_texts", F.xxhash64(b["text"])))
+    free = F.filter("_inner", lambda b: b["main"] | ~F.array_contains("_texts", F.xxhash64(b["path"], b["text"])))
     articles = F.filter("_free", lambda b: b["main"])
-    in_slot = F.filter("_free", lambda b: (b["path"] == F.col("slot"))
-                       | F.startswith(b["path"], F.concat("slot", F.lit("/"))))
-    best = (F.when(F.size(articles) > 0, articles).when(F.coalesce(F.size(in_slot), F.lit(0)) > 0, in_slot)
-            .when(F.size("_free") > 0, F.col("_free")).otherwise(F.col("_inner")))
-    joined = F.array_join(F.transform("_best", lambda b: b["text"]), "\n")
-    return (at.withColumn("_texts", texts).withColumn("_inner", inner).withColumn("_free", free)
-            .withColumn("_best", best).select("page_id", "url", F.coalesce(joined, F.lit("")).alias("text"))
-            .withColumn("n_chars", F.length("text").cast("long")))
+    in_slot = F.filter("_free", lambda b: (b["path"] == F.col("_slot"))
+                       | F.startswith(b["path"], F.concat("_slot", F.lit("/"))))
+    ways = {"article": "_articles", "slot": "_in_slot", "free": "_free", "inner": "_inner"}
+    best, way = F.col("blocks"), F.lit("all")
+    for name, column in reversed(ways.items()):
+        some = F.coalesce(F.size(column), F.lit(0)) > 0
+        best, way = F.when(some, F.col(column)).otherwise(best), F.when(some, F.lit(name)).otherwise(way)
+    return (at.withColumn("_texts", texts).withColumn("_slot", slot).withColumn("_inner", inner)
+            .withColumn("_free", free).withColumn("_articles", articles).withColumn("_in_slot", in_slot)
+            .withColumn("_best", best).withColumn("_way", way))

@@ -141,6 +141,30 @@ def test_template_without_articles(spark):
         assert got[i] == "\n".join(f"text {i} of part {j} with quite a few words in it" for j in range(4))
 
 
+def main_texts(spark, rows):
+    return {r["page_id"]: r["text"] for r in templates.main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_repeated_text_is_the_templates(spark):
+    """In the slot, without a slot, and in one of several layouts; not on a host of three pages or of near copies."""
+    def own(i):
+        return f"page {i} says what no other page of this host would ever say"
+
+    plain = [(i, f"http://a.org/{i}", f"<p>{own(i)}</p><p>sign up now</p>") for i in range(6)]
+    slot = [(10 + i, f"http://b.org/{i}", page(f"<div>{own(i)}<p>sign up now</p></div>")) for i in range(6)]
+    layouts = [(20 + i, f"http://c.org/{i}", page(f"<div id='{k}'><p>{own(i)}</p><p>notice {k}</p></div>"))
+               for i, k in enumerate("aaaaabbbbbcccccddddd")]
+    few = [(50 + i, f"http://d.org/{i}", page(f"<div>{own(i)}<p>shared words</p></div>")) for i in range(3)]
+    near = [(60 + i, f"http://e.org/{i}", page(f"<div><p>{'long and shared ' * 50}</p><p>{i}</p></div>"))
+            for i in range(6)]
+    got = main_texts(spark, plain + slot + layouts + few + near)
+    for start, rows in ((0, plain), (10, slot), (20, layouts)):
+        assert [got[start + i] for i in range(len(rows))] == [own(i) for i in range(len(rows))]
+    assert all(got[50 + i].endswith("shared words") for i in range(3))
+    assert all(got[60 + i].startswith("long and shared") for i in range(6))
+
+
 def test_page_edges(spark):
     article = ("<header>Head</header><nav>Menu</nav><article><h1>Title &amp; more</h1><p><b>Bold<br>line<p>two\n  words"
                "<script>var t='</p>'</script><div class='comments'>nice!</div><aside>see also</aside>"
