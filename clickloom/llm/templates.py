@@ -5,7 +5,7 @@ a text at a path) whose occurrence vectors are equal form a class. Vectors are c
 occurrences and an exclusive-or of hashes of (page, occurrences), which Spark aggregates before it shuffles; no task
 sees all pages of a host. A path that stands once on each of its pages and holds most of their text is a valid slot, as is
 a path of articles, however many a page has; an article or main tag, then depth, decides between valid slots. Texts in the class of a node above them belong
-to the template, unless inside an article. What remains in the page's slot is the main text.
+to the template, inside articles too. What remains in the page's slot is the main text.
 """
 
 from __future__ import annotations
@@ -159,8 +159,8 @@ def templates(parsed: DataFrame) -> DataFrame:
              .filter(tag.isin(*MAIN_TAGS) | (F.col("pages") == F.col("times")))
              .filter(F.col("chars") >= F.col("all_chars") * F.lit(MOST_TEXT))
              .groupBy("host").agg(F.sort_array(F.collect_list(rank), asc=False)["path"].alias("slots")))
-    # Texts outside of articles in the class of a node above them.
-    texts = (parsed.select("host", "_page", F.inline("blocks")).filter("not main and not outside")
+    # Texts in the class of a node above them, inside articles too.
+    texts = (parsed.select("host", "_page", F.inline("blocks")).filter("not outside")
              .select("host", "_page", "path", "times", F.xxhash64("path", "text").alias("text"),
                      F.length("text").cast("long").alias("size")).distinct()
              .groupBy("host", "path", "text", "size").agg(*_vector()).filter(F.col("pages") >= F.lit(SUPPORT)))
@@ -198,11 +198,11 @@ def _chosen(pages: DataFrame) -> DataFrame:
     texts = F.coalesce("texts", F.array().cast("array<bigint>"))
     slot = F.get(F.filter("slots", lambda s: F.exists("paths", lambda p: p["path"] == s)), F.lit(0))
     inner = F.filter("blocks", lambda b: ~b["outside"])
-    free = F.filter("_inner", lambda b: b["main"] | ~F.array_contains("_texts", F.xxhash64(b["path"], b["text"])))
+    free = F.filter("_inner", lambda b: ~F.array_contains("_texts", F.xxhash64(b["path"], b["text"])))
     articles = F.filter("_free", lambda b: b["main"])
     in_slot = F.filter("_free", lambda b: (b["path"] == F.col("_slot"))
                        | F.startswith(b["path"], F.concat("_slot", F.lit("/"))))
-    ways = {"article": "_articles", "slot": "_in_slot", "free": "_free", "inner": "_inner"}
+    ways = {"slot": "_in_slot", "article": "_articles", "free": "_free", "inner": "_inner"}
     best, way = F.col("blocks"), F.lit("all")
     for name, column in reversed(ways.items()):
         some = F.coalesce(F.size(column), F.lit(0)) > 0

@@ -165,6 +165,21 @@ def test_repeated_text_is_the_templates(spark):
     assert all(got[60 + i].startswith("long and shared") for i in range(6))
 
 
+def test_articles_have_a_template_too(spark):
+    def own(i):
+        return f"page {i} says what no other page of this host would ever say"
+
+    box = "<div id='box'>get our letter</div>"
+    rows = [(i, f"http://a.org/{i}", page(f"<article><h1>Story {i}</h1><p>{own(i)}</p>{box}<p>all rights kept</p></article>"))
+            for i in range(6)]
+    # Articles of which some pages have two are still a slot.
+    rows += [(10 + i, f"http://b.org/{i}", page(f"<p>Site</p>{f'<article>{own(i)}</article>' * (1 + i % 2)}"))
+             for i in range(6)]
+    got = main_texts(spark, rows)
+    assert [got[i] for i in range(6)] == [f"Story {i}\n{own(i)}" for i in range(6)]
+    assert [got[10 + i] for i in range(6)] == ["\n".join([own(i)] * (1 + i % 2)) for i in range(6)]
+
+
 def test_page_edges(spark):
     article = ("<header>Head</header><nav>Menu</nav><article><h1>Title &amp; more</h1><p><b>Bold<br>line<p>two\n  words"
                "<script>var t='</p>'</script><div class='comments'>nice!</div><aside>see also</aside>"
