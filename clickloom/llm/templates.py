@@ -13,6 +13,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -54,23 +55,59 @@ MARKUP = re.compile(
     rf"|<(?P<raw>{'|'.join(RAW)})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*+>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[!?][^>]*+(?:>|\Z)|</?[a-z][^<>]*+\Z", re.I | re.S)
-NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+NAMED = re.compile(r"(?<![\w:-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
-BLOCK = "struct<path: string, text: string, outside: boolean, main: boolean, times: long>"
+BLOCK = "struct<path: string, text: string, outside: boolean, named: boolean, main: boolean, times: long>"
 PARSED = f"blocks array<{BLOCK}>, paths array<struct<path: string, times: long, chars: long>>, total long"
 
 
+class Node:
+    """An element: where it stands, what its tag and names say, and the text below it that no tag puts outside."""
+
+    __slots__ = ("tag", "path", "up", "hard", "inside", "named", "outside", "main", "chars")
+
+    def __init__(self, tag: str, path: str, words: set[str], up: Node | None):
+        self.tag, self.path, self.up, self.chars = tag, path, up, 0
+        inside = up is not None and up.inside
+        self.named = tag not in WHOLE_TAGS and bool(words & OUTSIDE_WORDS or not inside and words & HEAD_WORDS)
+        if tag in WHOLE_TAGS:
+            self.hard = any(above.tag in OUTSIDE_TAGS for above in self.above())
+        else:
+            self.hard = up is not None and up.hard or tag in OUTSIDE_TAGS or not inside and tag == "header"
+        self.inside = inside or tag in MAIN_TAGS and not self.hard
+        self.outside = self.main = False
+
+    def above(self) -> Iterator[Node]:
+        node = self.up
+        while node is not None:
+            yield node
+            node = node.up
+
+    def clean(self) -> bool:
+        """Whether no name on it or above it, up to a tag that holds a whole page, is one of what is outside."""
+        for node in (self, *self.above()):
+            if node.tag in WHOLE_TAGS:
+                return True
+            if node.named:
+                return False
+        return True
+
+
 class Page:
-    """One pass over the markup: blocks in page order, and how often each path is opened."""
+    """One pass over the markup: blocks in page order, and how often each path is opened.
+
+    Names alone do not put a node outside that holds over half of the page's text, in an article or on a page without one
+    free of such names; nor, on such a page, one that holds a single article.
+    """
 
     def __init__(self, source: str):
         self.blocks: list[dict] = []
         # The page itself is the path ''.
+        self.nodes = [Node("", "", set(), None)]
+        self.open = [self.nodes[0]]
+        self.parts: list[str] = []
         self.times: dict[str, int] = {"": 1}
         self.chars: dict[str, int] = {}
-        # Tag, path, outside, inside of an article.
-        self.open: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
-        self.parts: list[str] = []
         at = 0
         for m in MARKUP.finditer(source):
             self.parts.append(source[at:m.start()])
@@ -79,10 +116,16 @@ class Page:
                 self._tag(m["tag"].lower(), bool(m["close"]), m["rest"])
         self.parts.append(source[at:])
         self._end_block()
-        self.total = sum(len(b["text"]) for b in self.blocks if not b["outside"])
+        self._decide()
         own = Counter((b["path"], b["text"]) for b in self.blocks)
         for b in self.blocks:
-            b["times"] = own[b["path"], b["text"]]
+            node = b.pop("node")
+            b.update(outside=node.outside, named=node.outside and not node.hard, main=node.main,
+                     times=own[b["path"], b["text"]])
+            if not node.outside:
+                for path in [node.path, *[above.path for above in node.above()]]:
+                    self.chars[path] = self.chars.get(path, 0) + len(b["text"])
+        self.total = self.chars.get("", 0)
 
     def _end_block(self) -> None:
         if not self.parts:
@@ -91,12 +134,11 @@ class Page:
         self.parts = []
         if not text:
             return
-        _, path, outside, main = self.open[-1]
-        self.blocks.append({"path": path, "text": text, "outside": outside, "main": main})
-        if not outside:
-            for i in range(len(self.open)):
-                own = self.open[i][1]
-                self.chars[own] = self.chars.get(own, 0) + len(text)
+        node = self.open[-1]
+        self.blocks.append({"path": node.path, "text": text, "node": node})
+        if not node.hard:
+            for own in self.open:
+                own.chars += len(text)
 
     def _tag(self, tag: str, close: bool, rest: str) -> None:
         if tag in INLINE:
@@ -106,27 +148,44 @@ class Page:
         self._end_block()
         if close:
             for i in range(len(self.open) - 1, 0, -1):
-                if self.open[i][0] == tag:
+                if self.open[i].tag == tag:
                     del self.open[i:]
                     break
             return
         if tag in VOID:
             return
-        if self.open[-1][0] == "p" or self.open[-1][0] in ENDS.get(tag, ()):
+        if self.open[-1].tag == "p" or self.open[-1].tag in ENDS.get(tag, ()):
             self.open.pop()
         names = " ".join(a or b or c for a, b, c in NAMED.findall(rest)).lower() if rest else ""
         words = set(re.split(r"[^a-z]+", names)) - {""}
-        _, path, outside, main = self.open[-1]
-        if tag in WHOLE_TAGS:
-            outside = any(above in OUTSIDE_TAGS for above, *_ in self.open)
-        else:
-            outside = (outside or tag in OUTSIDE_TAGS or bool(words & OUTSIDE_WORDS)
-                       or not main and (tag == "header" or bool(words & HEAD_WORDS)))
-        path = f"{path}/{tag}" + (f".{'.'.join(sorted(words))}" if words else "")
+        path = f"{self.open[-1].path}/{tag}" + (f".{'.'.join(sorted(words))}" if words else "")
+        node = Node(tag, path, words, self.open[-1])
+        self.nodes.append(node)
         if not rest.endswith("/"):
-            self.open.append((tag, path, outside, main or tag in MAIN_TAGS and not outside))
+            self.open.append(node)
         self.times[path] = self.times.get(path, 0) + 1
 
+    def _decide(self) -> None:
+        named = [n for n in self.nodes if n.named and not n.hard]
+        spared: set[int] = set()
+        if named:
+            outer = [n for n in self.nodes if n.tag in MAIN_TAGS and n.chars and not n.hard
+                     and not n.up.inside]
+            free = any(n.clean() for n in outer)
+            held = Counter(id(a) for n in outer for a in n.above())
+            single = {id(a) for n in outer if not n.named for a in n.above() if held[id(a)] == 1}
+            if not free:
+                spared = {id(n) for n in named if id(n) in single}
+            for n in named:
+                if 2 * n.chars > self.nodes[0].chars and (n.up.inside or not free and not spared - {id(n)}):
+                    spared.add(id(n))
+        for n in self.nodes[1:]:
+            if n.tag in WHOLE_TAGS:
+                n.outside = n.hard
+            else:
+                n.outside = n.hard or n.up.outside or n.named and id(n) not in spared
+            n.main = n.up.main or n.tag in MAIN_TAGS and not n.outside
+
 
 def parse(sources: pd.Series) -> pd.DataFrame:
     rows = []
@@ -180,8 +239,8 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Null or empty html gives an empty text. Unclosed tags and a page that breaks off are read as far as they go. A page
     keeps what the best of its host's slots holds on it beside the template; without one, its articles, or all blocks
-    that are neither outside the article nor part of the template (if that leaves none, the template's too, at last
-    all blocks). Urls without a host share the empty host.
+    that are neither outside the article nor part of the template (if that leaves none, the template's too, then
+    what only names put outside, at last all blocks). Urls without a host share the empty host.
     """
     return _chosen(pages).withColumn("text", F.coalesce(
         F.array_join(F.transform("_best", lambda b: b["text"]), "\n"), F.lit(""))).select(
@@ -202,11 +261,12 @@ def _chosen(pages: DataFrame) -> DataFrame:
     articles = F.filter("_free", lambda b: b["main"])
     in_slot = F.filter("_free", lambda b: (b["path"] == F.col("_slot"))
                        | F.startswith(b["path"], F.concat("_slot", F.lit("/"))))
-    ways = {"slot": "_in_slot", "article": "_articles", "free": "_free", "inner": "_inner"}
+    by_tag = F.filter("blocks", lambda b: ~b["outside"] | b["named"])
+    ways = {"slot": "_in_slot", "article": "_articles", "free": "_free", "inner": "_inner", "named": "_by_tag"}
     best, way = F.col("blocks"), F.lit("all")
     for name, column in reversed(ways.items()):
         some = F.coalesce(F.size(column), F.lit(0)) > 0
         best, way = F.when(some, F.col(column)).otherwise(best), F.when(some, F.lit(name)).otherwise(way)
     return (at.withColumn("_texts", texts).withColumn("_slot", slot).withColumn("_inner", inner)
             .withColumn("_free", free).withColumn("_articles", articles).withColumn("_in_slot", in_slot)
-            .withColumn("_best", best).withColumn("_way", way))
+            .withColumn("_by_tag", by_tag).withColumn("_best", best).withColumn("_way", way))

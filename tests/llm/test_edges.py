@@ -180,6 +180,20 @@ def test_articles_have_a_template_too(spark):
     assert [got[10 + i] for i in range(6)] == ["\n".join([own(i)] * (1 + i % 2)) for i in range(6)]
 
 
+def test_names_alone_do_not_drop_the_article(spark):
+    story = "<p>The story has a number of words.</p>"
+    kept = [f"<div class='content has-sidebar'><div class='sidebar'>links</div><article>{story}</article></div>",
+            f"<section id='search-page'>{story}</section>", f"<article class='post category-social'>{story}</article>",
+            f"<article><div class='social' data-role='comments'>{story}</div></article>",
+            f"<div class='alert-shell'><article>{story}</article></div><div class='comments'>{'a reply ' * 90}</div>",
+            f"<div data-id='search' data-role=alert>{story}</div><div>more</div><div class='related'>see also</div>",
+            f"<article>{story}</article><section class='related'>{'<article>card of another story</article>' * 9}</section>"]
+    got = main_texts(spark, [(i, f"http://h{i}.org/", page(k)) for i, k in enumerate(kept)]
+                     + [(9, "http://x.org/", "<form>all of it</form>"), (10, "http://y.org/", "<div class='ad'>a</div>" * 2)])
+    assert [got[i].replace("\nmore", "") for i in range(len(kept))] == ["The story has a number of words."] * len(kept)
+    assert got[9] == "all of it" and got[10] == "a\na"
+
+
 def test_page_edges(spark):
     article = ("<header>Head</header><nav>Menu</nav><article><h1>Title &amp; more</h1><p><b>Bold<br>line<p>two\n  words"
                "<script>var t='</p>'</script><div class='comments'>nice!</div><aside>see also</aside>"
