@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import per_text
+from clickloom.llm.common import per_text, settle
 
 #: Labelled rows the model is fitted on at most, shared equally by the languages.
 SAMPLE_ROWS = 2400
@@ -113,16 +113,23 @@ class Model:
 
 
 def sample(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """At most ``rows`` different rows of ``labelled(text, lang)``, about as many of each language."""
+    """At most ``rows`` different rows of ``labelled(text, lang)``, about as many of each language and one at least,
+    as far as ``rows`` goes; however many copies a language's texts have."""
     labelled = labelled.select("text", "lang").filter("lang is not null and text is not null")
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    # Copies fall together by 128 bits of hash before the shuffle; the text comes back for the rows that are taken.
+    keyed = labelled.withColumns({"_key1": F.xxhash64("text", "lang"), "_key2": F.xxhash64(F.lit(1), "text", "lang")})
+    different = settle(keyed.select("lang", "_key1", "_key2").distinct(), "labelled")
+    sizes = different.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("_key1", "_key2")).alias("_least"))
     share = sizes.withColumn("_share", F.lit(2.0 * rows) / (
-        F.col("_n") * F.count(F.lit(1)).over(Window.partitionBy()))).drop("_n")
-    unit = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return (labelled.join(F.broadcast(share.limit(rows)), "lang").withColumn("_unit", unit)
-            .filter(F.col("_unit") < F.col("_share")).select("text", "lang", (F.col("_unit") / F.col("_share"))
-                                                            .alias("_at")).distinct()
-            .orderBy("_at", "lang", "text").limit(rows).select("text", "lang"))
+        F.col("_n") * F.count(F.lit(1)).over(Window.partitionBy()))).drop("_n").orderBy("_least").limit(rows)
+    unit = F.pmod(F.col("_key1"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sure = F.struct("_key1", "_key2") == F.col("_least")
+    taken = (different.join(F.broadcast(share), "lang").withColumn("_unit", unit)
+             .filter(sure | (F.col("_unit") < F.col("_share")))
+             .orderBy((~sure), F.col("_unit") / F.col("_share"), "lang", "_key1", "_key2").limit(rows)
+             .select("lang", "_key1", "_key2"))
+    return (keyed.join(F.broadcast(taken), ["lang", "_key1", "_key2"])
+            .groupBy("lang", "_key1", "_key2").agg(F.first("text").alias("text")).select("text", "lang"))
 
 
 def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> Model:

@@ -315,6 +315,15 @@ def test_language_edges(spark, sf_dir, odd, none):
     assert blank.predict(["text"]) == [("und", 0.0, True)]
 
 
+def test_a_language_of_copies_is_sampled(spark):
+    rows = [(f"the words of text {i} {i * i}", "en") for i in range(400)] + [("les mots du texte", "fr")] * 40_000
+    got = language.sample(spark.createDataFrame(rows, "text string, lang string"), 100).collect()
+    assert Counter(r["lang"] for r in got)["fr"] == 1 and 30 <= len(got) == len(set(got)) <= 100
+    many = [(f"t{i}", f"l{i % 50}") for i in range(5_000)]
+    found = language.sample(spark.createDataFrame(many, "text string, lang string"), 60).collect()
+    assert len({r["lang"] for r in found}) == 50 and len(found) <= 60
+
+
 def test_slices_count_the_same(monkeypatch):
     text = "Ein längerer Satz, der über mehrere Stücke geht. " * 20
     whole = language.gram_counts(text)
