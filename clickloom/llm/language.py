@@ -23,8 +23,14 @@ CENTROIDS = 4
 GRAM = 3
 #: Code points looked at together, so that a very long text needs bounded memory.
 SLICE = 1 << 20
-#: Added to the largest distance seen in fitting at the same text length; beyond it a text is rejected.
-MARGIN = 0.25
+#: One labelled row of HELD is kept back to set the radius: at each text length the distance that QUANTILE of these rows
+#: keep, plus MARGIN and SHORT by the root of the number of n-grams. Beyond it a text is rejected.
+HELD = 4
+QUANTILE = 0.99
+MARGIN = 0.03
+SHORT = 0.6
+#: Characters of a held-back row that are cut to shorter texts.
+START = 4096
 
 UNKNOWN = "und"
 
@@ -139,9 +145,10 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """
     def count(texts: pd.Series) -> pd.DataFrame:
         counts = [gram_counts(t) for t in texts]
-        return pd.DataFrame({"counts": [None if c is None else c.astype(np.uint32).tobytes() for c in counts]})
+        return pd.DataFrame({"counts": [None if c is None else c.astype(np.uint32).tobytes() for c in counts],
+                             "start": [t[:START] for t in texts]})
 
-    got = per_text(sample(labelled, rows), count, "counts binary").select("lang", "counts").filter(
+    got = per_text(sample(labelled, rows), count, "counts binary, start string").select("lang", "counts", "start").filter(
         "counts is not null").collect()  # at most `rows` vectors
     got.sort(key=lambda r: (r["lang"], bytes(r["counts"])))
     languages = sorted({r["lang"] for r in got})
@@ -155,15 +162,39 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     groups = [_clusters(vectors[label == i], CENTROIDS) for i in range(len(languages))]
     centroids = np.concatenate(groups).astype(np.float32)
     owner = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
-    distance = 1 - (vectors @ centroids.T).max(axis=1)
-    radius = np.full(64, -1.0)
-    np.maximum.at(radius, _length_class(counts), distance)
+    radius = _radius(counts, idf, label, [r["start"] for r in got])
+    return Model(languages, idf, centroids, owner, radius)
+
+
+def _radius(counts: np.ndarray, idf: np.ndarray, label: np.ndarray, starts: list[str]) -> np.ndarray:
+    """By length class, the distance up to which a text is accepted: held-back rows, whole and cut, against centroids
+    of the others. A language of few rows keeps none back; classes with few texts are taken together."""
+    vectors = _vectors(counts, idf)
+    place = np.zeros(len(label), int)
+    for i in np.unique(label):
+        place[label == i] = np.arange((label == i).sum())
+    held = place % HELD == HELD - 1
+    centroids = np.concatenate([_clusters(vectors[(label == i) & ~held], CENTROIDS) for i in np.unique(label)])
+    held = held if held.any() else ~held
+    distance, length = [], []
+    for n in range(3, START.bit_length() + 1):  # the last time whole
+        cuts = [gram_counts(starts[i][:1 << n]) for i in np.flatnonzero(held)
+                if len(starts[i]) >= 1 << n] if n < START.bit_length() else list(counts[held])
+        cuts = [c for c in cuts if c is not None]
+        if cuts:
+            asked = np.array(cuts, np.uint32)
+            distance.append(1 - (_vectors(asked, idf) @ centroids.T).max(axis=1))
+            length.append(_length_class(asked))
+    distance, length = np.concatenate(distance), np.concatenate(length)
+    # Few texts say little about a class.
+    enough = max((n for n in np.unique(length) if (length >= n).sum() >= 100), default=length.min())
+    radius = np.full(64, np.quantile(distance[length >= enough], QUANTILE))
+    for n in np.unique(length[length < enough]):
+        same = distance[length == n]
+        radius[n] = np.quantile(same if len(same) >= 100 else distance[length >= n], QUANTILE)
     # A shorter text lies farther off: each class takes the radius of the longer ones at least.
     radius = np.maximum.accumulate(radius[::-1])[::-1]
-    longest = radius[radius >= 0].min()
-    radius = np.where(radius < 0, longest, radius) + MARGIN
-    radius[:_length_class(counts).min()] = 2.0
-    return Model(languages, idf, centroids, owner, radius)
+    return radius + MARGIN + SHORT / np.sqrt(2.0 ** np.arange(64))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -171,7 +202,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     A null text, or one without a letter, is ``und`` with score 0 and rejected; so is every text for a model without
     languages. Any other text gets the nearest language, and is rejected if it lies farther from all centroids than
-    texts of its length did in fitting.
+    nearly all held-back texts of its length did.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -315,6 +315,22 @@ def test_language_edges(spark, sf_dir, odd, none):
     assert blank.predict(["text"]) == [("und", 0.0, True)]
 
 
+def test_other_languages_and_noise_are_rejected(spark):
+    train = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    own, other = train.filter("lang <> 'de'"), [r["text"] for r in train.filter("lang = 'de'").collect()]
+    model = language.fit(own)
+
+    def rejected(texts):
+        return np.mean([r[2] for r in model.predict(texts)])
+
+    seen = [r["text"] for r in own.collect()]
+    assert rejected(other) >= 0.9 and rejected([" ".join(t.split()[:60]) for t in other]) >= 0.8
+    assert rejected(seen) <= 0.02 and rejected([" ".join(t.split()[:8]) for t in seen]) <= 0.03
+    letters = random.Random(5)
+    noise = ["".join(letters.choices("abcdefghijklmnopqrstuvwxyz      ", k=n)) for n in (200, 1000, 5000) * 20]
+    assert rejected(noise) >= 0.9
+
+
 def test_a_language_of_copies_is_sampled(spark):
     rows = [(f"the words of text {i} {i * i}", "en") for i in range(400)] + [("les mots du texte", "fr")] * 40_000
     got = language.sample(spark.createDataFrame(rows, "text string, lang string"), 100).collect()
