@@ -36,11 +36,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.col("text")
-    rows = table(spark, sf_dir, "documents").select(
-        "doc_id", external_shuffle.text_bytes(text).alias("size"),
-        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"))
-    placed = external_shuffle.external_shuffle(rows, "size", SHARDS)
+    docs = table(spark, sf_dir, "documents")
+    sized = docs.withColumn("size", external_shuffle.text_bytes(F.col("text")))
+    placed = external_shuffle.external_shuffle(sized, "size", SHARDS).withColumn(
+        "text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
 

@@ -96,6 +96,14 @@ def test_shuffle(spark, sf_dir, documents):
     assert in_shard != sorted(in_shard)
 
 
+def test_shuffle_moves_whole_documents(spark, sf_dir, monkeypatch):
+    from clickloom.llm import external_shuffle
+    given, own = [], external_shuffle.external_shuffle
+    monkeypatch.setattr(external_shuffle, "external_shuffle", lambda docs, *a: given.append(docs.columns) or own(docs, *a))
+    QUERIES["op2_external_shuffle"](spark, sf_dir)
+    assert set(spark.read.parquet(f"{sf_dir}/documents.parquet").columns) <= set(given[0])
+
+
 def test_main_text(spark, sf_dir):
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     rows = QUERIES["op4_template_deduction"](spark, sf_dir).collect()
