@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import (
     bloom_cascade,
+    conversations,
     decontaminate,
     external_shuffle,
+    importance,
     language,
+    line_dedup,
     mixing,
     pii,
     pivots,
@@ -112,9 +115,24 @@ def op10_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = line_dedup.without_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_pii, op2_external_shuffle, op3_bloom_cascade, op4_template_deduction, op5_revisit_resolution,
-             op6_sainte_lague, op7_decontamination, op8_language_id, op9_simhash, op10_pivot_index)
+             op6_sainte_lague, op7_decontamination, op8_language_id, op9_simhash, op10_pivot_index,
+             op11_line_dedup, op12_importance_resampling, op13_conversation_repair)
     return {f.__name__: f for f in found}
 
 
@@ -185,5 +203,18 @@ FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN m ON m.a = vec_id
 """
 
 
+_OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents),
+l AS (SELECT r, i, w[i] AS line, translate(trim(w[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    '{_UPPER}', '{_LOWER}') AS k FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+g AS (SELECT k FROM l WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= 10),
+m AS (SELECT l.*, g.k IS NOT NULL AS gone FROM l LEFT JOIN g USING (k))
+SELECT doc_id, count(*) AS n_lines, count_if(gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM d JOIN m USING (r) GROUP BY r, doc_id
+"""
+
+
 def llm_sql() -> dict[str, str]:
-    return {"op3_bloom_cascade": _OP3, "op7_decontamination": _OP7, "op10_pivot_index": _OP10}
+    return {"op3_bloom_cascade": _OP3, "op7_decontamination": _OP7, "op10_pivot_index": _OP10,
+            "op11_line_dedup": _OP11}

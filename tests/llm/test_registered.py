@@ -1,6 +1,7 @@
 """Registered training-data queries on the smallest tables: SQL where there is some, brute force otherwise."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -15,7 +16,7 @@ from oracle import connect, rows_of_spark, rows_of_sql
 from clickloom.llm.queries import llm_queries, llm_sql
 
 QUERIES = entry.queries()
-NATIVE = ("op2_external_shuffle", "op3_bloom_cascade", "op6_sainte_lague")
+NATIVE = ("op2_external_shuffle", "op3_bloom_cascade", "op6_sainte_lague", "op11_line_dedup")
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +33,7 @@ def ascii_lower(text):
 
 
 def test_all_are_registered():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in llm_queries()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in llm_queries()) == list(range(1, 14))
     assert set(llm_queries()) | {"pipeline"} <= set(QUERIES)
     assert set(llm_sql()) <= set(entry.oracle_sql())
 
@@ -261,3 +262,104 @@ def test_pipeline(spark, sf_dir, documents):
     assert ids["decontamination"] == {i for i in ids["near_duplicates"] if not marked[i]}
     assert kept["sharding"].count() == kept["mixing"].count()
     assert ids["sharding"] <= ids["decontamination"]
+
+
+def bucket_words(text):
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", ascii_lower(text))
+
+
+def test_resampling(spark, sf_dir, documents):
+    def buckets(text):
+        w = bucket_words(text)
+        return [zlib.crc32(" ".join(w[i:i + n]).encode()) % 10000 for n in (1, 2, 3) for i in range(len(w) - n + 1)]
+
+    own = {d["doc_id"]: buckets(d["text"]) for d in documents}
+    s = Counter(b for found in own.values() for b in found)
+    t = Counter(b for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect() for b in buckets(r["text"]))
+    all_s, all_t = sum(s.values()) + 10000, sum(t.values()) + 10000
+    gain = [math.floor(1000 * math.log((t[b] + 1) * all_s / ((s[b] + 1) * all_t))) for b in range(10000)]
+
+    def noise(i):
+        h = int(hashlib.sha256(f"42:{i}".encode()).hexdigest()[:8], 16)
+        return math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+
+    weight = {i: sum(gain[b] for b in found) for i, found in own.items()}
+    score = {i: weight[i] + noise(i) for i in own}
+    can = sorted((d["doc_id"] for d in documents if len(bucket_words(d["text"])) >= 20), key=lambda i: (-score[i], i))
+    rank = {i: n + 1 for n, i in enumerate(can[:5 * len(can) // 100])}
+    rows = QUERIES["op12_importance_resampling"](spark, sf_dir).collect()
+    assert {tuple(r) for r in rows} == {(i, len(own[i]), weight[i], score[i], rank.get(i)) for i in own}
+    assert rank
+
+
+def cheapest(letters):
+    """Cost and audit over (initial, fault) rows, by trying every output length and edit."""
+    best = None
+    blocked = ("blank", "duplicate")
+    for out in range(0, 2 * len(letters) + 4):
+        if out == 1:
+            continue
+        roles = ("s" if out % 2 else "") + "ua" * (out // 2)
+        ways = {(0, 0): (0, "")}
+        for i in range(len(letters) + 1):
+            for j in range(out + 1):
+                if (i, j) not in ways:
+                    continue
+                cost, audit = ways[i, j]
+                steps = []
+                if j < out and roles[j] != "s":
+                    steps.append((i, j + 1, 2, "I"))
+                if i < len(letters):
+                    role, fault = letters[i]
+                    steps.append((i + 1, j, 3, "D"))
+                    if j < out and fault not in blocked:
+                        more = fault == "truncated"
+                        if role == roles[j]:
+                            steps.append((i + 1, j + 1, more, "K"))
+                        elif roles[j] != "s":
+                            steps.append((i + 1, j + 1, 2 + more, "R"))
+                for a, b, extra, letter in steps:
+                    way = (cost + extra, audit + letter)
+                    if (a, b) not in ways or way < ways[a, b]:
+                        ways[a, b] = way
+        if (len(letters), out) in ways and (best is None or ways[len(letters), out] < best):
+            best = ways[len(letters), out]
+    return best, roles
+
+
+def test_repair(spark, sf_dir):
+    given = defaultdict(list)
+    for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").collect():
+        given[r["conv_id"]].append(r)
+    rows = {r["conv_id"]: r for r in QUERIES["op13_conversation_repair"](spark, sf_dir).collect()}
+    assert set(rows) == set(given)
+    blank = "\x20\x09\x0a\x0b\x0c\x0d"
+    for conv, own in given.items():
+        after = []
+        for r in sorted(own, key=lambda r: r["turn"]):
+            fault = zlib.crc32(f"{conv}:{r['turn']}".encode()) % 20
+            role, text = "user" if fault == 4 else r["role"], r["text"]
+            text = "" if fault == 1 else re.sub("[.!?]", "", text) if fault == 2 else text
+            after += [(r["turn"], role, text)] * {0: 0, 3: 2}.get(fault, 1)
+        letters, seen = [], set()
+        for _, role, text in after:
+            bare = text.strip(blank)
+            fault = ("blank" if not bare else "duplicate" if (role, text) in seen else
+                     "truncated" if bare[-1] not in ".!?" else None)
+            seen.add((role, text))
+            letters.append((role[0], fault))
+        row, turns = rows[conv], [a[0] for a in after]
+        (cost, audit), _ = cheapest(letters)
+        assert (row["cost"], row["audit"]) == (cost, audit)
+        assert [row[f] for f in ("blank", "duplicate", "truncated")] == [
+            sum(f == x for _, f in letters) for x in ("blank", "duplicate", "truncated")]
+        assert row["illegal"] == sum(a + b not in ("su", "ua", "au") for (a, _), (b, _) in zip(letters, letters[1:]))
+        assert row["gaps"] == (max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0)
+        made, rest = [], iter(after)
+        kept = len(audit) - audit.count("D")
+        roles = (["system"] if kept % 2 else []) + ["user", "assistant"] * (kept // 2)
+        for edit in audit:
+            _, role, text = (None, None, "") if edit == "I" else next(rest)
+            if edit != "D":
+                made.append(f"{role if edit == 'K' else roles[len(made)]}:{text}")
+        assert row["repaired_sha256"] == hashlib.sha256("\n".join(made).encode()).hexdigest()
