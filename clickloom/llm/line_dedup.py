@@ -46,6 +46,8 @@ def occurrences(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     key = line_key(F.col("_line"))
     hashed = lines.filter(F.length(key) >= least_chars).select(
         *[F.xxhash64(F.lit(i), key).alias(name) for i, name in enumerate(HASH)], *DOC, "_at")
+    # Written before the ranges, whose bounds take a look at all rows first.
+    hashed = settle(hashed, "hashes")
     ranged = hashed.repartitionByRange(*HASH, *DOC).sortWithinPartitions(*HASH, *DOC, "_at")
     # The ranges already hold the rows of a line and document together: no further shuffle.
     earlier = F.rank().over(Window.partitionBy(*HASH, *DOC).orderBy("_at"))
