@@ -194,6 +194,8 @@ def drawn(scored: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WO
     summed in one place.
     """
     order = [F.col("_low"), F.col("score").desc(), F.col("doc_id").asc_nulls_last(), F.col("_tie")]
+    # Written before the ranges, whose bounds take a look at all rows first.
+    scored = settle(scored, "weights")
     ranged = settle(
         scored.withColumn("_low", F.coalesce(F.col("n_words") < least_words, F.lit(True)))
         .withColumn("_tie", F.monotonically_increasing_id())
