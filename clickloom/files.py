@@ -33,3 +33,9 @@ def numbered_folders(spark: SparkSession, path: str, key: str) -> dict[int, str]
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = file_system(spark, path)
     fs.delete(target, True)
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    fs, target = file_system(spark, path)
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0

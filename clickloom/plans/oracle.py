@@ -262,6 +262,20 @@ items AS (
 )"""
 
 
+# Arrivals in three parts of time, every seventh message one part later; rows whose hour was closed by then.
+LATE = MESSAGES + """,
+span AS (SELECT MIN(CAST(floor(epoch(event_time)) AS BIGINT)) AS lo, MAX(CAST(floor(epoch(event_time)) AS BIGINT)) AS hi FROM ev),
+sent AS (
+  SELECT named.*, date_trunc('second', event_time) AS sent_at,
+         (CAST(floor(epoch(event_time)) AS BIGINT) - lo) // ((hi - lo) // 3 + 1) + CASE WHEN seq % 7 = 0 THEN 1 ELSE 0 END AS part
+  FROM named, span WHERE seq % 23 <> 0 AND seq % 29 <> 0 AND product_id IS NOT NULL
+),
+newest AS (SELECT part, MAX(sent_at) AS last_at FROM sent GROUP BY 1),
+passed AS (SELECT part, MAX(last_at) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 10 MINUTE AS mark
+           FROM newest),
+late AS (SELECT sent.* FROM sent JOIN passed USING (part) WHERE date_trunc('hour', sent_at) + INTERVAL 1 HOUR <= mark)"""
+
+
 def all_sql() -> dict[str, str]:
     sql = {
         "overview": f"""WITH {SILVER}
@@ -420,6 +434,26 @@ FROM replayed WHERE event_name NOT IN ('product_view', 'click')""",
         "streamed_cart_totals": f"""WITH {CARTS}
 SELECT event_id, cart_id, event_name, qty AS replayed_qty, CAST(worth AS DOUBLE) AS replayed_value
 FROM replayed WHERE event_name NOT IN ('product_view', 'click')""",
+        "late_cart_totals": f"""WITH {CARTS}
+SELECT event_id, cart_id, event_name, qty AS replayed_qty, CAST(worth AS DOUBLE) AS replayed_value
+FROM replayed WHERE event_name NOT IN ('product_view', 'click')""",
+        "late_rows": f"""WITH {LATE}
+SELECT name AS event_name, COUNT(*) AS late_rows, COUNT(DISTINCT date_trunc('hour', sent_at)) AS windows FROM late GROUP BY 1""",
+        "exact_counts_late": f"""WITH {MESSAGES}
+SELECT name AS event_name, COUNT(*) AS count FROM named
+WHERE seq % 23 <> 0 AND seq % 29 <> 0 AND product_id IS NOT NULL GROUP BY 1""",
+        "streamed_sessions": f"""WITH {EVENTS},
+gaps AS (SELECT session_id, event_time, event_name, CASE WHEN event_time > LAG(event_time) OVER (
+           PARTITION BY session_id ORDER BY event_time) + INTERVAL 6 HOUR THEN 1 ELSE 0 END AS fresh FROM ev),
+runs AS (SELECT *, SUM(fresh) OVER (PARTITION BY session_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS run FROM gaps),
+closed AS (SELECT session_id, run, MIN(event_time) AS started FROM runs GROUP BY 1, 2
+           HAVING MAX(event_time) + INTERVAL 6 HOUR <= (SELECT MAX(event_time) FROM ev) - INTERVAL 10 MINUTE)
+SELECT session_id, strftime(started, '%Y-%m-%dT%H:%M:%SZ') AS session_start, event_name,
+       strftime(MIN(event_time), '%Y-%m-%dT%H:%M:%SZ') AS first_time,
+       strftime(MAX(event_time), '%Y-%m-%dT%H:%M:%SZ') AS last_time, COUNT(*) AS events
+FROM runs JOIN closed USING (session_id, run) GROUP BY session_id, run, started, event_name""",
+        "compacted_event_table": f"""WITH {EVENTS}
+SELECT day, event_name, COUNT(*) AS events, CAST(SUM(seq) AS BIGINT) AS ids FROM ev GROUP BY 1, 2""",
         "cart_rules": f"""WITH {CARTS},
 before AS (
   SELECT event_id, event_name, quantity, CAST(after - delta AS BIGINT) AS held_qty FROM replayed

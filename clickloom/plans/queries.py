@@ -7,7 +7,7 @@ depend on the order of floating-point additions. Counts and shares of counts are
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,13 +28,15 @@ from clickloom.operators import (
 )
 from clickloom.plans import pages
 from clickloom.session import run_dir
+from clickloom.sinks import upkeep
 from clickloom.sinks.tables import export_csv, write_watermark
 from clickloom.sources import snapshots, star
 from clickloom.sources import tables as table_sources
 from clickloom.sources.tables import batch_watermark, event_query, register_events
 from clickloom.streaming import carts as streaming_carts
 from clickloom.streaming import counts as streaming_counts
-from clickloom.streaming import landing
+from clickloom.streaming import landing, repairs, sessions
+from clickloom.streaming import late as late_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -234,11 +236,20 @@ def snapshot_counts(spark, sf_dir):
 
 def _arriving(spark: SparkSession, rows: DataFrame, run: Callable[[DataFrame], StreamingQuery], parts: int = 3) -> None:
     """Runs a stream to its end after each of several arrivals of ``rows``, by event time."""
-    inbox = run_dir(spark, "inbox")
+    _in_parts(spark, rows, _time_part(rows, parts), run, parts)
+
+
+def _time_part(rows: DataFrame, parts: int = 3) -> Column:
+    """The number of a row's part of the time all rows take."""
     second = F.unix_seconds("event_time")
     low, high = rows.agg(F.min(second), F.max(second)).first()
     width = ((high or 0) - (low or 0)) // parts + 1
-    part = F.coalesce(F.floor((second - (low or 0)) / width), F.lit(0))
+    return F.coalesce(F.floor((second - (low or 0)) / width), F.lit(0))
+
+
+def _in_parts(spark: SparkSession, rows: DataFrame, part: Column, run: Callable[[DataFrame], StreamingQuery], parts: int) -> None:
+    """Runs a stream to its end after the arrival of each part."""
+    inbox = run_dir(spark, "inbox")
     for n in range(parts):
         rows.filter(part == n).write.mode("append").parquet(inbox)
         run(spark.readStream.schema(rows.schema).parquet(inbox)).awaitTermination()
@@ -297,6 +308,66 @@ def streamed_cart_totals(spark, sf_dir):
         "event_id", "cart_id", "event_name", "replayed_qty", "replayed_value")
 
 
+def late_cart_totals(spark, sf_dir):
+    """Cart totals of a stream whose events arrive in any order, put right as they come."""
+    folder, events = run_dir(spark, "late_carts"), star.cart_history(spark, sf_dir)
+    _in_parts(spark, events, F.pmod(F.xxhash64("event_id"), F.lit(3)), lambda rows: repairs.start_repaired_replay(
+        rows, f"{folder}/carts", f"{folder}/checkpoint", available_now=True, late=timedelta(days=366), compact_every=2), 3)
+    return repairs.read_repaired(spark, f"{folder}/carts").select(
+        "event_id", "cart_id", "event_name", "replayed_qty", "replayed_value")
+
+
+def _counted_late(spark: SparkSession, sf_dir: str) -> str:
+    """Hourly counts of a stream in which every seventh message comes one part too late."""
+    events = star.base_events(spark, sf_dir)
+    folder = run_dir(spark, "late_windows")
+    part = _time_part(events) + F.when(F.col("seq") % 7 == 0, 1).otherwise(0)
+    _in_parts(spark, events, part, lambda rows: late_counts.start_counted_windows(
+        rows.select(star.message_of(rows).alias("value")), f"{folder}/counts", f"{folder}/checkpoint", "1 hour",
+        available_now=True, compact_every=2), 4)
+    return f"{folder}/counts"
+
+
+def late_rows(spark, sf_dir):
+    """How many rows came after their window was closed."""
+    return late_counts.read_late(spark, _counted_late(spark, sf_dir)).groupBy("event_name").agg(
+        F.sum("count").alias("late_rows"), F.count_distinct("window_start").alias("windows"))
+
+
+def exact_counts_late(spark, sf_dir):
+    """Batch up to the middle of the data, windows after it, and the rows that came too late for theirs."""
+    path = _counted_late(spark, sf_dir)
+    events = parsing.events_from_v1(star.raw_messages(spark, sf_dir))
+    middle = events.agg(F.timestamp_seconds(F.min(F.unix_seconds("event_time")) + 500_000).alias("watermark"))
+    return streaming_counts.exact_counts(events, late_counts.read_windows(spark, path), middle, "1 hour",
+                                         late_counts.read_late(spark, path))
+
+
+def streamed_sessions(spark, sf_dir):
+    """Stages of the sessions that a stream has closed: six hours without an event."""
+    folder = run_dir(spark, "sessions")
+    sessions.start_sessions(star.events_stream(spark, sf_dir), f"{folder}/runs", f"{folder}/checkpoint", "6 hours",
+                            available_now=True).awaitTermination()
+    stages = sessions.run_stages(spark.read.parquet(f"{folder}/runs"))
+    return stages.withColumns({c: scalars.iso_utc(F.col(c)) for c in ("session_start", "first_time", "last_time")})
+
+
+def compacted_event_table(spark, sf_dir):
+    """The event table of a stream, put in order between its arrivals."""
+    folder = run_dir(spark, "kept")
+    events = star.base_events(spark, sf_dir).select("seq", "event_time", "event_name", "product_id")
+    schema = "seq BIGINT, event_time TIMESTAMP, event_name STRING, product_id STRING, event_date DATE"
+
+    def run(rows: DataFrame) -> StreamingQuery:
+        upkeep.compact_days(spark, f"{folder}/events", schema)
+        return upkeep.start_kept_events(rows, f"{folder}/events", f"{folder}/checkpoint", available_now=True)
+
+    _in_parts(spark, events, F.pmod(F.col("seq"), F.lit(3)), run, 3)
+    kept = upkeep.kept_events(spark, f"{folder}/events", schema)
+    return kept.groupBy(F.date_format("event_date", "yyyy-MM-dd").alias("day"), "event_name").agg(
+        F.count("*").alias("events"), F.sum("seq").alias("ids"))
+
+
 def csv_round_trip(spark, sf_dir):
     """A report exported as CSV and read back."""
     report = event_mix(spark, sf_dir)
@@ -502,7 +573,8 @@ def all_queries() -> dict[str, Query]:
             product_catalog, day_range_counts, lenient_numbers, iso_times, deduplicated_events,
             exact_counts_unaligned, cart_mismatches, event_table_orders, line_total_mismatches,
             snapshot_counts_restarted, landed_messages, event_table_stream, quarantine_stream,
-            streamed_cart_totals, csv_round_trip, cart_rules,
+            streamed_cart_totals, csv_round_trip, cart_rules, late_cart_totals, late_rows, exact_counts_late,
+            streamed_sessions, compacted_event_table,
         )
     }
     found.update({f"dim_{name}": dimension_query(name) for name in DIMENSIONS})

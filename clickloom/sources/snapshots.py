@@ -17,9 +17,9 @@ from clickloom.schemas import SNAPSHOT, SNAPSHOT_PREFIX
 CHANGES = "product_id STRING, event_name STRING, count BIGINT, batch_id BIGINT"
 
 
-def newest_finished(spark: SparkSession, path: str, before: int | None = None) -> int | None:
+def newest_finished(spark: SparkSession, path: str, before: int | None = None, key: str = "batch_id") -> int | None:
     """Highest batch id below a folder that was written to its end; of those before a batch, if named."""
-    folders = numbered_folders(spark, path, "batch_id")
+    folders = numbered_folders(spark, path, key)
     for batch in sorted(folders, reverse=True):
         if (before is None or batch < before) and exists(spark, f"{folders[batch]}/_SUCCESS"):
             return batch

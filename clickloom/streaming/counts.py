@@ -57,15 +57,19 @@ def start_windowed_counts(messages: DataFrame, path: str, checkpoint: str, width
 
 
 def exact_counts(batch_events: DataFrame, windows: DataFrame, watermark: DataFrame,
-                 width: str = "1 minute") -> DataFrame:
+                 width: str = "1 minute", late: DataFrame | None = None) -> DataFrame:
     """Event counts with nothing counted twice: the event table before the batch watermark, the
     windows from it on. A watermark inside a window (of ``width``, as the windows were made) is taken back to the
     window's start on both sides; without one all is taken from the windows. Rows that came too late for their
-    window are in the event table, but not in the windows: those after the watermark are missing here."""
+    window are in the event table, but not in the windows: those after the watermark are missing here, unless ``late``
+    (``streaming.late.read_late``) brings their counts."""
     newest = watermark.agg(F.max("watermark").alias("watermark"))
     upto = newest.select(F.window("watermark", width)["start"]).scalar()
     batch = with_product(batch_events).filter(F.col("event_time") < upto)
     batch = batch.groupBy("event_name").agg(F.count("*").alias("count"))
+    if late is not None:
+        columns = ["window_start", "event_name", "count"]
+        windows = windows.select(*columns).unionByName(late.select(*columns))
     speed = windows.filter(F.col("window_start") >= F.coalesce(upto, F.col("window_start")))
     speed = speed.select("event_name", "count")
     return batch.unionByName(speed).groupBy("event_name").agg(F.sum("count").alias("count"))
