@@ -100,13 +100,16 @@ def position_of(messages: DataFrame) -> tuple[str, ...]:
 
 
 def first_per_event(events: DataFrame) -> DataFrame:
-    """One row per ``event_id``: the one that stood first on the topic, else the earliest. Rows without an id stay.
+    """One row per ``event_id``: the one that stood first on the topic, else the earliest; rows that lack a place or time
+    come last, and a hash of the whole row decides between those alike in both. Rows without an id stay.
 
     Repeats fall together before the shuffle, however often an event was sent.
     """
-    order = [F.col(c).isNull() for c in POSITION.values() if c in events.columns]
-    order += [F.col(c) for c in (*POSITION.values(), "event_time") if c in events.columns]
     row = F.struct(*[F.col(c) for c in events.columns])
+    places = [c for c in POSITION.values() if c in events.columns]
+    order = [F.col(c).isNull() for c in places] + [F.col(c) for c in places]
+    order += [F.col("event_time").isNull(), F.col("event_time")] if "event_time" in events.columns else []
+    order += [F.xxhash64(F.to_json(row)), F.xxhash64(F.lit(1), F.to_json(row))]
     once = events.filter(F.col("event_id").isNotNull()).groupBy("event_id").agg(
         F.min_by(row, F.struct(*order)).alias("_row")).select("_row.*")
     return once.unionByName(events.filter(F.col("event_id").isNull()))

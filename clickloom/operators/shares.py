@@ -121,10 +121,17 @@ def heatmap_matrix(counts: DataFrame, row: str, column: str, value: str,
                    columns: tuple[str, ...] | None = None) -> DataFrame:
     """Long to wide: one column per value present, or listed, summed, 0 where there is none.
 
-    Spark refuses to spread more than ``spark.sql.pivotMaxValues`` values. Null is no column.
+    More than ``spark.sql.pivotMaxValues`` values are refused. Null is no column; a row that has nothing else is all 0.
     """
-    wide = counts.groupBy(row).pivot(column, list(columns) if columns else None).agg(F.sum(value))
-    return wide.drop("null").na.fill(0)
+    if columns is None:
+        most = int(counts.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        found = counts.filter(F.col(column).isNotNull()).select(column).distinct().limit(most + 1).collect()
+        if len(found) > most:
+            raise ValueError(f"{column} has more than {most} values (spark.sql.pivotMaxValues)")
+        columns = tuple(sorted(r[0] for r in found))
+    if not columns:
+        return counts.select(row).distinct()
+    return counts.groupBy(row).pivot(column, list(columns)).agg(F.sum(value)).na.fill(0)
 
 
 def layers(df: DataFrame, key: str, first: str, second: str) -> DataFrame:

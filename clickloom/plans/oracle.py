@@ -454,6 +454,38 @@ SELECT session_id, strftime(started, '%Y-%m-%dT%H:%M:%SZ') AS session_start, eve
 FROM runs JOIN closed USING (session_id, run) GROUP BY session_id, run, started, event_name""",
         "compacted_event_table": f"""WITH {EVENTS}
 SELECT day, event_name, COUNT(*) AS events, CAST(SUM(seq) AS BIGINT) AS ids FROM ev GROUP BY 1, 2""",
+        "rollup_channels": f"""WITH {SILVER}
+SELECT COALESCE(channel, 'unknown') AS dimension, COUNT(*) AS events, {count_of('product_view', 'product_views')},
+       {count_of('add_to_cart', 'add_to_cart')}, {count_of('begin_checkout', 'begin_checkout')},
+       {count_of('purchase', 'purchase_events')},
+       CAST(SUM(CASE WHEN {PURCHASE} THEN {UNITS} ELSE 0 END) AS BIGINT) AS units_sold,
+       ROUND(SUM(CASE WHEN {PURCHASE} THEN {AMOUNT} ELSE 0 END), 2) AS revenue_usd,
+       ROUND(SUM(CASE WHEN {PURCHASE} THEN {SALES} ELSE 0 END), 2) AS total_sales_usd, TRUE AS estimates_hold
+FROM silver WHERE day BETWEEN '2024-01-08' AND '2024-01-21' GROUP BY 1""",
+        "top_visitors": f"""WITH {EVENTS}
+SELECT user_id, COUNT(*) AS count FROM ev GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""",
+        "price_changes": f"""WITH {EVENTS},
+shown AS (SELECT product_id, event_time, seq, ROUND(price, -1) AS price FROM ev
+          WHERE event_name IN ('product_view', 'click') AND price IS NOT NULL AND product_id IS NOT NULL),
+changed AS (SELECT * FROM shown QUALIFY price IS DISTINCT FROM LAG(price) OVER (PARTITION BY product_id ORDER BY event_time, seq))
+SELECT product_id, price, strftime(event_time, '%Y-%m-%dT%H:%M:%SZ') AS valid_from,
+       strftime(LEAD(event_time) OVER (PARTITION BY product_id ORDER BY event_time, seq), '%Y-%m-%dT%H:%M:%SZ') AS valid_to
+FROM changed""",
+        "price_mismatches": f"""WITH {EVENTS},
+both_kinds AS (SELECT product_id, event_time, seq, ROUND(price, -1) AS price, event_name = 'purchase' AS is_line FROM ev
+               WHERE product_id IS NOT NULL AND event_name IN ('product_view', 'click', 'purchase')),
+priced AS (SELECT *, LAST_VALUE(CASE WHEN NOT is_line THEN price END IGNORE NULLS) OVER (
+             PARTITION BY product_id ORDER BY event_time, is_line, seq ROWS UNBOUNDED PRECEDING) AS catalogue_price FROM both_kinds)
+SELECT seq, product_id, price, catalogue_price FROM priced WHERE is_line AND abs(price - catalogue_price) >= 0.005""",
+        "snapshot_change_feed": f"""WITH {MESSAGES},
+span AS (SELECT MIN(CAST(floor(epoch(event_time)) AS BIGINT)) AS lo, MAX(CAST(floor(epoch(event_time)) AS BIGINT)) AS hi FROM ev),
+sent AS (SELECT product_id, name, (CAST(floor(epoch(event_time)) AS BIGINT) - lo) // ((hi - lo) // 3 + 1) > 0 AS later
+         FROM named, span WHERE seq % 23 <> 0 AND seq % 29 <> 0 AND product_id IS NOT NULL AND name IS NOT NULL)
+SELECT product_id, name AS event_name, nullif(COUNT(*) FILTER (NOT later), 0) AS before, COUNT(*) AS count,
+       COUNT(*) FILTER (later) AS delta FROM sent GROUP BY 1, 2 HAVING COUNT(*) FILTER (later) > 0""",
+        "json_lines": f"""WITH {MESSAGES}
+SELECT name AS event_name, COUNT(*) AS events, COUNT(product_id) AS with_product FROM named
+WHERE seq % 23 <> 0 AND seq % 29 <> 0 GROUP BY 1""",
         "cart_rules": f"""WITH {CARTS},
 before AS (
   SELECT event_id, event_name, quantity, CAST(after - delta AS BIGINT) AS held_qty FROM replayed

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from clickloom.files import numbered_folders
 from clickloom.functions import scalars
 from clickloom.functions.dimensions import DIMENSIONS
 from clickloom.functions.timerange import day_range, iso_range
@@ -21,10 +23,13 @@ from clickloom.operators import (
     combined,
     commerce,
     parsing,
+    prices,
     quality,
     reports,
+    rollup,
     shares,
     snapshot,
+    top,
 )
 from clickloom.plans import pages
 from clickloom.session import run_dir
@@ -368,6 +373,71 @@ def compacted_event_table(spark, sf_dir):
         F.count("*").alias("events"), F.sum("seq").alias("ids"))
 
 
+def rollup_channels(spark, sf_dir):
+    """Two weeks of channels from a daily rollup made in three goes, with days that late events touched again.
+
+    Sums are exact; the estimated distinct counts are held against the exact report.
+    """
+    folder = run_dir(spark, "rollup")
+    events = star.clickstream(spark, sf_dir, *MONEY_NEEDS).withColumn("event_date", scalars.utc_date(F.col("event_time")))
+    third, is_late = _time_part(events), F.pmod(F.xxhash64("event_id"), F.lit(11)) == 0
+    for part in (third == 0) & ~is_late, (third == 1) & ~is_late, (third == 2) | is_late:
+        events.filter(part).write.mode("append").partitionBy("event_date").parquet(f"{folder}/events")
+        rollup.mark_dirty(events.filter(part & is_late), f"{folder}/daily")
+        rollup.refresh_rollup(spark, spark.read.parquet(f"{folder}/events"), f"{folder}/daily", "channel")
+    period = day_range(date(2024, 1, 8), date(2024, 1, 21))
+    found = cents(rollup.report_from(rollup.read_rollup(spark, f"{folder}/daily"), period))
+    exact = reports.dimension_report(events.drop("event_date"), period, "channel")
+    near = [F.abs(F.col(c) - F.col(f"exact_{c}")) <= 0.1 * F.col(f"exact_{c}") for c in rollup.SKETCHES]
+    held = exact.select("dimension", *[F.col(c).alias(f"exact_{c}") for c in rollup.SKETCHES])
+    return found.join(held, "dimension").select("dimension", *rollup.SUMS, reduce(lambda a, b: a & b, near).alias("estimates_hold"))
+
+
+def top_visitors(spark, sf_dir):
+    """The visitors with most events, counted one by one only in the heaviest hash buckets."""
+    found = top.top_values(_plain_events(spark, sf_dir), F.col("user_id"), 15, buckets=1 << 16)
+    return found.select(F.col("value").alias("user_id"), "count")
+
+
+def price_changes(spark, sf_dir):
+    """Validity intervals of the prices that shown products had."""
+    history = prices.price_history(_shown_prices(spark, sf_dir), ["event_time", "seq"])
+    return history.withColumns({c: scalars.iso_utc(F.col(c)) for c in ("valid_from", "valid_to")})
+
+
+def _shown_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = star.base_events(spark, sf_dir).filter(F.col("event_name").isin("product_view", "click"))
+    return shown.select("product_id", "event_time", "seq", F.round("price", -1).alias("price"))
+
+
+def price_mismatches(spark, sf_dir):
+    """Purchases at another price than the one shown last."""
+    bought = star.base_events(spark, sf_dir).filter(F.col("event_name") == "purchase")
+    lines = bought.select("product_id", "event_time", "seq", F.round("price", -1).alias("price"))
+    found = prices.price_mismatches(prices.price_then(lines, _shown_prices(spark, sf_dir), ["event_time", "seq"]))
+    return found.select("seq", "product_id", "price", "catalogue_price")
+
+
+def snapshot_change_feed(spark, sf_dir):
+    """What the running counts gained after the first of three starts, read from a compacted folder."""
+    folder = run_dir(spark, "snapshot")
+    path = f"{folder}/counts"
+    _arriving(spark, star.base_events(spark, sf_dir), lambda events: streaming_counts.start_counts(
+        events.select(star.message_of(events).alias("value")), path, f"{folder}/checkpoint",
+        available_now=True, compact_every=2))
+    batches = sorted(numbered_folders(spark, f"{path}/changes", "batch_id"))
+    return snapshots.snapshot_changes(spark, path, batches[0], batches[-1])
+
+
+def json_lines(spark, sf_dir):
+    """Messages written as JSON Lines files and read back as binary payloads, as a topic gives them."""
+    folder = run_dir(spark, "lines")
+    star.raw_messages(spark, sf_dir).select("value").write.text(folder)
+    binary = table_sources.event_lines(spark, folder).select(F.col("value").cast("binary").alias("value"))
+    events = parsing.speed_events(parsing.message_text(binary))
+    return events.groupBy("event_name").agg(F.count("*").alias("events"), F.count("product_id").alias("with_product"))
+
+
 def csv_round_trip(spark, sf_dir):
     """A report exported as CSV and read back."""
     report = event_mix(spark, sf_dir)
@@ -574,7 +644,8 @@ def all_queries() -> dict[str, Query]:
             exact_counts_unaligned, cart_mismatches, event_table_orders, line_total_mismatches,
             snapshot_counts_restarted, landed_messages, event_table_stream, quarantine_stream,
             streamed_cart_totals, csv_round_trip, cart_rules, late_cart_totals, late_rows, exact_counts_late,
-            streamed_sessions, compacted_event_table,
+            streamed_sessions, compacted_event_table, rollup_channels, top_visitors, price_changes, price_mismatches,
+            snapshot_change_feed, json_lines,
         )
     }
     found.update({f"dim_{name}": dimension_query(name) for name in DIMENSIONS})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -60,26 +62,31 @@ def shared_dir(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="clickloom-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
     return _local_dirs[app]
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared one, so that runs never meet each other's files."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared one, so that runs never meet each other's files; deleted at the end of ``cleared``."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if (kept := _settled.get()) is not None:
+        kept.append(path)
+    return path
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` below the shared folder and reads it again, so that later jobs see one and the same table."""
     path = run_dir(df.sparkSession, label)
-    if (kept := _settled.get()) is not None:
-        kept.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def cleared(spark: SparkSession) -> Iterator[None]:
-    """Tables settled inside are deleted at the end, so that a stream leaves none of them behind."""
+    """Folders made inside, those of ``settle`` and ``run_dir``, are deleted at the end.
+
+    A job that writes its result inside leaves nothing else behind. What is computed later must not lean on them.
+    """
     paths: list[str] = []
     token = _settled.set(paths)
     try:

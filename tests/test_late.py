@@ -148,6 +148,7 @@ def test_a_product_reads_few_row_groups(spark, tmp_path):
         conf.unset("parquet.block.size")
         conf.unset("parquet.block.size.row.check.min")
     files = data_files(f"{path}/days")
+    groups = [pq.ParquetFile(f).metadata.row_group(i) for f in files for i in range(pq.ParquetFile(f).num_row_groups)]
     names = [groups[0].column(i).path_in_schema for i in range(groups[0].num_columns)]
     assert len(files) == 1 and len(groups) >= 20
     wanted = {"product_id": "SKU00250", "event_time": START + timedelta(hours=12)}

@@ -93,15 +93,15 @@ def test_repaired_stream(spark, tmp_path):
     assert totals(repairs.read_repaired(spark, str(tmp_path / "out")).collect()) == in_order(rows)
 
 
-def scanned(plan):
-    """Records given out by each scan of an executed plan."""
+def scanned(plan, metric="numOutputRows"):
+    """Records given out by each scan of an executed plan, or another of their metrics."""
     if plan.nodeName() == "AdaptiveSparkPlan":
-        return scanned(plan.executedPlan())
-    if hasattr(plan, "plan") and "QueryStage" in plan.nodeName():
-        return scanned(plan.plan())
-    own = [plan.metrics().apply("numOutputRows").value()] if plan.nodeName().startswith("Scan") else []
+        return scanned(plan.executedPlan(), metric)
+    if "QueryStage" in plan.nodeName():
+        return scanned(plan.plan(), metric)
+    own = [plan.metrics().apply(metric).value()] if plan.nodeName().startswith("Scan parquet") else []
     for i in range(plan.children().size()):
-        own += scanned(plan.children().apply(i))
+        own += scanned(plan.children().apply(i), metric)
     return own
 
 
