@@ -48,8 +48,8 @@ def op2_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(RULES, "key string, verdict string")
-    listed = spark.createDataFrame([(h,) for h in LISTED], "key string")
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, RULES))} AS rules(key, verdict)")
+    listed = spark.sql(f"SELECT explode(array{LISTED}) AS key")
     return bloom_cascade.judge(table(spark, sf_dir, "pages"), rules, listed)
 
 

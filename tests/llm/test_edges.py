@@ -103,10 +103,42 @@ def test_cascade_is_exact(spark):
     listed = universe.filter("cast(substr(key, 4) as int) % 7 = 0").unionAll(spark.createDataFrame([(None,)], "key string"))
     cascade = bloom_cascade.Cascade(listed, universe)
     assert len(cascade.levels) > 1
-    got = {r["key"] for r in universe.filter(cascade.holds(F.col("key"))).collect()}
+    got = {r["key"] for r in cascade.mark(universe, "key", "held").filter("held").collect()}
     assert got == {f"key{i}" for i in range(0, 5000, 7)}
     nothing = bloom_cascade.Cascade(listed.limit(0), universe)
-    assert universe.filter(nothing.holds(F.col("key"))).count() == 0
+    assert nothing.mark(universe, "key", "held").filter("held").count() == 0
+
+
+def test_cascade_of_many_parts(spark):
+    """A list over one part, a universe a thousand times the list, and null and repeated keys."""
+    universe = spark.range(400_000).select(F.concat(F.lit("key"), "id").alias("key"))
+    for step, part in ((1000, 60), (80, 2000)):
+        listed = universe.filter(F.substring("key", 4, 9).cast("int") % step == 0)
+        cascade = bloom_cascade.Cascade(listed.union(spark.sql("SELECT cast(null as string)")), universe, part)
+        assert cascade.levels[0].parts > 1
+        asked = universe.union(universe.limit(10)).union(spark.sql("SELECT cast(null as string)"))
+        held = cascade.mark(asked, "key", "held")
+        assert held.count() == 400_011 and held.columns == ["key", "held"]
+        wrong = held.filter(F.col("held") != F.coalesce(F.substring("key", 4, 9).cast("int") % step == 0, F.lit(False)))
+        assert wrong.count() == 0
+        # Later levels follow the list, not the universe.
+        sizes = [level.words.agg(F.sum(F.size("words"))).first()[0] for level in cascade.levels]
+        assert sizes[1] < 2 * sizes[0]
+
+
+def test_rules_of_many_lengths(spark):
+    """Two thousand pairs of lengths, and rules of equal length."""
+    rules = [("h" * h + ".com/" + "p" * p, "block" if (h + p) % 2 else "allow") for h in range(1, 46) for p in range(45)]
+    rules += [("ab.cd/x", "block"), ("b.ab.cd/", "allow"), ("b.ab.cd", "block")]
+    pages = [(i, f"http://w.{'h' * (i % 50)}.com/{'p' * (i % 47)}") for i in range(300)] + [(999, "http://b.ab.cd/x")]
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in bloom_cascade.judge(
+        frame, spark.createDataFrame(rules, "key string, verdict string"), spark.sql("SELECT 'none' AS key")).collect()}
+    for i, _ in pages[:-1]:
+        h, p = i % 50, min(i % 47, 44)
+        key = "h" * h + ".com/" + "p" * p
+        assert got[i] == ((key, "block" if (h + p) % 2 else "allow") if 1 <= h <= 45 else (None, "allow"))
+    assert got[999] == ("b.ab.cd/", "allow")
 
 
 def test_urls(spark):
