@@ -119,14 +119,14 @@ class Forest:
         order = np.argsort(key)
         self.keys, self.children = key[order], child[order]
 
-    def search(self, group: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query number, member) within the radius, equal ones left out."""
+    def search(self, group: np.ndarray, bits: np.ndarray, equal: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (query number, member) within the radius, equal ones left out unless asked for."""
         query = np.flatnonzero(self.roots[group] >= 0)
         node = self.roots[group[query]]
         found_q, found_m = [], []
         while len(query):
             distance = np.bitwise_count(bits[query] ^ self.bits[node]).astype(np.int64)
-            near = (distance <= RADIUS) & (distance > 0)
+            near = (distance <= RADIUS) & (equal | (distance > 0))
             found_q.append(query[near])
             found_m.append(node[near])
             low = np.searchsorted(self.keys, node * 65 + np.maximum(distance - RADIUS, 0))
@@ -138,11 +138,15 @@ class Forest:
         return np.concatenate(found_q), np.concatenate(found_m)
 
 
-def _links(groups: pd.DataFrame) -> pd.DataFrame:
-    """Links of whole groups (key, low, high): each linked fingerprint with the least of its set in the group."""
+def _links(groups: pd.DataFrame, item: str = "bits", verified: bool = False) -> pd.DataFrame:
+    """Links of whole groups (key, low, high): each linked item with the least of its set in the group.
+
+    ``verified`` links only items whose sketches are close as well; their fingerprints may be equal.
+    """
     starts = (groups[["key", "low", "high"]].diff() != 0).any(axis=1).to_numpy()
     group = np.cumsum(starts) - 1
     bits = groups["bits"].to_numpy().view(np.uint64)
+    sketches = [groups[s].to_numpy().view(np.uint64) for s in SKETCH] if verified else []
     chunk, low, high = (groups[c].to_numpy() for c in ("chunk", "low", "high"))
     members, queries = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
     forest = Forest(group[members], bits[members])
@@ -153,10 +157,15 @@ def _links(groups: pd.DataFrame) -> pd.DataFrame:
     root = np.arange(len(bits))
     for turn in np.unique(work):
         asked = queries[work == turn]
-        q, m = forest.search(group[asked], bits[asked])
-        root = local_roots(len(bits), asked[q], members[m], root)
+        q, m = forest.search(group[asked], bits[asked], verified)
+        a, b = asked[q], members[m]
+        if verified:
+            close = sum(np.bitwise_count(s[a] ^ s[b]).astype(np.int64) for s in sketches) <= FAR
+            a, b = a[close], b[close]
+        root = local_roots(len(bits), a, b, root)
     linked = np.flatnonzero(root != np.arange(len(bits)))
-    return pd.DataFrame({"a": groups["bits"].to_numpy()[linked], "b": groups["bits"].to_numpy()[root[linked]]})
+    items = groups[item].to_numpy()
+    return pd.DataFrame({"a": items[linked], "b": items[root[linked]]})
 
 
 def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str], rows: int) -> Iterator[pd.DataFrame]:
@@ -214,12 +223,100 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
 
 
+# Whole texts: candidates by several fingerprints, verified by five-word shingles
+
+#: Fingerprints of a text's different words, each with hashes of its own. Two texts are compared if any is within RADIUS.
+FINGERPRINTS = 3
+SHINGLE = 5
+SKETCH = ["s0", "s1"]
+#: Bits of two sketches that may differ: 1 - 2 * 19 / 128 = 0.7, two standard errors below a similarity of 0.8.
+FAR = 19
+
+_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, 128, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(hashes: np.ndarray, turn: int) -> np.ndarray:
+    """Hashes as if by another function."""
+    with np.errstate(over="ignore"):
+        x = (hashes ^ np.uint64(turn)) * _MIX
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return x ^ (x >> np.uint64(32))
+
+
+def _majority(hashes: np.ndarray) -> np.uint64:
+    """A bit is set if it is set in over half of the hashes."""
+    counts = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0]
+
+
+def profile(text: str | None) -> list[int]:
+    """The text's item (a 64-bit hash of its words), its fingerprints and its sketch.
+
+    A sketch has a bit of the least hash of the five-word shingles under each of 128 orders (fewer words are one shingle);
+    two of them agree in a bit with probability (1 + s) / 2 at similarity s. Words are those of ``fingerprint``; texts
+    without words are one item with zeros.
+    """
+    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    if not words:
+        return [0] * (1 + FINGERPRINTS + len(SKETCH))
+    joined = b" ".join(words)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    ends = (starts + sizes)[min(SHINGLE, len(words)) - 1:].tolist()
+    shingles = np.fromiter({xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends, strict=False)}, np.uint64)
+    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    with np.errstate(over="ignore"):
+        for at in range(0, len(shingles), 4096):
+            least = np.minimum(least, (shingles[at:at + 4096, None] * _FACTORS).min(axis=0))
+    sketch = np.packbits((_mixed(least, 0) >> np.uint64(63)).astype(np.uint8)).view(np.uint64)
+    different = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in set(words)), np.uint64)
+    return [xxhash.xxh64_intdigest(joined, SEED), *[int(_majority(_mixed(different, n))) for n in range(FINGERPRINTS)], *sketch.tolist()]
+
+
+def with_profiles(docs: DataFrame) -> DataFrame:
+    """``docs`` with the columns of ``profile``: item, p0 and so on, s0, s1."""
+    names = ["item", *[f"p{n}" for n in range(FINGERPRINTS)], *SKETCH]
+
+    def of(texts: pd.Series) -> pd.DataFrame:
+        made = np.array([profile(t) for t in texts], np.uint64).reshape(len(texts), len(names))
+        return pd.DataFrame(made.view(np.int64), columns=names)
+
+    return per_text(docs, of, ", ".join(f"{n} long" for n in names))
+
+
+def verified_links(items: DataFrame, tree: int = TREE) -> DataFrame:
+    """Links ``(a, b)`` between items of which a fingerprint is within RADIUS and whose sketches say 0.7 or more.
+
+    Candidates come out of the same trees as in ``links`` and are verified there; in a shard each linked item is tied
+    to the least one it reaches.
+    """
+    prints = F.array(*[F.struct(F.lit(n).alias("turn"), F.col(f"p{n}").alias("bits")) for n in range(FINGERPRINTS)])
+    turns = items.select("item", *SKETCH, F.inline(prints))
+    keyed = turns.select("item", "bits", *SKETCH, F.explode(_shard_keys(F.col("bits"))).alias("_key"), "turn").withColumn(
+        "key", F.col("_key") + F.shiftleft(F.col("turn").cast("long"), 26)).drop("_key", "turn")
+    groups = split_hot(keyed, ["key"], "item", tree)
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in whole_groups(batches, ["key", "low", "high"], 1 << 16):
+            yield _links(frame, "item", True)
+
+    return (groups.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+            .mapInPandas(search, "a long, b long"))
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One row of each group of near-duplicates: the one with the least doc_id (null last), whole."""
+    """One row of each group of near-duplicates: the one with the least doc_id (null last), whole.
+
+    Texts with the same words are one group; other texts belong together if links of ``verified_links`` connect them:
+    five-word shingles alike in 0.8 or more, as far as 128 bits tell. Texts without words are one group.
+    """
     keyed = docs.select("doc_id", "text", *row_key(docs))
-    prints = settle(with_fingerprints(keyed).select("doc_id", "bits", *KEY), "fingerprints")
+    prints = settle(with_profiles(keyed).drop("text"), "profiles")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *KEY)
-    own = settle(prints.groupBy("bits").agg(F.min(order).alias("first")), "different")
-    best = own.join(classes(own), "bits", "left").groupBy(F.coalesce("root", "bits").alias("root")).agg(
+    own = settle(prints.groupBy("item").agg(
+        F.min(order).alias("first"), *[F.min(c).alias(c) for c in prints.columns if c not in ("item", "doc_id", *KEY)]), "items")
+    roots = components(verified_links(own)).withColumnRenamed("node", "item")
+    best = own.select("item", "first").join(roots, "item", "left").groupBy(F.coalesce("root", "item").alias("root")).agg(
         F.min("first").alias("first")).select(*[F.col(f"first.{k}") for k in KEY])
     return different_rows(docs).join(best, KEY, "left_semi").select("_doc.*")

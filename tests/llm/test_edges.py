@@ -456,6 +456,57 @@ def test_near_duplicate_edges(spark, odd, none):
     assert simhash.near_duplicates(none).count() == 0 and simhash.keep_first(none).count() == 0
 
 
+def shingles(words):
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_stage_finds_near_copies(spark):
+    """Of copies with a five-word similarity of 0.8 or more nine tenths go, and no other text does."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnopqrst") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    weights = [1 / (n + 3) for n in range(len(vocabulary))]  # a few words are in every text
+    rows, alike, changed = [], 0, 0
+    for n in range(300):
+        words = rng.choices(vocabulary, weights, k=rng.randint(60, 500))
+        rows.append((n, " ".join(words)))
+        copy, rate = list(words), rng.choice((0.004, 0.01, 0.015, 0.02))
+        for _ in range(round(rate * len(words)) or 1):
+            copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+        a, b = shingles(words), shingles(copy)
+        if len(a & b) / len(a | b) >= 0.8:
+            rows.append((1000 + n, " ".join(copy).upper() + "\n"))
+            alike += 1
+        far = [w if rng.random() > 0.3 else rng.choice(vocabulary) for w in words]
+        rows.append((2000 + n, " ".join(far)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in simhash.keep_first(frame).collect()}
+    assert alike > 200 and set(range(300)) | set(range(2000, 2300)) <= kept
+    assert sum(1000 <= i < 2000 for i in kept) <= 0.1 * alike
+
+
+@pytest.mark.parametrize("tree", [1024, 16])
+def test_stage_links_equal_all_pairs(spark, tree):
+    """A large group of near copies, some with equal fingerprints, cut into trees of either size."""
+    rng = random.Random(tree)
+    base = [f"w{rng.randrange(5000)}" for _ in range(250)]
+    texts = []
+    for _ in range(200):
+        copy = list(base)
+        for _ in range(rng.randint(0, 3)):
+            copy[rng.randrange(len(copy))] = f"w{rng.randrange(5000)}"
+        texts.append(" ".join(copy))
+    texts += [" ".join(f"v{rng.randrange(5000)}" for _ in range(100)) for _ in range(50)]
+    profiles = np.array(sorted({tuple(simhash.profile(t)) for t in texts}), np.uint64)
+    names = ["item", "p0", "p1", "p2", "s0", "s1"]
+    frame = spark.createDataFrame([tuple(int(x) for x in r) for r in profiles.view(np.int64)], ", ".join(f"{n} long" for n in names))
+    apart = [np.bitwise_count(profiles ^ p).astype(int) for p in profiles]
+    close = [(i, int(j)) for i, a in enumerate(apart)
+             for j in np.flatnonzero((a[:, 1:4].min(axis=1) <= 4) & (a[:, 4:].sum(axis=1) <= simhash.FAR)) if i < j]
+    index = {int(r[0]): i for i, r in enumerate(profiles.view(np.int64))}
+    found = simhash.verified_links(frame, tree).collect()
+    assert classes_of([(index[r["a"]], index[r["b"]]) for r in found], range(len(profiles))) == classes_of(close, range(len(profiles)))
+
+
 # Embeddings
 
 def test_pivots_follow_the_number_of_vectors():

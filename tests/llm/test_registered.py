@@ -13,6 +13,7 @@ import xxhash
 import __spark_entry__ as entry
 from oracle import connect, rows_of_spark, rows_of_sql
 
+from clickloom.llm import simhash
 from clickloom.llm.queries import llm_queries, llm_sql
 
 QUERIES = entry.queries()
@@ -254,9 +255,15 @@ def test_pipeline(spark, sf_dir, documents):
             assert docs.columns == before.columns
     ids = {n: {r["doc_id"] for r in d.select("doc_id").collect()} for n, d in kept.items()}
     first = kept["language_id"].collect()
-    prints = np.array([slow_fingerprint(d["text"]) for d in first], np.uint64)
+    prints = np.array([simhash.profile(d["text"]) for d in first], np.uint64)
     own = [d["doc_id"] for d in first]
-    least = slow_classes(own, lambda i: np.flatnonzero(np.bitwise_count(prints[i] ^ prints[i + 1:]) <= 4) + i + 1)
+
+    def near(i):
+        apart = np.bitwise_count(prints[i] ^ prints[i + 1:]).astype(int)
+        alike = (apart[:, 1:1 + simhash.FINGERPRINTS].min(axis=1) <= 4) & (apart[:, -2:].sum(axis=1) <= simhash.FAR)
+        return np.flatnonzero(alike | (apart[:, 0] == 0)) + i + 1
+
+    least = slow_classes(own, near)
     assert ids["near_duplicates"] == set(least)
     marked = {r["doc_id"]: r["contaminated"] for r in QUERIES["op7_decontamination"](spark, sf_dir).collect()}
     assert ids["decontamination"] == {i for i in ids["near_duplicates"] if not marked[i]}
