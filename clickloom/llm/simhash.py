@@ -26,6 +26,10 @@ SEED = 42
 BLOCKS = (11, 11, 11, 11, 10, 10)
 #: Fingerprints of a shard that are put into one tree; larger shards are cut and each two parts meet.
 TREE = 1024
+#: The same for items with sketches, some 2 MB; in groups of CROWD items and more, PIVOTS items are compared with all first.
+ITEMS = 1 << 15
+CROWD = 64
+PIVOTS = 8
 #: Comparisons made at once in a search.
 AT_ONCE = 1 << 21
 
@@ -138,6 +142,42 @@ class Forest:
         return np.concatenate(found_q), np.concatenate(found_m)
 
 
+def _near(a: np.ndarray, b: np.ndarray, sketches: list[np.ndarray]) -> np.ndarray:
+    """Which of the pairs have sketches that are close."""
+    return sum(np.bitwise_count(s[a] ^ s[b]).astype(np.int64) for s in sketches) <= FAR
+
+
+def _around_pivots(group: np.ndarray, bits: np.ndarray, sketches: list[np.ndarray],
+                   root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links of large groups to a few of their items, and the items that need not be searched for.
+
+    In a group of copies of one text nearly all items are close to any of them. Those that end up in the group's largest set
+    are linked already; every other item still looks through the whole group, so no link between sets is lost.
+    """
+    settled = np.zeros(len(bits), bool)
+    starts = np.flatnonzero(np.diff(group, prepend=-1))
+    sizes = np.diff(starts, append=len(group))
+    linked_a, linked_b = [], []
+    for start, size in zip(starts[sizes >= CROWD].tolist(), sizes[sizes >= CROWD].tolist(), strict=True):
+        own = np.arange(start, start + size)
+        free = np.ones(size, bool)
+        for _ in range(PIVOTS):
+            left = np.flatnonzero(free)
+            if not len(left):
+                break
+            pivot = np.full(size, own[left[len(left) // 2]])
+            close = (np.bitwise_count(bits[own] ^ bits[pivot]) <= RADIUS) & _near(own, pivot, sketches)
+            free &= ~close
+            linked_a.append(own[close])
+            linked_b.append(pivot[close])
+    if linked_a:
+        root = local_roots(len(bits), np.concatenate(linked_a), np.concatenate(linked_b), root)
+        for start, size in zip(starts[sizes >= CROWD].tolist(), sizes[sizes >= CROWD].tolist(), strict=True):
+            sets, many = np.unique(root[start:start + size], return_counts=True)
+            settled[start:start + size] = root[start:start + size] == sets[many.argmax()]
+    return root, settled
+
+
 def _links(groups: pd.DataFrame, item: str = "bits", verified: bool = False) -> pd.DataFrame:
     """Links of whole groups (key, low, high): each linked item with the least of its set in the group.
 
@@ -149,18 +189,22 @@ def _links(groups: pd.DataFrame, item: str = "bits", verified: bool = False) ->
     sketches = [groups[s].to_numpy().view(np.uint64) for s in SKETCH] if verified else []
     chunk, low, high = (groups[c].to_numpy() for c in ("chunk", "low", "high"))
     members, queries = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
+    root = np.arange(len(bits))
+    if verified:
+        # Items of both chunks look through both, as settled ones do not ask.
+        root, settled = _around_pivots(group, bits, sketches, root)
+        members, queries = np.arange(len(bits)), np.flatnonzero(~settled)
     forest = Forest(group[members], bits[members])
     sizes = np.bincount(group[members], minlength=group[-1] + 1)
     if len(forest.roots) < len(sizes):
         forest.roots = np.concatenate([forest.roots, np.full(len(sizes) - len(forest.roots), -1)])
     work = np.cumsum(sizes[group[queries]]) // AT_ONCE
-    root = np.arange(len(bits))
     for turn in np.unique(work):
         asked = queries[work == turn]
         q, m = forest.search(group[asked], bits[asked], verified)
         a, b = asked[q], members[m]
         if verified:
-            close = sum(np.bitwise_count(s[a] ^ s[b]).astype(np.int64) for s in sketches) <= FAR
+            close = _near(a, b, sketches)
             a, b = a[close], b[close]
         root = local_roots(len(bits), a, b, root)
     linked = np.flatnonzero(root != np.arange(len(bits)))
@@ -285,7 +329,7 @@ def with_profiles(docs: DataFrame) -> DataFrame:
     return per_text(docs, of, ", ".join(f"{n} long" for n in names))
 
 
-def verified_links(items: DataFrame, tree: int = TREE) -> DataFrame:
+def verified_links(items: DataFrame, tree: int = ITEMS) -> DataFrame:
     """Links ``(a, b)`` between items of which a fingerprint is within RADIUS and whose sketches say 0.7 or more.
 
     Candidates come out of the same trees as in ``links`` and are verified there; in a shard each linked item is tied

@@ -460,6 +460,17 @@ def shingles(words):
     return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))}
 
 
+def test_no_link_between_chunks_is_lost():
+    """A crowd on both sides, and a text that only one settled item of the other side is close to."""
+    import pandas as pd
+    crowd = [(0, 0, 0, i, 7, 0, 0) for i in range(80)] + [(0, 0, 1, 100 + i, 7, 0, 0) for i in range(80)]
+    rim = (0, 0, 1, 300, 7 ^ 0b11110000, 0, 0)  # four bits from the crowd
+    lone = (0, 0, 0, 400, 7 ^ 0b111111110000, 0, 0)  # four bits from the rim, eight from the crowd
+    rows = pd.DataFrame([*crowd, rim, lone], columns=["key", "low", "chunk", "item", "bits", "s0", "s1"]).assign(high=1)
+    found = simhash._links(rows.sort_values("chunk").reset_index(drop=True), "item", True)
+    assert set(found["a"]) | set(found["b"]) == set(rows["item"]) and found["b"].nunique() == 1
+
+
 def test_stage_finds_near_copies(spark):
     """Of copies with a five-word similarity of 0.8 or more nine tenths go, and no other text does."""
     rng = random.Random(8)
@@ -484,7 +495,7 @@ def test_stage_finds_near_copies(spark):
     assert sum(1000 <= i < 2000 for i in kept) <= 0.1 * alike
 
 
-@pytest.mark.parametrize("tree", [1024, 16])
+@pytest.mark.parametrize("tree", [1024, 100, 16])
 def test_stage_links_equal_all_pairs(spark, tree):
     """A large group of near copies, some with equal fingerprints, cut into trees of either size."""
     rng = random.Random(tree)
