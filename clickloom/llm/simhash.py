@@ -9,6 +9,7 @@ Trees travel with the shard's fingerprints; there is one row per different finge
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -329,16 +330,36 @@ def with_profiles(docs: DataFrame) -> DataFrame:
     return per_text(docs, of, ", ".join(f"{n} long" for n in names))
 
 
-def verified_links(items: DataFrame, tree: int = ITEMS) -> DataFrame:
+def agreeing(items: int) -> int:
+    """How many blocks a shard's fingerprints agree in, so that there are 64 times as many values as items."""
+    wanted = 2
+    while wanted < 8 and 64 * wanted // (RADIUS + wanted) < (64 * max(items, 1)).bit_length():
+        wanted += 1
+    return wanted
+
+
+def _wide_keys(bits: Column, wanted: int) -> Column:
+    """A hash for each choice of ``wanted`` blocks out of RADIUS more and of what these hold: two fingerprints within
+    the radius share at least one, whatever ``wanted`` is."""
+    count = RADIUS + wanted
+    edges = [64 * i // count for i in range(count + 1)]
+    parts = [F.shiftrightunsigned(bits, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:], strict=False)]
+    return F.array(*[F.xxhash64(F.lit(n), *[parts[i] for i in chosen])
+                     for n, chosen in enumerate(combinations(range(count), wanted))])
+
+
+def verified_links(items: DataFrame, tree: int = ITEMS, wanted: int | None = None) -> DataFrame:
     """Links ``(a, b)`` between items of which a fingerprint is within RADIUS and whose sketches say 0.7 or more.
 
-    Candidates come out of the same trees as in ``links`` and are verified there; in a shard each linked item is tied
-    to the least one it reaches.
+    Shards are as narrow as the number of items asks for (``agreeing``), so that unrelated items seldom meet in one at any
+    size. Candidates come out of trees as in ``links`` and are verified there; in a shard each linked item is tied to the least
+    one it reaches.
     """
+    wanted = wanted or agreeing(items.count())
     prints = F.array(*[F.struct(F.lit(n).alias("turn"), F.col(f"p{n}").alias("bits")) for n in range(FINGERPRINTS)])
     turns = items.select("item", *SKETCH, F.inline(prints))
-    keyed = turns.select("item", "bits", *SKETCH, F.explode(_shard_keys(F.col("bits"))).alias("_key"), "turn").withColumn(
-        "key", F.col("_key") + F.shiftleft(F.col("turn").cast("long"), 26)).drop("_key", "turn")
+    keyed = turns.select("item", "bits", *SKETCH, F.explode(_wide_keys(F.col("bits"), wanted)).alias("_key"), "turn").withColumn(
+        "key", F.xxhash64("turn", "_key")).drop("_key", "turn")
     groups = split_hot(keyed, ["key"], "item", tree)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -514,7 +514,8 @@ def test_stage_links_equal_all_pairs(spark, tree):
     close = [(i, int(j)) for i, a in enumerate(apart)
              for j in np.flatnonzero((a[:, 1:4].min(axis=1) <= 4) & (a[:, 4:].sum(axis=1) <= simhash.FAR)) if i < j]
     index = {int(r[0]): i for i, r in enumerate(profiles.view(np.int64))}
-    found = simhash.verified_links(frame, tree).collect()
+    assert [simhash.agreeing(n) for n in (0, 1000, 10**6, 10**10)] == [2, 2, 3, 7]
+    found = simhash.verified_links(frame, tree, 2 + tree % 3).collect()
     assert classes_of([(index[r["a"]], index[r["b"]]) for r in found], range(len(profiles))) == classes_of(close, range(len(profiles)))
 
 
