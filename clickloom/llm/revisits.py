@@ -49,7 +49,8 @@ def resolve(records: DataFrame) -> DataFrame:
     """One row per revisit of ``records(record_id, url, fetched, kind, headers, digest)``.
 
     Columns: record_id, canonical_url, outcome, target_id, digest and headers. Of the full responses (kind
-    "response") of the canonical URL that came earlier, or at the same time with a lesser record_id, the latest counts. Outcome is
+    "response") of the canonical URL that came earlier, or at the same time with a lesser record_id, the latest counts, of repeated ones that of the greater
+    digest. Outcome is
     ``resolved`` if the revisit's ETag (weak comparison), or without one its Last-Modified, equals that response's;
     ``unvalidated`` if the revisit names neither; ``mismatch`` if they differ; ``missing`` without an earlier response.
     Only a resolved revisit gets a target, its digest and the merged headers: the response's, updated by
@@ -58,15 +59,16 @@ def resolve(records: DataFrame) -> DataFrame:
     """
     rows = records.select("record_id", canonical(F.col("url")).alias("canonical_url"), "fetched", "kind",
                           _lower_keys(F.col("headers")).alias("headers"), "digest")
-    order = ["canonical_url", "fetched", "record_id", "kind"]
+    # A revisit stands before a response of its own record_id and time.
+    order = ["canonical_url", "fetched", "record_id", F.col("kind").desc_nulls_first(), "digest"]
     rows = settle(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "records")
     full = (F.col("kind") == "response") & F.col("fetched").isNotNull() & F.col("canonical_url").isNotNull()
     response = F.when(full, F.struct("record_id", "headers", "digest"))
-    time = [F.col("fetched").asc_nulls_last(), F.col("record_id"), F.col("kind")]
+    time = [F.col("fetched").asc_nulls_last(), *order[2:]]
     inside = Window.partitionBy("_range", "canonical_url").orderBy(*time).rowsBetween(Window.unboundedPreceding, -1)
     seen = rows.withColumn("_own", F.last(response, ignorenulls=True).over(inside)).filter("kind = 'revisit'")
     closing = rows.filter(full).groupBy("_range", "canonical_url").agg(
-        F.max_by(F.struct("record_id", "headers", "digest"), F.struct("fetched", "record_id")).alias("_closing"))
+        F.max_by(F.struct("record_id", "headers", "digest"), F.struct("fetched", "record_id", "digest")).alias("_closing"))
     # One row per range and URL, ranges without a response included where they hold revisits.
     spans = rows.groupBy("_range", "canonical_url").agg(F.count(F.lit(1)).alias("_n")).join(
         closing, ["_range", "canonical_url"], "left")
