@@ -58,7 +58,7 @@ def targets(sizes: DataFrame, total: float = TOTAL, most: float = MOST,
 
 
 def quotas(goals: DataFrame, shards: int = SHARDS, block: int = BLOCK) -> DataFrame:
-    """``(source, quota, shard_quotas)``: blocks per source, in all and by shard.
+    """``(source, quota, shard_quotas, shard_seats)``: blocks per source, in all, by shard and up to each shard.
 
     A divisor a little above and one a little below the average quotient bound every source's seats from both
     sides, as rounding moves the sum by at most half a seat per source. Only the quotients between the bounds
@@ -96,7 +96,9 @@ def quotas(goals: DataFrame, shards: int = SHARDS, block: int = BLOCK) -> DataFr
     return (won.withColumn("_own", F.col("_held") - earlier).groupBy("source")
             .agg(F.max("_held").alias("quota"),
                  F.transform(F.sort_array(F.collect_list(F.struct("shard", "_own"))),
-                             lambda s: s["_own"]).alias("shard_quotas")))
+                             lambda s: s["_own"]).alias("shard_quotas"),
+                 F.transform(F.sort_array(F.collect_list(F.struct("shard", "_held"))),
+                             lambda s: s["_held"]).alias("shard_seats")))
 
 
 def taken(digests: DataFrame, seed: int = SEED, block: int = BLOCK, shards: int = SHARDS,
@@ -104,17 +106,22 @@ def taken(digests: DataFrame, seed: int = SEED, block: int = BLOCK, shards: int
     """``digests(doc_id, source, size, text_hash, rows, ...)`` with source_size, target, start and taken.
 
     One row stands for ``rows`` equal documents, which follow each other in the source's seeded order; ``start`` is the
-    word at which the first of them begins and ``reach`` the words that the mix takes from the source. Documents are ordered in
-    bins of a hash range, so that a source with most of the rows is no single group.
+    word at which the first of them begins, ``reach`` the words that the mix takes from the source and ``shard_reach`` those
+    it has taken by the end of each shard. Documents are ordered in bins of a hash range, so that a source with most of the rows is no single group.
     """
     spread = digests.withColumn("_hash", F.xxhash64(F.lit(seed), "doc_id", "source", "text_hash", "size"))
     per_source = settle(spread.groupBy("source").agg(
         F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count(F.lit(1)).alias("rows")), "sources")
     goals = targets(per_source, **goal)
+    most = F.floor(F.col("source_size") * F.lit(MOST))
+
+    def reached(seats: Column) -> Column:
+        return F.least(seats * F.lit(block), most)
+
     given = goals.join(quotas(goals, shards, block).withColumnRenamed("source", "_s"),
                        F.col("source").eqNullSafe(F.col("_s"))).select(
         F.col("source").alias("_s"), "source_size", "target", "shard_quotas",
-        F.least(F.col("quota") * F.lit(block), F.floor(F.col("source_size") * F.lit(MOST))).alias("reach"),
+        F.transform("shard_seats", reached).alias("shard_reach"), reached(F.col("quota")).alias("reach"),
         F.ceil(F.col("rows") / F.lit(BIN_ROWS)).alias("_bins"))
     given = settle(given, "quotas")
     unit = F.pmod(F.col("_hash"), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -132,18 +139,25 @@ def taken(digests: DataFrame, seed: int = SEED, block: int = BLOCK, shards: int
                            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"))
     ordered = placed.withColumn("_in_bin", F.coalesce(F.sum("_words").over(order), F.lit(0)))
     return ordered.join(ahead, F.col("source").eqNullSafe(F.col("_bs")) & (F.col("_bin") == F.col("_bb"))).select(
-        *digests.columns, "source_size", "target", "shard_quotas", "reach",
+        *digests.columns, "source_size", "target", "shard_quotas", "shard_reach", "reach",
         (F.col("_ahead") + F.col("_in_bin")).alias("start"))
 
 
-def words_taken(start: Column) -> Column:
+def words_taken(start: Column, reach: Column | None = None) -> Column:
     """Words of one document from ``start`` that lie below ``reach``, each pass through the source counted."""
-    passes = F.when(F.col("source_size") > 0, F.floor(F.col("reach") / F.col("source_size"))).otherwise(0)
-    rest = F.col("reach") - passes * F.col("source_size")
+    reach = F.col("reach") if reach is None else reach
+    passes = F.when(F.col("source_size") > 0, F.floor(reach / F.col("source_size"))).otherwise(0)
+    rest = reach - passes * F.col("source_size")
     return (passes * F.col("size")
             + F.least(F.col("size"), F.greatest(F.lit(0), rest - start))).cast("long")
 
 
+def words_by_shard(start: Column) -> Column:
+    """Words of one document that each shard takes, as an array: a shard's blocks are the source's next ones."""
+    below = F.transform("shard_reach", lambda reach: words_taken(start, reach))
+    return F.transform(below, lambda words, i: words - F.when(i > 0, F.get(below, i - 1)).otherwise(0))
+
+
 def digests_of(docs: DataFrame) -> DataFrame:
     """Equal rows as one: their key, doc_id, source, size, text_hash and how many rows."""
     return docs.select(*row_key(docs), "doc_id", "source", word_count(F.col("text")).alias("size"),
@@ -152,8 +166,9 @@ def digests_of(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, **options: object) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target and taken.
+    """One row per document: doc_id, size, source_size, target, taken and shard_words, what each shard takes of it.
 
+    Each shard takes its quota of the source's blocks, whose order the seed decides, up to ``MOST`` times the source.
     Null texts and texts without words have size 0 and nothing is taken of them. A null source is a source, the
     last one. An empty table gives an empty one. Other columns are not looked at.
     """
@@ -161,7 +176,8 @@ def mix(docs: DataFrame, **options: object) -> DataFrame:
     each = taken(counted, **options).withColumn(
         "_copy", F.explode(F.sequence(F.lit(1), F.col("rows"))))
     start = F.col("start") + (F.col("_copy") - 1) * F.col("size")
-    return each.select("doc_id", "size", "source_size", "target", words_taken(start).alias("taken"))
+    return each.select("doc_id", "size", "source_size", "target", words_taken(start).alias("taken"),
+                       words_by_shard(start).alias("shard_words"))
 
 
 def mixed_documents(docs: DataFrame, **options: object) -> DataFrame:
