@@ -1,8 +1,8 @@
 """Two-pass external shuffle: scatter into memory-sized buckets, then Fisher-Yates in each bucket.
 
-Pass 1 writes all rows with a row number of their own, which seeded hashing scatters evenly over
-buckets however often a document is repeated. Pass 2 gathers one bucket at a time (its size is bounded by
-``bucket_bytes``), puts it into a fixed order and applies Spark's ``shuffle``, an inside-out
+Pass 1 writes all rows with a hash of the whole row, which scatters them evenly over buckets; equal rows are numbered
+first, so that a document repeated ever so often is spread as well. Pass 2 gathers one bucket at a time (its size is
+bounded by ``bucket_bytes``), puts it into a fixed order and applies Spark's ``shuffle``, an inside-out
 Fisher-Yates with a seeded generator. Rows are then dealt to the shards in turn.
 """
 
@@ -11,13 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import settle
+from clickloom.llm.common import KEY, row_key, settle
 
 SEED = 20_011
 #: Text bytes gathered into one bucket on average.
 BUCKET_BYTES = 16 << 20
 #: Buckets there are at least, so that small tables are spread as well.
 LEAST_BUCKETS = 64
+#: Text bytes that one task gathers, bucket by bucket, on average.
+PART_BYTES = 256 << 20
 
 
 def text_bytes(text: Column) -> Column:
@@ -25,33 +27,49 @@ def text_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Every row with ``_copy``, its number among the rows equal to it.
+
+    Only keys are shuffled to find repeats. These are kept once with their number, counted before the shuffle, and made
+    again from that, so no task holds the copies of a row.
+    """
+    repeated = settle(rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "repeats")
+    columns = [c for c in rows.columns if c not in KEY]
+    again = (rows.join(repeated, KEY, "left_semi").groupBy(*KEY).agg(F.first(F.struct(*columns)).alias("_doc"))
+             .join(repeated, KEY).select(*KEY, "_doc.*", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy")))
+    once = rows.join(repeated, KEY, "left_anti").withColumn("_copy", F.lit(1).cast("long"))
+    return once.unionByName(again)
+
+
 def external_shuffle(docs: DataFrame, size: str, shards: int, seed: int = SEED,
-                     bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+                     bucket_bytes: int = BUCKET_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
     """All rows and columns of ``docs`` with ``shard`` (int) and ``slot`` (long, gapless from 0).
 
     The law is "rows": shards hold equally many rows, or one more. ``size`` names a column with the row's
-    bytes (null counts as 0). Columns called shard or slot are replaced. An empty table stays empty; nulls and
-    repeated rows are rows like any other. The same rows in the same files get the same places.
+    bytes (null counts as 0). Columns called shard, slot, _copy,
+    _key1 or _key2 are replaced. An empty table stays empty; nulls and
+    repeated rows are rows like any other. The same rows get the same places, however they are split into files and
+    whatever the session's number of partitions.
     """
-    docs = docs.drop("shard", "slot")
-    rows = settle(docs.withColumn("_row", F.monotonically_increasing_id()), "scattered")
+    docs = docs.drop("shard", "slot", "_copy", *KEY)
+    rows = settle(docs.select("*", *row_key(docs)), "scattered")
     total = rows.agg(F.sum(size)).first()[0] or 0  # one number
     buckets = max(LEAST_BUCKETS, -(-total // bucket_bytes))
-    scattered = rows.withColumn(
-        "_bucket", F.pmod(F.xxhash64(F.lit(seed), "_row"), F.lit(buckets)).cast("int"))
+    scattered = _numbered(rows).withColumn(
+        "_bucket", F.pmod(F.xxhash64(F.lit(seed), *KEY, "_copy"), F.lit(buckets)).cast("int"))
     counts = scattered.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("_bucket", F.coalesce(before, F.lit(0)).alias("_offset"))
-    # A fixed number of partitions, sorted by bucket: the generator's state depends on nothing else.
-    parts = min(buckets, max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    # A number of partitions that follows from the rows, sorted by bucket: the generator's state depends on nothing else.
+    parts = max(LEAST_BUCKETS, -(-total // part_bytes))
     gathered = (scattered.repartition(parts, "_bucket").groupBy("_bucket")
-                .agg(F.sort_array(F.collect_list(F.struct("_row", *docs.columns))).alias("_rows"))
+                .agg(F.sort_array(F.collect_list(F.struct(*KEY, "_copy", *docs.columns))).alias("_rows"))
                 .sortWithinPartitions("_bucket"))
     shuffled = gathered.select("_bucket", F.posexplode(F.shuffle("_rows", seed)).alias("_at", "_it"))
     place = F.col("_offset") + F.col("_at")
     return shuffled.join(offsets, "_bucket").select(
         "_it.*", F.pmod(place, F.lit(shards)).cast("int").alias("shard"),
-        F.floor(place / F.lit(shards)).cast("long").alias("slot")).drop("_row")
+        F.floor(place / F.lit(shards)).cast("long").alias("slot")).drop(*KEY, "_copy")
 
 
 def write_shards(placed: DataFrame, path: str) -> None:

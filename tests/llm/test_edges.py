@@ -89,6 +89,24 @@ def test_shuffle_edges(odd, none):
     assert external_shuffle.external_shuffle(none, "n_chars", 8).count() == 0
 
 
+def test_places_are_free_of_settings(spark):
+    """Repeated rows take the same places too, whatever the partitions of the session and of the input."""
+    rows = spark.range(3000).select(F.when(F.col("id") < 1000, F.lit(-1)).otherwise(F.col("id")).alias("doc_id"),
+                                    F.lit(1 << 16).alias("size"))
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for partitions, splits in ((2, 1), (8, 5), (31, 16)):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            placed = external_shuffle.external_shuffle(rows.repartition(splits), "size", 8, part_bytes=1 << 20)
+            found.append(sorted(tuple(r) for r in placed.select("shard", "slot", "doc_id").collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(found[0]) == 3000 and found[0] == found[1] == found[2]
+    # The copies are spread like other rows.
+    copies = [slot for _, slot, doc_id in found[0] if doc_id == -1]
+    assert len(copies) == 1000 and abs(np.mean(copies) - 187) < 20
+
+
 def test_shards_are_written_in_order(spark, tmp_path):
     rows = spark.range(500).select(F.col("id").alias("doc_id"), F.lit(100).alias("size"))
     external_shuffle.write_shards(external_shuffle.external_shuffle(rows, "size", 4), str(tmp_path / "out"))
@@ -275,6 +293,18 @@ def test_revisit_edges(spark):
     assert revisits.resolve(records.limit(0)).count() == 0
 
 
+def test_revisit_ties(spark):
+    """A revisit does not take the response of its own record_id and time; of repeated responses the greater digest counts."""
+    schema = "record_id string, url string, fetched timestamp, kind string, headers map<string,string>, digest string"
+    rows = [("1", "http://a.org/", "response", "d1"), ("1", "http://a.org/", "revisit", None),
+            ("2", "http://b.org/", "response", "d1"), ("2", "http://b.org/", "response", "d2"),
+            ("3", "http://b.org/", "revisit", None)]
+    records = spark.createDataFrame([(i, u, None, k, {"etag": "e"}, d) for i, u, k, d in rows], schema).withColumn(
+        "fetched", F.timestamp_seconds(F.lit(9)))
+    got = {r["record_id"]: (r["outcome"], r["target_id"], r["digest"]) for r in revisits.resolve(records).collect()}
+    assert got == {"1": ("missing", None, None), "3": ("resolved", "2", "d2")}
+
+
 # Mixing
 
 def highest_quotients(target, seats):
@@ -297,6 +327,21 @@ def test_quotas_equal_highest_quotients(spark, seed):
     assert all(sum(r["shard_quotas"]) == r["quota"] and min(r["shard_quotas"]) >= 0 for r in rows)
 
 
+def test_shards_take_their_quotas(spark):
+    """Each shard takes its blocks of each source, to a block, and together they take what the mix takes."""
+    rng = random.Random(5)
+    rows = [(i, "w " * rng.randint(0, 60), "en", rng.choice("aaaab") if i % 9 else None) for i in range(900)]
+    mixed = mixing.mix(docs(spark, *rows)).collect()
+    assert all(sum(r["shard_words"]) == r["taken"] and min(r["shard_words"]) >= 0 for r in mixed)
+    own, by_doc = defaultdict(lambda: [0] * mixing.SHARDS), {i: s for i, _, _, s in rows}
+    for r in mixed:
+        own[by_doc[r["doc_id"]]] = [x + y for x, y in zip(own[by_doc[r["doc_id"]]], r["shard_words"])]
+    sizes = spark.createDataFrame([(s, sum(t.count("w") for _, t, _, o in rows if o == s), 1) for s in own],
+                                  "source string, source_size long, rows long")
+    wanted = {r["source"]: r["shard_quotas"] for r in mixing.quotas(mixing.targets(sizes)).collect()}
+    assert all(abs(x - q * mixing.BLOCK) <= mixing.BLOCK for s in own for x, q in zip(own[s], wanted[s]))
+
+
 def test_mixing_edges(spark, odd, none):
     rows = mixing.mix(odd).collect()
     assert len(rows) == 10 and all(0 <= r["taken"] <= 2 * r["size"] for r in rows)
