@@ -1,7 +1,8 @@
 """SimHash near-duplicates, found by Burkhard-Keller trees.
 
-Two fingerprints within ``RADIUS`` = 4 bits agree on at least two of six blocks of bits, so each pair of blocks
-and its value names a shard in which close fingerprints meet. Every shard gets a BK-tree: children are
+Two fingerprints within ``RADIUS`` = 4 bits agree on at least two of six blocks of bits, on three of seven and so on, so
+each choice of that many blocks and their values names a shard in which close fingerprints meet. The more fingerprints
+there are, the more blocks name a shard. Every shard gets a BK-tree: children are
 keyed by their integer Hamming distance to the parent, and a search follows only edges within the radius.
 Trees travel with the shard's fingerprints; there is one row per different fingerprint, however many copies it has.
 """
@@ -23,10 +24,10 @@ from clickloom.llm.components import components
 WORDS = 4
 RADIUS = 4
 SEED = 42
-#: Bits of the six blocks, lowest first; two of them are equal in any two fingerprints within 4 bits.
-BLOCKS = (11, 11, 11, 11, 10, 10)
 #: Fingerprints of a shard that are put into one tree; larger shards are cut and each two parts meet.
 TREE = 1024
+#: Unrelated fingerprints of one shard on average, at most.
+MEET = 16
 #: The same for items with sketches, some 2 MB; in groups of CROWD items and more, PIVOTS items are compared with all first.
 ITEMS = 1 << 15
 CROWD = 64
@@ -65,14 +66,22 @@ def with_fingerprints(docs: DataFrame) -> DataFrame:
     return per_text(docs, of, "bits long")
 
 
-def _shard_keys(bits: Column) -> Column:
-    parts, at = [], 0
-    for width in BLOCKS:
-        parts.append(F.shiftrightunsigned(bits, at).bitwiseAND(F.lit((1 << width) - 1)))
-        at += width
-    pairs = [(i, j) for i in range(len(BLOCKS)) for j in range(i)]
-    return F.array(*[F.shiftleft(parts[i], 11).bitwiseOR(parts[j]) + F.lit(n << 22)
-                     for n, (i, j) in enumerate(pairs)])
+def agreeing(items: int, values: float = 64) -> int:
+    """How many blocks a shard's fingerprints agree in, so that there are ``values`` times as many values as items."""
+    wanted = 2
+    while wanted < 8 and 64 * wanted // (RADIUS + wanted) < int(values * max(items, 1)).bit_length():
+        wanted += 1
+    return wanted
+
+
+def _wide_keys(bits: Column, wanted: int) -> Column:
+    """A hash for each choice of ``wanted`` blocks out of RADIUS more and of what these hold: two fingerprints within
+    the radius share at least one, whatever ``wanted`` is."""
+    count = RADIUS + wanted
+    edges = [64 * i // count for i in range(count + 1)]
+    parts = [F.shiftrightunsigned(bits, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:], strict=False)]
+    return F.array(*[F.xxhash64(F.lit(n), *[parts[i] for i in chosen])
+                     for n, chosen in enumerate(combinations(range(count), wanted))])
 
 
 def local_roots(size: int, a: np.ndarray, b: np.ndarray, root: np.ndarray | None = None) -> np.ndarray:
@@ -230,12 +239,14 @@ def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str], rows: int) ->
         yield pd.concat(held, ignore_index=True)
 
 
-def links(bits: DataFrame, tree: int = TREE) -> DataFrame:
+def links(bits: DataFrame, tree: int = TREE, wanted: int | None = None) -> DataFrame:
     """Links ``(a, b)`` that connect exactly the different fingerprints ``bits`` within the radius of each other.
 
+    Unrelated fingerprints of a shard are ``MEET`` on average at most, up to 8 agreeing blocks of twelve (42 bits).
     Not every close pair is a row: in a shard each linked fingerprint is tied to the least one it reaches there.
     """
-    keyed = bits.select("bits", F.explode(_shard_keys(F.col("bits"))).alias("key"))
+    wanted = wanted or agreeing(bits.count(), 1 / MEET)
+    keyed = bits.select("bits", F.explode(_wide_keys(F.col("bits"), wanted)).alias("key"))
     groups = split_hot(keyed, ["key"], "bits", tree)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -330,24 +341,6 @@ def with_profiles(docs: DataFrame) -> DataFrame:
     return per_text(docs, of, ", ".join(f"{n} long" for n in names))
 
 
-def agreeing(items: int) -> int:
-    """How many blocks a shard's fingerprints agree in, so that there are 64 times as many values as items."""
-    wanted = 2
-    while wanted < 8 and 64 * wanted // (RADIUS + wanted) < (64 * max(items, 1)).bit_length():
-        wanted += 1
-    return wanted
-
-
-def _wide_keys(bits: Column, wanted: int) -> Column:
-    """A hash for each choice of ``wanted`` blocks out of RADIUS more and of what these hold: two fingerprints within
-    the radius share at least one, whatever ``wanted`` is."""
-    count = RADIUS + wanted
-    edges = [64 * i // count for i in range(count + 1)]
-    parts = [F.shiftrightunsigned(bits, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:], strict=False)]
-    return F.array(*[F.xxhash64(F.lit(n), *[parts[i] for i in chosen])
-                     for n, chosen in enumerate(combinations(range(count), wanted))])
-
-
 def verified_links(items: DataFrame, tree: int = ITEMS, wanted: int | None = None) -> DataFrame:
     """Links ``(a, b)`` between items of which a fingerprint is within RADIUS and whose sketches say 0.7 or more.
 

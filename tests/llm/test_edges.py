@@ -461,8 +461,8 @@ def test_components(spark):
     assert components.components(links.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("tree", [1024, 16])
-def test_trees_equal_all_pairs(spark, tree):
+@pytest.mark.parametrize(("tree", "wanted"), [(1024, None), (16, None), (1024, 3), (100, 5)])
+def test_trees_equal_all_pairs(spark, tree, wanted):
     rng = np.random.default_rng(tree)
     near = rng.integers(0, 2**63, dtype=np.uint64)
     bits = {int(b) for b in rng.integers(0, 2**63, 200, dtype=np.uint64)} | {0, 1, 2**64 - 1}
@@ -471,12 +471,20 @@ def test_trees_equal_all_pairs(spark, tree):
         bits.add(int(near) ^ sum(1 << int(f) for f in flips))
     items = np.array(sorted(bits), np.uint64)
     frame = spark.createDataFrame([(int(b),) for b in items.view(np.int64)], "bits long")
-    found = simhash.links(frame, tree).collect()
+    found = simhash.links(frame, tree, wanted).collect()
     close = [(i, j) for i in range(len(items)) for j in np.flatnonzero(np.bitwise_count(items[i] ^ items) <= 4) if i < j]
     index = {int(b): i for i, b in enumerate(items.view(np.int64))}
     assert classes_of([(index[r["a"]], index[r["b"]]) for r in found], range(len(items))) == classes_of(close, range(len(items)))
 
 
+def test_shards_follow_the_number_of_fingerprints():
+    """At most 16 unrelated ones meet, from a thousand to 10^12 of them; so many fit 8 blocks of twelve."""
+    for count in (1, 10**3, 10**6, 10**8, 10**10, 10**12):
+        wanted = simhash.agreeing(count, 1 / simhash.MEET)
+        assert count / 2 ** (64 * wanted // (4 + wanted)) <= simhash.MEET
+    assert simhash.agreeing(10**6, 1 / simhash.MEET) == 2
+
+
 def test_groups_meet_once(spark):
     keyed = spark.range(300).select((F.col("id") % 2).alias("k"), F.col("id").alias("item"))
     groups = split_hot(keyed.filter("k = 0 or item = 1"), ["k"], "item", 20).collect()
