@@ -1,8 +1,8 @@
 """Two-pass external shuffle: scatter into memory-sized buckets, then Fisher-Yates in each bucket.
 
-Pass 1 writes all rows with a hash of the whole row, which scatters them evenly over buckets; equal rows are numbered
-first, so that a document repeated ever so often is spread as well. Pass 2 gathers one bucket at a time (its size is
-bounded by ``bucket_bytes``), puts it into a fixed order and applies Spark's ``shuffle``, an inside-out
+Pass 1 folds equal rows, found by a hash of the whole row, and scatters them by a seeded hash of that and of their
+number among the equal ones, which spreads a document however often it is repeated. Pass 2 gathers one bucket at a time
+(its size is bounded by ``bucket_bytes``), puts it into a fixed order and applies Spark's ``shuffle``, an inside-out
 Fisher-Yates with a seeded generator. Rows are then dealt to the shards in turn.
 """
 
@@ -20,6 +20,10 @@ BUCKET_BYTES = 16 << 20
 LEAST_BUCKETS = 64
 #: Text bytes that one task gathers, bucket by bucket, on average.
 PART_BYTES = 256 << 20
+#: Copies of one row that one task makes.
+AT_ONCE = 4096
+#: Buckets whose offsets (16 bytes each) are broadcast; more are joined as Spark chooses.
+MOST_OFFSETS = 1 << 18
 
 
 def text_bytes(text: Column) -> Column:
@@ -27,18 +31,16 @@ def text_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """Every row with ``_copy``, its number among the rows equal to it.
-
-    Only keys are shuffled to find repeats. These are kept once with their number, counted before the shuffle, and made
-    again from that, so no task holds the copies of a row.
-    """
-    repeated = settle(rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "repeats")
-    columns = [c for c in rows.columns if c not in KEY]
-    again = (rows.join(repeated, KEY, "left_semi").groupBy(*KEY).agg(F.first(F.struct(*columns)).alias("_doc"))
-             .join(repeated, KEY).select(*KEY, "_doc.*", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy")))
-    once = rows.join(repeated, KEY, "left_anti").withColumn("_copy", F.lit(1).cast("long"))
-    return once.unionByName(again)
+def _copies(folded: DataFrame) -> DataFrame:
+    """Each row as often as ``_n`` says, numbered by ``_copy``. Those of a row repeated more than ``AT_ONCE`` times are
+    made in several tasks."""
+    first = F.col("_turn") * AT_ONCE + 1
+    many = (folded.filter(F.col("_n") > AT_ONCE)
+            .withColumn("_turn", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / AT_ONCE))))
+            .repartition(*KEY, "_turn")
+            .withColumn("_copy", F.explode(F.sequence(first, F.least(F.col("_n"), first + AT_ONCE - 1)))).drop("_turn"))
+    few = folded.filter(F.col("_n") <= AT_ONCE).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_n")))
+    return few.unionByName(many)
 
 
 def external_shuffle(docs: DataFrame, size: str, shards: int, seed: int = SEED,
@@ -46,30 +48,32 @@ def external_shuffle(docs: DataFrame, size: str, shards: int, seed: int = SEED,
     """All rows and columns of ``docs`` with ``shard`` (int) and ``slot`` (long, gapless from 0).
 
     The law is "rows": shards hold equally many rows, or one more. ``size`` names a column with the row's
-    bytes (null counts as 0). Columns called shard, slot, _copy,
-    _key1 or _key2 are replaced. An empty table stays empty; nulls and
-    repeated rows are rows like any other. The same rows get the same places, however they are split into files and
-    whatever the session's number of partitions.
+    bytes (null counts as 0). Columns called shard or slot are replaced. An
+    empty table stays empty; nulls and repeated rows are rows like any other. The same rows get the same places, however they
+    are split into files and whatever the session's number of partitions.
     """
-    docs = docs.drop("shard", "slot", "_copy", *KEY)
-    rows = settle(docs.select("*", *row_key(docs)), "scattered")
-    total = rows.agg(F.sum(size)).first()[0] or 0  # one number
+    docs = docs.drop("shard", "slot")
+    number = F.count(F.lit(1)).alias("_n")
+    known = settle(docs.select(*row_key(docs), F.col(size).cast("long").alias("_size")).groupBy(*KEY).agg(
+        number, F.first("_size").alias("_size")), "keys")
+    total = known.agg(F.sum(F.col("_n") * F.col("_size"))).first()[0] or 0  # one number
     buckets = max(LEAST_BUCKETS, -(-total // bucket_bytes))
-    scattered = _numbered(rows).withColumn(
-        "_bucket", F.pmod(F.xxhash64(F.lit(seed), *KEY, "_copy"), F.lit(buckets)).cast("int"))
-    counts = scattered.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    bucket = F.pmod(F.xxhash64(F.lit(seed), *KEY, "_copy"), F.lit(buckets)).cast("int").alias("_bucket")
+    folded = docs.select(*row_key(docs), F.struct("*").alias("_doc")).groupBy(*KEY).agg(number, F.first("_doc").alias("_doc"))
+    row = F.struct(*KEY, "_copy", "_doc")
+    counts = _copies(known).groupBy(bucket).agg(number)
     before = F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("_bucket", F.coalesce(before, F.lit(0)).alias("_offset"))
     # A number of partitions that follows from the rows, sorted by bucket: the generator's state depends on nothing else.
     parts = max(LEAST_BUCKETS, -(-total // part_bytes))
-    gathered = (scattered.repartition(parts, "_bucket").groupBy("_bucket")
-                .agg(F.sort_array(F.collect_list(F.struct(*KEY, "_copy", *docs.columns))).alias("_rows"))
+    gathered = (_copies(folded).select(bucket, row.alias("_row")).repartition(parts, "_bucket").groupBy("_bucket")
+                .agg(F.sort_array(F.collect_list("_row")).alias("_rows"))
                 .sortWithinPartitions("_bucket"))
     shuffled = gathered.select("_bucket", F.posexplode(F.shuffle("_rows", seed)).alias("_at", "_it"))
     place = F.col("_offset") + F.col("_at")
-    return shuffled.join(offsets, "_bucket").select(
-        "_it.*", F.pmod(place, F.lit(shards)).cast("int").alias("shard"),
-        F.floor(place / F.lit(shards)).cast("long").alias("slot")).drop(*KEY, "_copy")
+    return shuffled.join(F.broadcast(offsets) if buckets <= MOST_OFFSETS else offsets, "_bucket").select(
+        "_it._doc.*", F.pmod(place, F.lit(shards)).cast("int").alias("shard"),
+        F.floor(place / F.lit(shards)).cast("long").alias("slot"))
 
 
 def write_shards(placed: DataFrame, path: str) -> None:

@@ -89,14 +89,16 @@ def test_shuffle_edges(odd, none):
     assert external_shuffle.external_shuffle(none, "n_chars", 8).count() == 0
 
 
-def test_places_are_free_of_settings(spark):
-    """Repeated rows take the same places too, whatever the partitions of the session and of the input."""
+def test_places_are_free_of_settings(spark, monkeypatch):
+    """Repeated rows take the same places too, whatever the partitions of the session and of the input, and
+    however many copies one task makes."""
     rows = spark.range(3000).select(F.when(F.col("id") < 1000, F.lit(-1)).otherwise(F.col("id")).alias("doc_id"),
                                     F.lit(1 << 16).alias("size"))
     before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
     try:
         for partitions, splits in ((2, 1), (8, 5), (31, 16)):
             spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            monkeypatch.setattr(external_shuffle, "AT_ONCE", 4096 // partitions)
             placed = external_shuffle.external_shuffle(rows.repartition(splits), "size", 8, part_bytes=1 << 20)
             found.append(sorted(tuple(r) for r in placed.select("shard", "slot", "doc_id").collect()))
     finally:
