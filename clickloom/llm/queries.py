@@ -87,7 +87,8 @@ def op5_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sainte_lague(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.withColumn("shard_words", F.array_join(F.col("shard_words").cast("array<string>"), ","))
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
