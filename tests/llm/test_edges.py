@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -232,6 +233,48 @@ def test_articles_have_a_template_too(spark):
     assert [got[10 + i] for i in range(6)] == ["\n".join([own(i)] * (1 + i % 2)) for i in range(6)]
 
 
+def test_classes_on_a_part_of_the_pages(spark):
+    """Notices and adverts that take turns go; a passage of several hosts, short headings and near copies stay."""
+    def own(i):
+        return "<p>" + "</p><p>".join(f"page {i} says in part {j} what no other page would ever say" for j in range(4)) + "</p>"
+
+    def rows(start, host, extra, n=12):
+        return [(start + i, f"http://{host}/{i}", page(f"<article>{own(i)}{extra(i)}</article>")) for i in range(n)]
+
+    turns = rows(0, "a.org", lambda i: ("<p>We have new opening times</p>", "<p>Buy two and pay for one</p>", "")[i % 3])
+    passage = "<p>A passage that is quoted on two hosts</p>"
+    quoted = [r for k, h in ((20, "b.org"), (40, "c.org")) for r in rows(k, h, lambda i: passage if i % 2 else "")]
+    heads = rows(60, "d.org", lambda i: "<h2>Conclusion</h2>" if i % 2 else f"<h2>Part {i}</h2>")
+    copied = rows(80, "e.org", lambda i: f"<p>{'a long copied text ' * 40}</p>" if i % 2 else "")
+    rare = rows(100, "f.org", lambda i: "<p>Said on a few pages only</p>" if i % 6 == 0 else "", 30)
+    got = main_texts(spark, turns + quoted + heads + copied + rare)
+    plain = {r[0]: r[2].split("<article>")[1].split("</article>")[0] for r in turns + quoted + heads + copied + rare}
+    blocks = {i: [t for t in re.split("</?(?:p|h2)>", s) if t] for i, s in plain.items()}
+    for i, text in got.items():
+        kept = blocks[i][:4] if i < 20 else blocks[i]
+        assert text == "\n".join(" ".join(b.split()) for b in kept), i
+
+
+def test_equal_elements_have_places(spark):
+    """Unnamed comments beside the article, and a host of three pages; not where the number of elements changes."""
+    def own(i):
+        return f"<p>Page {i} says a good deal.</p><p>More of it, {i} times, in quite a few words of its own.</p>"
+
+    def text(i):
+        return f"Page {i} says a good deal.\nMore of it, {i} times, in quite a few words of its own."
+
+    replies = [(i, f"http://a.org/{i}", page(f"<div id='x'><div>{own(i)}</div><div><p>Nice {i * 7}!</p></div></div>")) for i in range(6)]
+    small = [(10 + i, f"http://b.org/{i}", page(f"<div>Home About Contact</div><div>{own(i)}</div><div>Copyright</div>"))
+             for i in range(3)]
+    parts = [(20 + i, f"http://c.org/{i}", page(f"<div id='x'><div>{own(i)}</div>{f'<div>And {i}.</div>' * (1 + i % 2)}</div>"))
+             for i in range(6)]
+    lone = [(30, "http://d.org/", page(f"<div>{own(3)}</div><div>Next.</div>"))]
+    got = main_texts(spark, replies + small + parts + lone)
+    assert all(got[r[0]] == text(r[0] % 10) for r in replies + small)
+    assert all(got[20 + i] == "\n".join([text(i), *[f"And {i}."] * (1 + i % 2)]) for i in range(6))
+    assert got[30] == text(3) + "\nNext."
+
+
 def test_names_alone_do_not_drop_the_article(spark):
     story = "<p>The story has a number of words.</p>"
     kept = [f"<div class='content has-sidebar'><div class='sidebar'>links</div><article>{story}</article></div>",
