@@ -3,7 +3,8 @@
 The rows are laid out in ranges of carts and times of about equal size (``operators.scans``), and within a range the
 replay is a handful of windows. A cart that spans several ranges starts each of them with opening rows that say
 what it held by then; those come from a first pass over such carts' rows that leaves one row per cart, range and
-product. Worth is counted in decimals, so no result depends on where a range ends.
+product. Worth is counted in decimals, so no result depends on where a range ends. Where the rows are on disk already
+(``carried_replay``), only busy carts are laid out; the others are one range each as they are.
 """
 
 from __future__ import annotations
@@ -34,6 +35,9 @@ CART_EVENTS = ("add_to_cart", "update_cart", "remove_from_cart", "begin_checkout
 
 GROUP = ["cart_id", CHUNK]
 
+#: A cart of more rows than this is busy.
+BUSY = 100_000
+
 
 def cart_replay(events: DataFrame, order: list[str] | None = None,
                 ranges: int | None = None) -> DataFrame:
@@ -60,19 +64,37 @@ def carried_replay(events: DataFrame, held: DataFrame, order: list[str] | None =
     """``cart_replay`` of carts that held something before, and what these carts hold afterwards.
 
     Both contents are ``cart_id, product_id, quantity, worth``. A cart of ``events`` that ends empty has one row
-    without a product; carts without events are left out.
+    without a product; carts without events are left out. With an ``order``, which must be complete, the totals are
+    settled and the contents are read off them; the default order may leave ties.
+    The totals have ``__tail`` besides, true for the last event of a cart and for the last of each range of a busy one.
     """
+    complete = order is not None
     order = ["__later", *(order or default_order(events))]
     fresh = settle(_cart_rows(events).withColumn("__later", F.lit(True)), "cart_rows")
     touched = fresh.select("cart_id").distinct()
-    opening = held.filter(F.col("product_id").isNotNull()).join(touched, "cart_id", "left_semi").select(
+    opening = settle(held.filter(F.col("product_id").isNotNull()).join(touched, "cart_id", "left_semi").select(
         "cart_id", F.col("product_id").alias("__product"), F.col("quantity").alias("__own"),
         F.col("worth").cast(MONEY).alias("__worth"), F.lit(0).alias("__reset"), F.lit(0).alias("__bought"),
-        F.lit(False).alias("__later"))
+        F.lit(False).alias("__later")), "held")
     rows = fresh.unionByName(opening, allowMissingColumns=True)
-    totals = _replayed(rows, order, ranges).filter("__later").select(
-        *events.columns, "replayed_qty", "replayed_value")
-    return totals, touched.join(_contents(rows, order), "cart_id", "left")
+    found = _replayed(rows, order, ranges) if ranges else _replayed_apart(rows, order)
+    shown = [*events.columns, "replayed_qty", "replayed_value", "__tail"]
+    if not complete:
+        return found.filter("__later").select(*shown), touched.join(_contents(rows, order), "cart_id", "left")
+    held_at_end = [F.when(F.col("__end"), F.col(c)).alias(c) for c in ("__product", "__q", "__w")]
+    found = settle(found.filter("__later or __tail or __end").select(
+        *shown, *held_at_end, "__end", "__later", "__purchases", CHUNK), "totals")
+    return found.filter("__later").select(*shown), _contents_at_end(found)
+
+
+def _contents_at_end(found: DataFrame) -> DataFrame:
+    """What each cart holds at the end, from its replayed rows: of each product the last row in the last range that has one, if
+    no range after it empties the cart."""
+    carts = found.filter("__tail").groupBy("cart_id").agg(F.max(F.when(F.col("__purchases") > 0, F.col(CHUNK))).alias("__emptied"))
+    products = found.filter("__end").join(carts, "cart_id").filter(F.col("__emptied").isNull() | (F.col(CHUNK) >= F.col("__emptied")))
+    last = products.groupBy("cart_id", F.col("__product").alias("product_id")).agg(
+        F.max_by("__q", CHUNK).alias("quantity"), F.max_by("__w", CHUNK).alias("worth"))
+    return carts.select("cart_id").join(last.filter("quantity != 0 or worth != 0"), "cart_id", "left")
 
 
 def _contents(rows: DataFrame, order: list[str]) -> DataFrame:
@@ -99,15 +121,36 @@ def _replayed(rows: DataFrame, order: list[str], ranges: int | None) -> DataFram
     openings = _openings(narrow, order).withColumn("__opening", F.lit(True))
     opened = rows.withColumn("__opening", F.lit(False)).unionByName(openings, allowMissingColumns=True)
     # Opening rows come first.
-    replay_order = [F.desc("__opening"), *order]
+    return _scanned(opened, [F.desc("__opening"), *order]).filter(~F.col("__opening")).drop("__opening")
+
+
+def _replayed_apart(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``_replayed`` of rows that are cheap to read again: only busy carts are laid out."""
+    busy = settle(rows.groupBy("cart_id").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > BUSY).select("cart_id"), "busy")
+    if busy.isEmpty():
+        return _scanned(rows.withColumn(CHUNK, F.lit(0)), order)
+    others = _scanned(rows.join(busy, "cart_id", "left_anti").withColumn(CHUNK, F.lit(0)), order)
+    return others.unionByName(_replayed(rows.join(busy, "cart_id", "left_semi"), order, None))
+
+
+def _scanned(opened: DataFrame, order: list) -> DataFrame:
+    """Rows with their totals, range by range. ``__tail`` marks the last row of a range, ``__end`` the last of a product that
+    the range does not empty the cart after; ``__purchases`` are those in the range."""
+    piece = Window.partitionBy(*GROUP).orderBy(*order)
+    whole = piece.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    product = Window.partitionBy(*GROUP, "__epoch", "__product").orderBy(*order)
     so_far = (
-        Window.partitionBy(*GROUP, "__epoch").orderBy(*replay_order)
+        Window.partitionBy(*GROUP, "__epoch").orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    totals = _changes(opened, replay_order).withColumns({
+    marked = opened.withColumns({
+        "__tail": F.lead(F.lit(1)).over(piece).isNull(), "__purchases": F.sum("__bought").over(whole)})
+    last = F.lead(F.lit(1)).over(product).isNull()
+    ends = _changes(marked, order).withColumn(
+        "__end", F.col("__product").isNotNull() & (F.col("__epoch") == F.col("__purchases")) & last)
+    totals = ends.withColumns({
         "replayed_qty": F.sum("__dq").over(so_far), "__value": F.sum("__dw").over(so_far)})
-    value = F.bround("__value", 2).cast("double")
-    return totals.filter(~F.col("__opening")).withColumn("replayed_value", value)
+    return totals.withColumn("replayed_value", F.bround("__value", 2).cast("double"))
 
 
 def _cart_rows(events: DataFrame) -> DataFrame:
@@ -127,8 +170,8 @@ def _cart_rows(events: DataFrame) -> DataFrame:
 
 def _changes(rows: DataFrame, order: list) -> DataFrame:
     """Per row and group: ``__epoch``, the purchases before it, and its change of the cart's
-    quantity and worth. A product's rows between two resets form a segment, over which its
-    holdings add up."""
+    quantity and worth. A product's holdings add up from its last reset on: they are its sum so far, less
+    what that was before the reset, so that both come out of one sort."""
     def window(*keys: str):
         return Window.partitionBy(*GROUP, *keys).orderBy(*order)
 
@@ -136,7 +179,10 @@ def _changes(rows: DataFrame, order: list) -> DataFrame:
         return spec.rowsBetween(Window.unboundedPreceding, end)
 
     product = window("__epoch", "__product")
-    segment = up_to(window("__epoch", "__product", "__segment"), 0)
+
+    def since_reset(total: str, own: str) -> Column:
+        before = F.last(F.when(F.col("__reset") == 1, F.col(total) - F.col(own)), True).over(up_to(product, 0))
+        return F.col(total) - F.coalesce(before, F.lit(0))
 
     def change(held: str) -> Column:
         return (F.col(held) - F.coalesce(F.lag(held).over(product), F.lit(0))).cast(
@@ -144,8 +190,8 @@ def _changes(rows: DataFrame, order: list) -> DataFrame:
 
     return (
         rows.withColumn("__epoch", F.coalesce(F.sum("__bought").over(up_to(window(), -1)), F.lit(0)))
-        .withColumn("__segment", F.sum("__reset").over(up_to(product, 0)))
-        .withColumns({"__q": F.sum("__own").over(segment), "__w": F.sum("__worth").over(segment)})
+        .withColumns({"__sq": F.sum("__own").over(up_to(product, 0)), "__sw": F.sum("__worth").over(up_to(product, 0))})
+        .withColumns({"__q": since_reset("__sq", "__own"), "__w": since_reset("__sw", "__worth").cast(MONEY)})
         .withColumns({"__dq": change("__q"), "__dw": change("__w")})
     )
 

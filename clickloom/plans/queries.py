@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickloom.files import numbered_folders
+from clickloom.files import exists, numbered_folders
 from clickloom.functions import scalars
 from clickloom.functions.dimensions import DIMENSIONS
 from clickloom.functions.timerange import day_range, iso_range
@@ -253,10 +253,12 @@ def _time_part(rows: DataFrame, parts: int = 3) -> Column:
 
 
 def _in_parts(spark: SparkSession, rows: DataFrame, part: Column, run: Callable[[DataFrame], StreamingQuery], parts: int) -> None:
-    """Runs a stream to its end after the arrival of each part."""
-    inbox = run_dir(spark, "inbox")
+    """Runs a stream to its end after the arrival of each part. The table is read once, whatever the number of parts."""
+    inbox, staged = run_dir(spark, "inbox"), run_dir(spark, "parts")
+    rows.withColumn("_part", part.cast("int")).write.partitionBy("_part").parquet(staged)
     for n in range(parts):
-        rows.filter(part == n).write.mode("append").parquet(inbox)
+        arrival = f"{staged}/_part={n}"
+        (spark.read.schema(rows.schema).parquet(arrival) if exists(spark, arrival) else rows.limit(0)).write.mode("append").parquet(inbox)
         run(spark.readStream.schema(rows.schema).parquet(inbox)).awaitTermination()
 
 

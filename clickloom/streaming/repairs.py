@@ -85,11 +85,21 @@ def read_versions(spark: SparkSession, path: str, before: int, buckets: list[int
     return _stored(spark, path, "contents", "base", VERSIONS, before, buckets).drop("batch_id", "bucket")
 
 
+def _issued_last(rows: DataFrame) -> DataFrame:
+    """Of each event the row of the newest batch."""
+    newest = F.max("batch_id").over(Window.partitionBy("arrived", "row"))
+    return rows.withColumn("_newest", newest).filter(F.col("batch_id") == F.col("_newest")).select(*_names(LOG))
+
+
 def read_log(spark: SparkSession, path: str, before: int, buckets: list[int] | None = None) -> DataFrame:
     """Logged events with their totals as issued last."""
     rows = _stored(spark, path, "log", "log_base", LOG, before, buckets)
-    newest = rows.groupBy("arrived", "row").agg(F.max_by(F.struct(*_names(LOG)), "batch_id").alias("_row"))
-    return newest.select("_row.*")
+    base = newest_finished(spark, f"{path}/base", before)
+    later = [n for n in numbered_folders(spark, f"{path}/log", "batch_id") if (-1 if base is None else base) < n < before]
+    # A base has each event once, and so has a batch.
+    if len(later) + (base is not None) < 2:
+        return rows.select(*_names(LOG))
+    return _issued_last(rows)
 
 
 def horizon(spark: SparkSession, path: str, before: int) -> Column:
@@ -143,13 +153,12 @@ def _repair(spark: SparkSession, path: str, arrived: DataFrame, batch_id: int, b
     start = settle(_newest(valid_versions(versions).join(since, "cart_id").filter(F.col("upto") < F.col("_since"))), "start")
     held = versions.join(start.select("cart_id", "version"), ["cart_id", "version"]).select(
         "cart_id", "product_id", "quantity", "worth")
-    old = read_log(spark, path, batch_id, read).join(since.select("cart_id"), "cart_id", "left_semi").join(
-        start.select("cart_id", "upto"), "cart_id", "left").filter(F.col("upto").isNull() | (_at() > F.col("upto")))
+    back_to = since.select("cart_id").join(start.select("cart_id", "upto"), "cart_id", "left")
+    old = read_log(spark, path, batch_id, read).join(back_to, "cart_id").filter(F.col("upto").isNull() | (_at() > F.col("upto")))
     events = fresh.select("*", F.lit(None).cast("bigint").alias("_qty"), F.lit(None).cast("double").alias("_value")).unionByName(
         old.select(*_names(EVENT), F.col("replayed_qty").alias("_qty"), F.col("replayed_value").alias("_value")))
 
     totals, after = carried_replay(events, held, ORDER)
-    totals = settle(totals, "totals")
     changed = totals.filter((F.col("arrived") == batch_id) | ~F.col("_qty").eqNullSafe(F.col("replayed_qty"))
                             | ~F.col("_value").eqNullSafe(F.col("replayed_value")))
     write_buckets(changed.select(*_names(LOG)), "cart_id", f"{path}/log/batch_id={batch_id}", buckets)
@@ -157,7 +166,7 @@ def _repair(spark: SparkSession, path: str, arrived: DataFrame, batch_id: int, b
         *_names(EVENT), F.col("_qty").alias("replayed_qty"), F.col("_value").alias("replayed_value"), F.lit("retracted").alias("change"))
     changed.select(*_names(LOG), F.lit("issued").alias("change")).unionByName(retracted).write.mode("overwrite").parquet(
         f"{path}/totals/batch_id={batch_id}")
-    reach = totals.groupBy("cart_id").agg(F.max(_at()).alias("upto")).join(since, "cart_id")
+    reach = totals.filter("__tail").groupBy("cart_id").agg(F.max(_at()).alias("upto")).join(since, "cart_id")
     write_buckets(after.join(reach, "cart_id").select(
         "cart_id", F.lit(batch_id).cast("bigint").alias("version"), "product_id", "quantity", "worth", "upto",
         F.col("_since").alias("since")), "cart_id", f"{path}/contents/batch_id={batch_id}", buckets)
@@ -171,8 +180,9 @@ def _compact(spark: SparkSession, path: str, batch_id: int, late: timedelta, buc
     """
     earlier = newest_finished(spark, f"{path}/base", batch_id)
     versions, log = read_versions(spark, path, batch_id + 1), read_log(spark, path, batch_id + 1)
+    times = _stored(spark, path, "log", "log_base", LOG, batch_id + 1, None)
     newest = F.max("event_time") - F.expr(f"INTERVAL {int(late.total_seconds())} SECONDS")
-    log.agg(newest.alias("horizon")).select(F.greatest("horizon", horizon(spark, path, batch_id)).alias("horizon")).write.mode(
+    times.agg(newest.alias("horizon")).select(F.greatest("horizon", horizon(spark, path, batch_id)).alias("horizon")).write.mode(
         "overwrite").parquet(f"{path}/horizon/batch_id={batch_id}")
     limit = spark.read.schema("horizon TIMESTAMP").parquet(f"{path}/horizon/batch_id={batch_id}").agg(F.max("horizon").alias("h")).scalar()
 
@@ -199,8 +209,7 @@ def read_corrections(spark: SparkSession, path: str) -> DataFrame:
 
 def read_repaired(spark: SparkSession, path: str) -> DataFrame:
     """The totals as they stand: of each event those issued last."""
-    issued = read_corrections(spark, path).filter("change = 'issued'")
-    return issued.groupBy("arrived", "row").agg(F.max_by(F.struct(*_names(LOG)), "batch_id").alias("_row")).select("_row.*")
+    return _issued_last(read_corrections(spark, path).filter("change = 'issued'"))
 
 
 def read_too_late(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,8 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from clickloom.operators import carts
+from clickloom.operators import carts, scans
+from clickloom.plans import queries
 from clickloom.session import shared_dir
 from clickloom.streaming import carts as streaming_carts
 from clickloom.streaming import repairs
@@ -129,3 +130,60 @@ def test_a_batch_reads_only_its_buckets(spark, tmp_path):
 def test_replay_is_the_batch_operator(spark):
     rows = history(50, seed=2)
     assert totals(carts.cart_replay(spark.createDataFrame(rows, SCHEMA)).collect()) == in_order(rows)
+
+
+def test_busy_carts_end_as_the_others(spark, monkeypatch):
+    rows, order = sorted(history(600, seed=31), key=lambda e: (e[2], e[3])), ["event_time", "event_id"]
+    early, late = (spark.createDataFrame(part, SCHEMA) for part in (rows[:200], rows[200:]))
+    held = carts.carried_replay(early, spark.createDataFrame([], streaming_carts.CONTENTS), order)[1]
+    monkeypatch.setattr(carts, "BUSY", 70)
+    monkeypatch.setattr(carts, "laid_out", lambda df, key, by, ranges: scans.laid_out(df, key, by, 7))
+    found, after = carts.carried_replay(late, held, order)
+    # The contents as aggregated from the rows.
+    plain = carts.carried_replay(late, held)[1]
+    contents = sorted(map(tuple, after.collect()), key=str)
+    assert contents == sorted(map(tuple, plain.collect()), key=str) and len(contents) > 3
+    got, expected = found.collect(), in_order(rows)
+    assert totals(got) == {r[3]: expected[r[3]] for r in rows[200:] if r[3] in expected}
+    per_cart = {c: sorted((r for r in got if r.cart_id == c), key=lambda r: (r.event_time, r.event_id)) for c in {r.cart_id for r in got}}
+    assert all(mine[-1]["__tail"] for mine in per_cart.values())
+    cut = {sum(r["__tail"] for r in mine) for mine in per_cart.values()}
+    assert min(cut) == 1 < max(cut)
+
+
+def nodes(df):
+    return [line.strip(" :+-*()0123456789").split("(")[0].split(" ")[0]
+            for line in df._jdf.queryExecution().executedPlan().toString().splitlines()]
+
+
+def test_a_replay_sorts_three_times_and_contents_are_read_off(spark):
+    events = spark.createDataFrame(history(50, seed=3), SCHEMA)
+    held = spark.createDataFrame([], streaming_carts.CONTENTS)
+    lazy, _ = carts.carried_replay(events, held)
+    assert nodes(lazy).count("Sort") == 3 and nodes(lazy).count("Exchange") == 1
+    found, _ = carts.carried_replay(events, held, ["event_time", "event_id"])
+    assert not {"Sort", "Window", "Exchange"} & set(nodes(found))
+
+
+def test_one_log_folder_is_read_as_it_is(spark, tmp_path):
+    rows, path = history(90, seed=4), str(tmp_path)
+    write = repairs.repaired_batches(path, late=timedelta(days=30), compact_every=2, buckets=4)
+    for n in range(3):
+        write(spark.createDataFrame(rows[n::3], SCHEMA), n)
+    for before, grouped in (1, False), (2, False), (3, True):
+        assert ("Exchange" in nodes(repairs.read_log(spark, path, before))) == grouped
+    assert totals(repairs.read_log(spark, path, 3).collect()) == totals(repairs.read_repaired(spark, path).collect()) == in_order(rows)
+
+
+def test_arrivals_are_read_from_the_table_once(spark, tmp_path):
+    made, rows = spark.sparkContext.accumulator(0), spark.range(90).select("id", (F.col("id") % 2 * 2).alias("k"))
+
+    @F.udf("long")
+    def seen(value):
+        made.add(1)
+        return value
+
+    counted = rows.select(seen("id").alias("id"), "k")
+    queries._in_parts(spark, counted, F.col("k"), lambda s: s.writeStream.format("parquet").option(
+        "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(str(tmp_path / "out")), 3)
+    assert made.value == 90 and spark.read.parquet(str(tmp_path / "out")).orderBy("id").collect() == rows.orderBy("id").collect()
